@@ -136,10 +136,12 @@ def point_bands(
     ).unionByName(
         tile_rows.select("tx", "ty", F.lit(0).alias("open"), none.alias("x"), none.alias("y"), F.col("counts").alias("items"))
     )
-    band = F.when(F.col("open") == 0, F.col("low")).otherwise(_band(_location_distance(), distances))
+    exact = F.when(F.col("open") == 1, _location_distance())
+    band = F.when(F.col("open") == 0, F.col("low")).otherwise(_band(F.col("exact"), distances))
     items = (
         settled.join(content, ["tx", "ty", "open"])
-        .select(*keys, F.explode(F.array(band)).alias("band"), "items")
+        .select(*keys, "open", "low", "items", F.explode(F.array(exact)).alias("exact"))
+        .select(*keys, band.alias("band"), "items")
         .filter(F.col("band").isNotNull())
     )
     return items.select(*keys, "band", F.inline("items")).groupBy(*keys, "measure", "band").agg(F.sum("n").alias("n"))
@@ -193,10 +195,13 @@ def polygon_bands(
     )))
     pairs = (
         shapes.join(blocks, ["bx", "by"]).filter(held)
-        .select(*keys, "measures", "edges", "shape", "convex", F.explode(F.array(farthest(corners))).alias("v"))
+        .select(
+            *keys, "measures", "edges", "shape", "convex",
+            F.inline(F.array(F.struct(farthest(corners).alias("v"), (longest / 2).alias("half")))),
+        )
         .filter(F.col("v") <= reach)
     )
-    settled = F.col("convex") | band_of(F.col("v")).eqNullSafe(band_of(F.col("v") + longest / 2))
+    settled = F.col("convex") | band_of(F.col("v")).eqNullSafe(band_of(F.col("v") + F.col("half")))
     exact = F.when(settled, F.col("v")).otherwise(F.greatest(F.col("v"), farthest(G.along_edges(shape, step))))
     broken = G.proper_crossing(shape, edges) | F.exists(
         edges, lambda e: G.inside(e["x1"], e["y1"], shape) & (G.boundary_distance(e["x1"], e["y1"], shape) > SLACK)
@@ -253,9 +258,9 @@ def widen_counts(
     wide = counts.groupBy(*keys).pivot("measure", list(groups)).agg(*[
         F.first(f"n_{d}").alias(f"n_{d}") for d in distances
     ])
-    return wide.select(*keys, *[
-        F.coalesce(F.col(f"`{g}_n_{d}`" if len(distances) > 1 else f"`{g}`"), F.lit(0)).alias(f"count_{g}_{d}")
-        for g in groups for d in distances
+    source = "`{g}_n_{d}`" if len(distances) > 1 else "`{g}`"
+    return wide.selectExpr(*keys, *[
+        f"coalesce({source.format(g=g, d=d)}, 0) AS `count_{g}_{d}`" for g in groups for d in distances
     ])
 
 
@@ -287,10 +292,8 @@ def poi_ratios(
     tagged = points.select("x", "y", ratio_groups(F.col("tags"), used).alias("measures"))
     bands = point_bands(areas, locations(tagged, tile), distances, keys, tile)
     wide = widen_counts(_within(bands, distances, keys), list(used), distances, keys)
-    return wide.select(*keys, *[
-        F.try_divide(F.col(f"`count_{a}_{d}`").cast("double"), F.col(f"`count_{b}_{d}`").cast("double")).alias(
-            f"ratio_{a}_to_{b}_{d}"
-        )
+    return wide.selectExpr(*keys, *[
+        f"try_divide(double(`count_{a}_{d}`), double(`count_{b}_{d}`)) AS `ratio_{a}_to_{b}_{d}`"
         for a, b in pairs for d in distances
     ])
 
