@@ -1,4 +1,4 @@
-"""Planar geometry as array expressions.
+"""Planar geometry as array expressions; predicates between shapes are in `kernels`.
 
 ring     array<struct<x,y>>, closed or not
 polygons array<array<ring>>: parts, each an outer ring followed by its holes
@@ -7,8 +7,6 @@ edges    array<struct<x1,y1,x2,y2>>; outer rings counter-clockwise, holes clockw
 
 from pyspark.sql import Column, functions as F
 
-ON_BOUNDARY = 1e-6  # metres
-
 
 def let(value: Column, body) -> Column:
     """Evaluate `value` once and use it by name in `body`."""
@@ -93,37 +91,6 @@ def is_convex(edges: Column) -> Column:
     return F.forall(turns, lambda t: t >= 0)
 
 
-def edge_distance2(px: Column, py: Column, e: Column) -> Column:
-    """Squared distance from a point to a segment."""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    along = (px - e["x1"]) * dx + (py - e["y1"]) * dy
-    across = (px - e["x1"]) * dy - (py - e["y1"]) * dx
-    length2 = dx * dx + dy * dy
-    return (
-        F.when(along <= 0, (px - e["x1"]) * (px - e["x1"]) + (py - e["y1"]) * (py - e["y1"]))
-        .when(along >= length2, (px - e["x2"]) * (px - e["x2"]) + (py - e["y2"]) * (py - e["y2"]))
-        .otherwise(F.try_divide(across * across, length2))
-    )
-
-
-def boundary_distance(px: Column, py: Column, edges: Column) -> Column:
-    return F.sqrt(F.array_min(F.transform(edges, lambda e: edge_distance2(px, py, e))))
-
-
-def inside(px: Column, py: Column, edges: Column) -> Column:
-    """Ray cast: an odd number of edges lie to the right."""
-    right = F.filter(edges, lambda e: (
-        ((e["y1"] > py) != (e["y2"] > py))
-        & (px < e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]))
-    ))
-    return F.size(right) % 2 == 1
-
-
-def signed_distance(px: Column, py: Column, edges: Column) -> Column:
-    """Distance to the boundary, negative inside. A point is within a buffer of d exactly when this is < d."""
-    return let(boundary_distance(px, py, edges), lambda d: F.when(inside(px, py, edges), -d).otherwise(d))
-
-
 def box_gap2(a: dict[str, Column], b: dict[str, Column]) -> Column:
     """Squared distance between two boxes."""
     zero = F.lit(0.0)
@@ -132,137 +99,6 @@ def box_gap2(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return gx * gx + gy * gy
 
 
-def _cuts(s: Column, edges: Column) -> Column:
-    """Positions along segment s, from 0 to 1, where the edges may cut it. Extra cuts do no harm."""
-    sx, sy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-
-    def at(x, y):
-        return F.try_divide((x - s["x1"]) * sx + (y - s["y1"]) * sy, sx * sx + sy * sy)
-
-    def hits(e):
-        ex, ey = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        ox, oy = e["x1"] - s["x1"], e["y1"] - s["y1"]
-        den = sx * ey - sy * ex
-        u = F.try_divide(ox * sy - oy * sx, den)
-        crossing = F.when(u.between(-1e-9, 1 + 1e-9), F.try_divide(ox * ey - oy * ex, den))
-        return F.when(den == 0, F.array(at(e["x1"], e["y1"]), at(e["x2"], e["y2"]))).otherwise(F.array(crossing))
-
-    inner = F.filter(F.flatten(F.transform(edges, hits)), lambda t: t.isNotNull() & (t > 0) & (t < 1))
-    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
-
-
-def _pieces(segments: Column, edges: Column) -> Column:
-    """Segments cut at the edges: array<struct<x1,y1,x2,y2>>."""
-
-    def cut(s):
-        def point(t, axis):
-            return s[f"{axis}1"] + (s[f"{axis}2"] - s[f"{axis}1"]) * t
-
-        return let(_cuts(s, edges), lambda c: F.zip_with(
-            F.slice(c, F.lit(1), F.size(c) - 1),
-            F.slice(c, F.lit(2), F.size(c) - 1),
-            lambda a, b: F.struct(
-                point(a, "x").alias("x1"), point(a, "y").alias("y1"), point(b, "x").alias("x2"), point(b, "y").alias("y2")
-            ),
-        ))
-
-    return F.flatten(F.transform(segments, cut))
-
-
-def _near(edges: Column, box: dict[str, Column]) -> Column:
-    """Edges whose box meets a box."""
-    return F.filter(edges, lambda e: (
-        (F.greatest(e["x1"], e["x2"]) >= box["minx"]) & (F.least(e["x1"], e["x2"]) <= box["maxx"])
-        & (F.greatest(e["y1"], e["y2"]) >= box["miny"]) & (F.least(e["y1"], e["y2"]) <= box["maxy"])
-    ))
-
-
-def _right_of(edges: Column, box: dict[str, Column]) -> Column:
-    """Edges that can matter to a ray cast from inside a box, and those that meet the box."""
-    return F.filter(edges, lambda e: (
-        (F.greatest(e["x1"], e["x2"]) >= box["minx"])
-        & (F.greatest(e["y1"], e["y2"]) >= box["miny"]) & (F.least(e["y1"], e["y2"]) <= box["maxy"])
-    ))
-
-
-def _touching(p: Column, edges: Column, same_way: bool = False) -> Column:
-    """The piece's midpoint lies on an edge (one that runs the same way, if asked)."""
-    mx, my = (p["x1"] + p["x2"]) / 2, (p["y1"] + p["y2"]) / 2
-
-    def on(e):
-        close = edge_distance2(mx, my, e) <= ON_BOUNDARY**2
-        if not same_way:
-            return close
-        along = (p["x2"] - p["x1"]) * (e["x2"] - e["x1"]) + (p["y2"] - p["y1"]) * (e["y2"] - e["y1"])
-        return close & (along > 0)
-
-    return F.exists(edges, on)
-
-
-def _mid_inside(p: Column, edges: Column) -> Column:
-    return inside((p["x1"] + p["x2"]) / 2, (p["y1"] + p["y2"]) / 2, edges)
-
-
-def clipped_length(segments: Column, box: dict[str, Column], edges: Column) -> Column:
-    """Length of the segments inside or on the polygon; `box` is the segments' box."""
-
-    def length(p):
-        return F.sqrt((p["x2"] - p["x1"]) * (p["x2"] - p["x1"]) + (p["y2"] - p["y1"]) * (p["y2"] - p["y1"]))
-
-    def total(ray):
-        def keep(near):
-            kept = F.filter(_pieces(segments, near), lambda p: _mid_inside(p, ray) | _touching(p, near))
-            return F.aggregate(kept, F.lit(0.0), lambda acc, p: acc + length(p))
-
-        return let(_near(ray, box), keep)
-
-    return let(_right_of(edges, box), total)
-
-
-def overlap_area(a_edges: Column, b_edges: Column, common: dict[str, Column]) -> Column:
-    """Area shared by two polygons whose boxes meet in `common`.
-
-    The outline of the shared region is a's pieces inside b plus b's pieces inside a;
-    a shared edge is kept once, from a, and only where both run the same way. Its area
-    is half the cross-product sum of the pieces.
-    """
-
-    def cross(acc, p):
-        x1, y1 = p["x1"] - common["minx"], p["y1"] - common["miny"]
-        x2, y2 = p["x2"] - common["minx"], p["y2"] - common["miny"]
-        return acc + x1 * y2 - x2 * y1
-
-    def shared(sides):
-        a, b, a_near, b_near = sides["a"], sides["b"], sides["a_near"], sides["b_near"]
-        from_a = F.filter(_pieces(a_near, b_near), lambda p: F.when(
-            _touching(p, b_near), _touching(p, b_near, same_way=True)
-        ).otherwise(_mid_inside(p, b)))
-        from_b = F.filter(_pieces(b_near, a_near), lambda p: ~_touching(p, a_near) & _mid_inside(p, a))
-        return F.aggregate(F.concat(from_a, from_b), F.lit(0.0), cross) / 2
-
-    return let(
-        F.struct(
-            _right_of(a_edges, common).alias("a"),
-            _right_of(b_edges, common).alias("b"),
-            _near(a_edges, common).alias("a_near"),
-            _near(b_edges, common).alias("b_near"),
-        ),
-        shared,
-    )
-
-
-def proper_crossing(a_edges: Column, b_edges: Column) -> Column:
-    """Some edge of a crosses some edge of b at an inner point of both."""
-
-    def turn(e, x, y):
-        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-
-    return F.exists(a_edges, lambda a: F.exists(b_edges, lambda b: (
-        (turn(a, b["x1"], b["y1"]) * turn(a, b["x2"], b["y2"]) < 0)
-        & (turn(b, a["x1"], a["y1"]) * turn(b, a["x2"], a["y2"]) < 0)
-    )))
-
-
 def along_edges(edges: Column, step: float) -> Column:
     """Points at most `step` apart along the edges, starting nodes included."""
 

@@ -22,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from areastats.constants import AMENITY_GROUPS, BUFFER_DISTANCES, NEAREST_POI, RATIO_DISTANCES, RATIO_PAIRS
-from areastats.functions import geometry as G
+from areastats.functions import geometry as G, kernels as K
+from areastats.functions.parallel import spread
 from areastats.functions.tags import count_groups, nearest_pois, ratio_groups
 from areastats.operators.areas import BOX, cover, meeting_pairs
 
@@ -81,30 +82,30 @@ def measured_tiles(areas: DataFrame, tile_rows: DataFrame, keys: Sequence[str],
     """
     block_tiles = max(1, math.ceil(reach / tile))
     blocks = cover(areas.select(*keys, "edges", *BOX), block_tiles * tile, float(reach))
-    boxed = tile_rows.withColumnsRenamed({b: f"t_{b}" for b in BOX})
+    boxed = spread(tile_rows, "tx", "ty").withColumnsRenamed({b: f"t_{b}" for b in BOX})
     located = boxed.withColumn("bx", F.floor(F.col("tx") / block_tiles).cast("long")).withColumn(
         "by", F.floor(F.col("ty") / block_tiles).cast("long")
     )
     near = G.box_gap2(_box(), _box("t_")) <= (reach + SLACK) ** 2
     return located.join(blocks, ["bx", "by"]).filter(near).select(
         *keys, "edges", "tx", "ty", "counts", "cx", "cy", "half",
-        F.explode(F.array(G.signed_distance(F.col("cx"), F.col("cy"), F.col("edges")))).alias("s"),
+        F.explode(F.array(K.signed_distance("cx", "cy", "edges"))).alias("s"),
     )
 
 
-def _edges_for_tile() -> Column:
+def _edges_for_tile(wanted: Column | None = None) -> Column:
     """Edges that can be nearest to some point of the tile; all of them when the tile may
     straddle the boundary, where the ray cast needs the whole outline."""
-    limit = F.abs("s") + F.col("half") * 2 + SLACK
-    close = F.filter("edges", lambda e: G.edge_distance2(F.col("cx"), F.col("cy"), e) <= limit * limit)
-    return F.when(F.abs("s") <= F.col("half"), F.col("edges")).otherwise(close)
+    straddles = F.abs("s") <= F.col("half")
+    limit = F.when(straddles, F.lit(float("inf"))).otherwise(F.abs("s") + F.col("half") * 2 + SLACK)
+    edges = F.col("edges") if wanted is None else F.when(wanted, F.col("edges"))
+    return K.near_edges("cx", "cy", limit, edges)
 
 
-def _location_distance() -> Column:
-    """Signed distance of a location, given its tile's edges and side."""
-    x, y, edges = F.col("x"), F.col("y"), F.col("near_edges")
-    by_side = G.boundary_distance(x, y, edges) * F.signum("s")
-    return F.when(F.abs("s") <= F.col("half"), G.signed_distance(x, y, edges)).otherwise(by_side)
+def _from_kept_edges(distance: Column) -> Column:
+    """A tile that does not straddle keeps its side; with part of the outline the ray cast
+    would not know it."""
+    return F.when(F.abs("s") <= F.col("half"), distance).otherwise(F.abs(distance) * F.signum("s"))
 
 
 def _band(distance: Column, distances: Sequence[float]) -> Column:
@@ -125,7 +126,7 @@ def point_bands(
     split = F.when(low.eqNullSafe(high), 0).otherwise(1)
     settled = pairs.filter(low.isNotNull()).select(
         *keys, "tx", "ty", "half", "s", low.alias("low"), split.alias("open"),
-        F.when(split == 1, _edges_for_tile()).alias("near_edges"),
+        _edges_for_tile(split == 1).alias("near_edges"),
     )
     # A settled tile meets its own counts, an open one its locations. An inner join, so
     # that AQE may split a hot tile on the side of the locations.
@@ -136,11 +137,11 @@ def point_bands(
     ).unionByName(
         tile_rows.select("tx", "ty", F.lit(0).alias("open"), none.alias("x"), none.alias("y"), F.col("counts").alias("items"))
     )
-    exact = F.when(F.col("open") == 1, _location_distance())
-    band = F.when(F.col("open") == 0, F.col("low")).otherwise(_band(F.col("exact"), distances))
+    exact = _band(_from_kept_edges(F.col("d")), distances)
+    band = F.when(F.col("open") == 0, F.col("low")).otherwise(exact)
     items = (
         settled.join(content, ["tx", "ty", "open"])
-        .select(*keys, "open", "low", "items", F.explode(F.array(exact)).alias("exact"))
+        .select(*keys, "open", "low", "half", "s", "items", F.explode(F.array(K.signed_distance("x", "y", "near_edges"))).alias("d"))
         .select(*keys, band.alias("band"), "items")
         .filter(F.col("band").isNotNull())
     )
@@ -162,14 +163,23 @@ def polygon_bands(
     A polygon lies within a buffer when its farthest point does. For a convex area that
     point is a vertex. Otherwise vertices give a lower and edge lengths an upper bound;
     only where these fall in different bands are points every `step` metres tested.
-    Within the area itself additionally no edges may cross. Every polygon meets areas
-    only in the block of its first vertex.
+    Within the area itself additionally no edges may cross. Copies of a polygon collapse
+    first, and every polygon meets areas only in the block of its first vertex.
     """
     reach = float(max(distances))
+    shape = F.col("shape")
+    corners = F.transform(shape, lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
+    longest = F.array_max(F.transform(shape, lambda e: F.sqrt(
+        (e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"])
+    )))
+    copies = polygons.filter(F.size("measures") > 0).groupBy("ring", "measures").agg(F.count("*").alias("copies"))
     shapes = (
-        polygons.filter(F.size("measures") > 0)
-        .select("measures", G.ring_edges(F.col("ring")).alias("shape"))
-        .select("measures", "shape", *[c.alias(f"p_{n}") for n, c in G.bounds(F.col("shape")).items()])
+        spread(copies, "ring")
+        .select("measures", "copies", G.ring_edges(F.col("ring")).alias("shape"))
+        .select(
+            "measures", "copies", "shape", corners.alias("corners"), (longest / 2).alias("half"),
+            *[c.alias(f"p_{n}") for n, c in G.bounds(shape).items()],
+        )
         .withColumn("bx", F.floor(F.col("shape")[0]["x1"] / reach).cast("long"))
         .withColumn("by", F.floor(F.col("shape")[0]["y1"] / reach).cast("long"))
     )
@@ -178,10 +188,6 @@ def polygon_bands(
         (F.col("p_minx") >= F.col("minx") - reach) & (F.col("p_maxx") <= F.col("maxx") + reach)
         & (F.col("p_miny") >= F.col("miny") - reach) & (F.col("p_maxy") <= F.col("maxy") + reach)
     )
-    edges, shape = F.col("edges"), F.col("shape")
-
-    def farthest(points: Column) -> Column:
-        return F.array_max(F.transform(points, lambda p: G.signed_distance(p["x"], p["y"], edges)))
 
     def band_of(distance: Column) -> Column:
         band = F.when(distance <= distances[0] + (SLACK if distances[0] == 0 else 0), 0)
@@ -189,33 +195,32 @@ def polygon_bands(
             band = band.when(distance <= d, i)
         return band
 
-    corners = F.transform(shape, lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
-    longest = F.array_max(F.transform(shape, lambda e: F.sqrt(
-        (e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"])
-    )))
     pairs = (
         shapes.join(blocks, ["bx", "by"]).filter(held)
         .select(
-            *keys, "measures", "edges", "shape", "convex",
-            F.inline(F.array(F.struct(farthest(corners).alias("v"), (longest / 2).alias("half")))),
+            *keys, "measures", "copies", "edges", "shape", "half", "convex",
+            F.explode(F.array(K.farthest("corners", "edges"))).alias("v"),
         )
         .filter(F.col("v") <= reach)
     )
     settled = F.col("convex") | band_of(F.col("v")).eqNullSafe(band_of(F.col("v") + F.col("half")))
-    exact = F.when(settled, F.col("v")).otherwise(F.greatest(F.col("v"), farthest(G.along_edges(shape, step))))
-    broken = G.proper_crossing(shape, edges) | F.exists(
-        edges, lambda e: G.inside(e["x1"], e["y1"], shape) & (G.boundary_distance(e["x1"], e["y1"], shape) > SLACK)
+    # Kernels run on every row, so rows that need no second look hand them nulls.
+    samples = F.when(~settled, G.along_edges(shape, step))
+    inner = F.when(~F.col("convex") & (F.col("v") <= SLACK), shape)
+    far = (
+        pairs.select(*keys, "measures", "copies", "v", "edges", F.inline(F.array(F.struct(inner.alias("inner"), samples.alias("samples")))))
+        .select(*keys, "measures", "copies", "v", "edges", "inner", F.explode(F.array(K.farthest("samples", "edges"))).alias("sampled"))
+        .select(*keys, "measures", "copies", F.greatest("v", F.coalesce("sampled", "v")).alias("far"), F.explode(F.array(K.leaves("inner", "edges"))).alias("leaves"))
     )
-    first_positive = min((d for d in distances if d > 0), default=None)
-    far = pairs.select(*keys, "measures", "edges", "shape", "convex", F.explode(F.array(exact)).alias("far"))
-    leaves = (F.col("far") <= SLACK) & ~F.col("convex") & broken
-    band = F.when(leaves, F.lit(distances.index(first_positive)) if first_positive else F.lit(None)).otherwise(band_of(F.col("far")))
+    beyond = [i for i, d in enumerate(distances) if d > 0]
+    outside = F.lit(beyond[0]) if beyond else F.lit(None).cast("int")
+    band = F.when((F.col("far") <= SLACK) & F.col("leaves"), outside).otherwise(band_of(F.col("far")))
     return (
-        far.select(*keys, "measures", F.explode(F.array(band)).alias("band"))
+        far.select(*keys, "measures", "copies", F.explode(F.array(band)).alias("band"))
         .filter(F.col("band").isNotNull())
-        .select(*keys, "band", F.explode("measures").alias("measure"))
+        .select(*keys, "band", "copies", F.explode("measures").alias("measure"))
         .groupBy(*keys, "measure", "band")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("copies").alias("n"))
     )
 
 
@@ -317,8 +322,9 @@ def _closest(pairs: DataFrame, places: DataFrame, keys: Sequence[str]) -> DataFr
     inner = places.select("tx", "ty", "x", "y", F.explode("measures").alias("measure"))
     return (
         kept.join(inner, ["tx", "ty", "measure"])
+        .withColumn("d", K.signed_distance("x", "y", "near_edges"))
         .groupBy(*keys, "measure")
-        .agg(F.min(F.greatest(_location_distance(), F.lit(0.0))).alias("distance"))
+        .agg(F.min(F.greatest(_from_kept_edges(F.col("d")), F.lit(0.0))).alias("distance"))
     )
 
 
@@ -371,7 +377,7 @@ def _beyond_reach(
         .filter(G.box_gap2(_box(), _box("t_")) <= F.col("radius") * F.col("radius"))
         .select(
             *keys, "measure", "edges", "tx", "ty", "cx", "cy", "half",
-            F.explode(F.array(G.signed_distance(F.col("cx"), F.col("cy"), F.col("edges")))).alias("s"),
+            F.explode(F.array(K.signed_distance("cx", "cy", "edges"))).alias("s"),
         )
     )
 
@@ -426,16 +432,8 @@ def landuse_long(
         .select("landuse", "shape", *[c.alias(n) for n, c in G.bounds(F.col("shape")).items()])
     )
     pairs = meeting_pairs(parcels, areas.select(*keys, "edges", "area", *BOX), cell)
-    shared_box = {
-        "minx": F.greatest("l_minx", "r_minx"), "miny": F.greatest("l_miny", "r_miny"),
-        "maxx": F.least("l_maxx", "r_maxx"), "maxy": F.least("l_maxy", "r_maxy"),
-    }
-    boxed = pairs.select(
-        *keys, "landuse", "area", "edges", "shape", F.struct(*[c.alias(n) for n, c in shared_box.items()]).alias("common")
-    )
-    overlap = G.overlap_area(F.col("edges"), F.col("shape"), {b: F.col(f"common.{b}") for b in BOX})
     return (
-        boxed.select(*keys, "landuse", "area", F.explode(F.array(overlap)).alias("overlap"))
+        pairs.select(*keys, "landuse", "area", F.explode(F.array(K.overlap_area("edges", "shape"))).alias("overlap"))
         .filter(F.col("overlap") > 0)
         .groupBy(*keys, "landuse")
         .agg(F.sum("overlap").alias("overlap"), F.first("area").alias("area"))
@@ -469,8 +467,7 @@ def streetlit_share(areas: DataFrame, lines: DataFrame, keys: Sequence[str] = KE
         .select(F.coalesce("lit", F.lit(False)).alias("lit"), "path", *[c.alias(n) for n, c in G.bounds(F.col("path")).items()])
     )
     pairs = meeting_pairs(paths, areas.select(*keys, "edges", *BOX), cell)
-    length = G.clipped_length(F.col("path"), {b: F.col(f"l_{b}") for b in BOX}, F.col("edges"))
-    clipped = pairs.select(*keys, "lit", F.explode(F.array(length)).alias("length")).filter(F.col("length") > 0)
+    clipped = pairs.select(*keys, "lit", F.explode(F.array(K.clipped_length("path", "edges"))).alias("length")).filter(F.col("length") > 0)
     lit = F.coalesce(F.sum(F.when(F.col("lit"), F.col("length"))), F.lit(0.0))
     return clipped.groupBy(*keys).agg(F.try_divide(lit, F.sum("length")).alias("streetlit_percentage"))
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from areastats.functions import geometry as G
+from areastats.functions import geometry as G, kernels as K
 from areastats.functions.grid import airy_to_grid_array, lonlat_to_grid
 
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
@@ -20,21 +20,13 @@ def shapes(spark):
     rows = [(L_SHAPE, SQUARE, HOLED, TWO_PARTS, TRIANGLE, SHIFTED)]
     names = ["ell", "square", "holed", "parts", "triangle", "shifted"]
     df = spark.createDataFrame(rows, ", ".join(f"{n} {POLYGONS}" for n in names))
-    return df.select("parts", *[G.polygon_edges(F.col(n)).alias(f"e_{n}") for n in names])
+    return df.select("parts", *[G.polygon_edges(F.col(n)).alias(f"e_{n}") for n in names]).repartition(1).cache()
 
 
 def value(df, column):
     return df.select(column.alias("v")).first().v
 
 
-def common(a, b):
-    x, y = G.bounds(F.col(a)), G.bounds(F.col(b))
-    return {
-        "minx": F.greatest(x["minx"], y["minx"]), "miny": F.greatest(x["miny"], y["miny"]),
-        "maxx": F.least(x["maxx"], y["maxx"]), "maxy": F.least(x["maxy"], y["maxy"]),
-    }
-
-
 @pytest.mark.parametrize("name,area", [("ell", 64), ("square", 36), ("holed", 96), ("parts", 20), ("triangle", 32)])
 def test_area(shapes, name, area):
     assert value(shapes, G.signed_area(F.col(f"e_{name}"))) == pytest.approx(area)
@@ -54,13 +46,13 @@ def test_area(shapes, name, area):
 ])
 def test_overlap_area(shapes, a, b, area):
     for x, y in ((a, b), (b, a)):
-        got = value(shapes, G.overlap_area(F.col(f"e_{x}"), F.col(f"e_{y}"), common(f"e_{x}", f"e_{y}")))
+        got = value(shapes, K.overlap_area(f"e_{x}", f"e_{y}"))
         assert got == pytest.approx(area), (x, y)
 
 
 def test_signed_distance(shapes):
     def at(x, y, name):
-        return value(shapes, G.signed_distance(F.lit(x), F.lit(y), F.col(f"e_{name}")))
+        return value(shapes, K.signed_distance(F.lit(x), F.lit(y), f"e_{name}"))
 
     assert at(5.0, 5.0, "holed") == pytest.approx(1)
     assert at(1.0, 1.0, "ell") == pytest.approx(-1)
@@ -92,7 +84,7 @@ def test_largest_part(shapes):
 def test_clipped_length(spark, shapes, path, name, length):
     df = shapes.crossJoin(spark.createDataFrame([(path,)], "path array<struct<x:double,y:double>>"))
     df = df.withColumn("seg", G.path_edges(F.col("path")))
-    got = value(df, G.clipped_length(F.col("seg"), G.bounds(F.col("seg")), F.col(f"e_{name}")))
+    got = value(df, K.clipped_length("seg", f"e_{name}"))
     assert got == pytest.approx(length)
 
 
