@@ -1,6 +1,16 @@
-"""Spread rows that are about to be multiplied."""
+"""Sharing a shuffle between branches, and spreading rows that are about to be multiplied."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """An aggregate that several branches of one query use.
+
+    Each branch needs other columns and other null checks. The inline keeps the
+    optimizer from pushing these differences below the aggregation, so that Spark sees
+    one and the same shuffle everywhere and runs it once (ReusedExchange in the plan).
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

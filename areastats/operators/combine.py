@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from areastats.functions.numbers import is_inf
+from areastats.functions.parallel import shared
 from areastats.functions.quantiles import nearest_rank, select_ranks
 
 KEYS = ("lsoa_code",)
@@ -141,7 +142,7 @@ def describe(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value")) for c in _numeric(df, keys)
     ])
-    cells = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n"))
+    cells = shared(df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n")))
     known = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
     mean = F.try_divide(F.sum(F.col("value") * F.col("n")), known)
     basic = cells.groupBy("column").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.constants import PROPERTY_TYPES
 from areastats.functions.numbers import share
+from areastats.functions.parallel import shared
 from areastats.functions.quantiles import nearest_rank, select_ranks
 
 KEYS = ("lsoa_code",)
@@ -35,9 +36,9 @@ def sale_cells(sales: DataFrame, keys: Sequence[str] = KEYS, types: dict[str, st
 
 
 def merge_cells(cells: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One cell per (keys, price)."""
+    """One cell per (keys, price); all statistics share its shuffle."""
     counters = [c for c in cells.columns if c not in (*keys, "price")]
-    return cells.groupBy(*keys, "price").agg(*[F.sum(c).alias(c) for c in counters])
+    return shared(cells.groupBy(*keys, "price").agg(*[F.sum(c).alias(c) for c in counters]))
 
 
 def _priced(counter: str) -> Column:
@@ -108,7 +109,7 @@ def mean_price(sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def median_price(sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     cells = merge_cells(sale_cells(sales, keys, {}), keys)
     ranked = _order_statistics(cells, keys).select(*keys, "lsoa_median_price")
-    return sales.select(*keys).distinct().join(ranked, list(keys), "left")
+    return cells.select(*keys).distinct().join(ranked, list(keys), "left")
 
 
 def stdev_price(sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -132,7 +133,7 @@ def price_inequality(sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Nearest-rank p90 / p10; null where p10 is not positive."""
     cells = merge_cells(sale_cells(sales, keys, {}), keys)
     ranked = _order_statistics(cells, keys).select(*keys, "lsoa_price_inequality")
-    return sales.select(*keys).distinct().join(ranked, list(keys), "left")
+    return cells.select(*keys).distinct().join(ranked, list(keys), "left")
 
 
 def mean_price_by_type(sales: DataFrame, keys: Sequence[str] = KEYS, types: dict[str, str] = PROPERTY_TYPES):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from areastats.constants import AMENITY_GROUPS, BUFFER_DISTANCES, NEAREST_POI, RATIO_DISTANCES, RATIO_PAIRS
 from areastats.functions import geometry as G, kernels as K
-from areastats.functions.parallel import spread
+from areastats.functions.parallel import shared, spread
 from areastats.functions.tags import count_groups, nearest_pois, ratio_groups
 from areastats.operators.areas import BOX, cover, meeting_pairs
 
@@ -39,9 +39,7 @@ SLACK = 1e-6  # metres added to bounds that prune, never to a result
 def locations(points: DataFrame, tile: float = TILE) -> DataFrame:
     """Points (x, y, measures) -> one row per distinct (x, y, measures) with its count and tile."""
     return (
-        points.filter(F.size("measures") > 0)
-        .groupBy("x", "y", "measures")
-        .agg(F.count("*").alias("n"))
+        shared(points.filter(F.size("measures") > 0).groupBy("x", "y", "measures").agg(F.count("*").alias("n")))
         .withColumn("tx", F.floor(F.col("x") / tile).cast("long"))
         .withColumn("ty", F.floor(F.col("y") / tile).cast("long"))
     )
@@ -56,13 +54,13 @@ def tiles(places: DataFrame) -> DataFrame:
         F.max("x").alias("maxx"), F.max("y").alias("maxy"),
     )
     wide, high = F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")
+    per_tile = per_measure.groupBy("tx", "ty").agg(
+        F.collect_list(F.struct("measure", "n")).alias("counts"),
+        F.min("minx").alias("minx"), F.min("miny").alias("miny"),
+        F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"),
+    )
     return (
-        per_measure.groupBy("tx", "ty")
-        .agg(
-            F.collect_list(F.struct("measure", "n")).alias("counts"),
-            F.min("minx").alias("minx"), F.min("miny").alias("miny"),
-            F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"),
-        )
+        shared(per_tile)
         .withColumn("cx", (F.col("minx") + F.col("maxx")) / 2)
         .withColumn("cy", (F.col("miny") + F.col("maxy")) / 2)
         # A tile whose points share one spot is exact; others get a hair of slack.

@@ -31,11 +31,13 @@ def sales_with_area(
     """Sales of the wanted districts with district and lsoa_code instead of a postcode.
 
     The postcode table is cut to the districts first; a sale without a wanted area drops
-    in either order, so the join can be an inner one.
+    in either order, so the join can be an inner one. Partitioning it by postcode is what
+    a shuffle join needs anyway, and keeps the result from being partitioned by area,
+    where one area may hold most sales.
     """
     coded = attach_district(
         postcodes.select("postcode", "lsoa_code"), "lsoa_code", districts_areas(lookup, districts)
-    )
+    ).repartition("postcode")
     return prices.drop("district").join(coded, "postcode").drop("postcode")
 
 
