@@ -1,12 +1,13 @@
 """Longitude / latitude to the British national grid in metres.
 
-Each stage maps an array of structs to the next, so that intermediate values are
-computed once and carried by name instead of being repeated inside one expression.
+A stage maps named values to named values, so that intermediate results are computed
+once: as columns of successive projections for points (compiled code), or as structs in
+an array for the nodes of a way.
 """
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats import constants as C
 
@@ -109,13 +110,22 @@ def airy_to_grid_array(points: Column) -> Column:
     return _stage(_stage(points, _series_terms), _grid)
 
 
+_STEPS = (_cartesian, _shift, _geodetic_angle, _geodetic, _series_terms, _grid)
+
+
 def lonlat_to_grid_array(points: Column) -> Column:
     """array<struct<lon,lat>> in WGS84 degrees -> array<struct<x,y>> in metres."""
-    for step in (_cartesian, _shift, _geodetic_angle, _geodetic):
+    for step in _STEPS:
         points = _stage(points, step)
-    return airy_to_grid_array(points)
-
-
-def lonlat_to_grid(lon: Column, lat: Column) -> Column:
-    """struct<x,y> of one point."""
-    return lonlat_to_grid_array(F.array(F.struct(lon.alias("lon"), lat.alias("lat"))))[0]
+    return points
+
+
+def add_grid(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Adds x and y in metres for columns in WGS84 degrees."""
+    kept = df.columns
+    values = {"lon": F.col(lon), "lat": F.col(lat)}
+    for step in _STEPS:
+        staged = step(values)
+        df = df.select(*kept, *[v.alias(f"_{k}") for k, v in staged.items()])
+        values = {k: F.col(f"_{k}") for k in staged}
+    return df.select(*kept, *[v.alias(k) for k, v in values.items()])

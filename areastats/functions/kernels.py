@@ -40,14 +40,13 @@ def _doubles(array):
 
 def _blocks(sizes):
     """Consecutive index ranges whose sizes add up to at most CHUNK (single items may exceed it)."""
-    first, total = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if total and total + size > CHUNK:
-            yield first, i
-            first, total = i, 0
-        total += size
-    if len(sizes):
-        yield first, len(sizes)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        yield first, last
+        first = last
 
 
 def _expand(items, rows, lists):
@@ -220,9 +219,10 @@ def _leaves(shape: pa.Array, edges: pa.Array) -> pa.Array:
     inside the shape: the shape is not within the area although its corners are."""
     parcel, area = _Lists(shape), _Lists(edges)
     out = np.zeros(len(parcel.length), bool)
-    px, py = area.columns[0], area.columns[1]
-    depth = np.nan_to_num(_signed(px, py, area.row, parcel), nan=1.0)
-    out[area.row[depth < -ON_BOUNDARY]] = True
+    asked = parcel.length[area.row] > 0
+    rows = area.row[asked]
+    depth = _signed(area.columns[0][asked], area.columns[1][asked], rows, parcel)
+    out[rows[depth < -ON_BOUNDARY]] = True
     pieces = _pieces(parcel, area)
     inside, touching, _ = _relation(pieces, area)
     out[pieces[4][~(inside | touching)]] = True

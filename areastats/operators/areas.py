@@ -37,7 +37,7 @@ def with_edges(areas: DataFrame, keys: Sequence[str] = ("lsoa_code",), polygons:
     """Keys, edges, bounding box, area, and whether the area is one convex ring."""
     single = (F.size(polygons) == 1) & (F.size(F.col(polygons)[0]) == 1)
     return (
-        areas.select(*keys, G.polygon_edges(F.col(polygons)).alias("edges"), single.alias("_single"))
+        areas.select(*keys, single.alias("_single"), F.explode(F.array(G.polygon_edges(F.col(polygons)))).alias("edges"))
         .select("*", *[c.alias(n) for n, c in G.bounds(F.col("edges")).items()])
         .select(
             *keys, "edges", *BOX,
@@ -51,7 +51,8 @@ def district_bbox(areas: DataFrame, buffer_m: float = 0, per_degree: float = MET
     """Bounding box of each district's boundaries in degrees, widened by buffer_m."""
     grow = buffer_m / per_degree
     edges = F.col("edges")
-    boxed = areas.select("district", F.struct(*[c.alias(n) for n, c in G.bounds(edges).items()]).alias("b"))
+    box = F.struct(*[c.alias(n) for n, c in G.bounds(edges).items()])
+    boxed = areas.select("district", F.explode(F.array(box)).alias("b"))
     return boxed.groupBy("district").agg(
         (F.min("b.miny") - grow).alias("min_lat"),
         (F.min("b.minx") - grow).alias("min_lon"),

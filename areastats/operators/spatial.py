@@ -75,8 +75,8 @@ def _box(prefix: str = "") -> dict[str, Column]:
 def measured_tiles(areas: DataFrame, tile_rows: DataFrame, keys: Sequence[str], reach: float, tile: float) -> DataFrame:
     """(area, tile) pairs within `reach`, with s = signed distance of the tile's centre.
 
-    explode(array(..)) keeps the optimizer from copying the distance expression into
-    every filter that uses it.
+    Here and below explode(array(..)) keeps the optimizer from copying a costly
+    expression to every place that uses its column.
     """
     block_tiles = max(1, math.ceil(reach / tile))
     blocks = cover(areas.select(*keys, "edges", *BOX), block_tiles * tile, float(reach))
@@ -173,7 +173,7 @@ def polygon_bands(
     copies = polygons.filter(F.size("measures") > 0).groupBy("ring", "measures").agg(F.count("*").alias("copies"))
     shapes = (
         spread(copies, "ring")
-        .select("measures", "copies", G.ring_edges(F.col("ring")).alias("shape"))
+        .select("measures", "copies", F.explode(F.array(G.ring_edges(F.col("ring")))).alias("shape"))
         .select(
             "measures", "copies", "shape", corners.alias("corners"), (longest / 2).alias("half"),
             *[c.alias(f"p_{n}") for n, c in G.bounds(shape).items()],
@@ -426,7 +426,7 @@ def landuse_long(
     parcels = (
         polygons.select(F.try_element_at("tags", F.lit("landuse")).alias("landuse"), "ring")
         .filter(F.col("landuse").isNotNull())
-        .select("landuse", G.ring_edges(F.col("ring")).alias("shape"))
+        .select("landuse", F.explode(F.array(G.ring_edges(F.col("ring")))).alias("shape"))
         .select("landuse", "shape", *[c.alias(n) for n, c in G.bounds(F.col("shape")).items()])
     )
     pairs = meeting_pairs(parcels, areas.select(*keys, "edges", "area", *BOX), cell)
@@ -460,7 +460,7 @@ def landuse_shares(
 def streetlit_share(areas: DataFrame, lines: DataFrame, keys: Sequence[str] = KEYS, cell: float = CELL) -> DataFrame:
     """streetlit_percentage: length of lines tagged lit=yes / length of all lines, inside the area."""
     paths = (
-        lines.select((F.try_element_at("tags", F.lit("lit")) == "yes").alias("lit"), G.path_edges(F.col("ring")).alias("path"))
+        lines.select((F.try_element_at("tags", F.lit("lit")) == "yes").alias("lit"), F.explode(F.array(G.path_edges(F.col("ring")))).alias("path"))
         .filter(F.size("path") > 0)
         .select(F.coalesce("lit", F.lit(False)).alias("lit"), "path", *[c.alias(n) for n, c in G.bounds(F.col("path")).items()])
     )

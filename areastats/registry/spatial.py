@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from areastats import constants as C
-from areastats.functions.grid import lonlat_to_grid
+from areastats.functions.grid import add_grid
 from areastats.functions.tags import nearest_pois
 from areastats.operators import areas as area_ops, spatial
 from areastats.registry.base import query, rounded
@@ -160,8 +160,8 @@ SELECT id, round({_num(C.GRID_E0)} + nu * cos(lat) * l + nu / 6 * pow(cos(lat),
 FROM m""")
 def _(t):
     lonlat = t.v_points.select("id", (F.col("x") / 1250 - 6).alias("lon"), (F.col("y") / 1000 + 49.9).alias("lat"))
-    grid = lonlat.select("id", lonlat_to_grid(F.col("lon"), F.col("lat")).alias("g"))
-    return rounded(grid.select("id", F.col("g.x").alias("east"), F.col("g.y").alias("north")), 2)
+    grid = add_grid(lonlat).withColumnsRenamed({"x": "east", "y": "north"})
+    return rounded(grid.select("id", "east", "north"), 2)
 
 
 @query("district_bbox", """

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from areastats.functions.grid import lonlat_to_grid, lonlat_to_grid_array
+from areastats.functions.grid import add_grid, lonlat_to_grid_array
 from areastats.sources.schemas import ELEMENT_SCHEMA, MAP_RESPONSE_SCHEMA
 
 MIN_POLYGON_NODES = 4
@@ -37,8 +37,7 @@ def split_elements(elements: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
 
 
 def points_to_grid(points: DataFrame) -> DataFrame:
-    grid = lonlat_to_grid(F.col("lon"), F.col("lat"))
-    return points.withColumn("_g", grid).select("id", "tags", "_g.x", "_g.y")
+    return add_grid(points).select("id", "tags", "x", "y")
 
 
 def ways_to_grid(ways: DataFrame) -> DataFrame:
