@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areastats.llm import decontamination, mixing, simhash, toxicity
+from areastats.llm import decontamination, mixing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -22,6 +22,11 @@ def query(name: str, check: str | None = None):
     return add
 
 
+@query("op2_pii_boosting")
+def _pii(table):
+    return pii.digest(pii.personal_data(table("documents")))
+
+
 @query("op3_mix_sources", mixing.MIX_SQL + "SELECT doc_id, size, source_size, target, copies * size AS taken FROM passed")
 def _mix(table):
     return mixing.mix(table("documents")).select("doc_id", "size", "source_size", "target", "taken")
