@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areastats.llm import decontamination, mixing, pii, simhash, toxicity
+from areastats.llm import decontamination, embeddings, language, mixing, pii, quality, simhash, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -22,6 +22,12 @@ def query(name: str, check: str | None = None):
     return add
 
 
+@query("op1_warc_index", warc.WARC_SQL)
+def _warc(table):
+    found = warc.archived(table("pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op2_pii_boosting")
 def _pii(table):
     return pii.digest(pii.personal_data(table("documents")))
@@ -42,6 +48,26 @@ def _simhash(table):
     return simhash.simhash_components(table("documents"))
 
 
+@query("op6_embedding_tiles")
+def _embeddings(table):
+    return embeddings.linked(table("embeddings"))
+
+
+@query("op7_language_bayes")
+def _language(table):
+    return language.languages(table("documents"))
+
+
 @query("op8_decontamination")
 def _decontamination(table):
     return decontamination.contaminated(table("documents"), table("benchmark"))
+
+
+@query("op9_url_rules", urls.URLS_SQL)
+def _urls(table):
+    return urls.judged(table("pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_quality_rules")
+def _quality(table):
+    return quality.quality(table("documents"), table("labels"))
