@@ -7,7 +7,6 @@ score is the calibrated score of its worst window.
 
 import itertools
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ WORD = re.compile(r"[^\W_]+")
 #: Words in a window, and from one window to the next.
 WINDOW, STEP = 64, 48
 #: Labelled documents that training uses at most; words and n-gram buckets with a vector of their own.
-SAMPLE, VOCABULARY, BUCKETS = 6000, 20_000, 1 << 14
+SAMPLE, VOCABULARY, BUCKETS = 4000, 20_000, 1 << 14
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 #: Distinct words whose inputs a task keeps.
 LEXICON = 100_000
@@ -103,18 +102,23 @@ class Network:
 
     # ---- inputs: row 0 is padding --------------------------------------------------------
 
-    def inputs(self, words: list[str]) -> tuple[np.ndarray, tuple]:
+    def vectors(self, ids: np.ndarray, buckets: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Vectors of distinct words: the word's own (or the unknown's) and the mean of its n-grams'."""
-        out = np.zeros((len(words) + 1, 2 * DIM), np.float32)
-        ids = np.array([self.vocabulary.get(w, 1) for w in words], np.int64)
-        if not words:
-            return out, (ids, ids, ids, ids)
-        buckets, firsts = ngram_buckets(words)
-        counts = np.diff(np.append(firsts, len(buckets)))
-        out[1:, :DIM] = self.p["words"][ids]
-        sums = np.add.reduceat(self.p["grams"][buckets], firsts, axis=0)
-        out[1:, DIM:] = sums / counts[:, None]
-        return out, (ids, buckets, firsts, counts)
+        out = np.zeros((len(ids) + 1, 2 * DIM), np.float32)
+        if len(ids):
+            out[1:, :DIM] = self.p["words"][ids]
+            out[1:, DIM:] = np.add.reduceat(self.p["grams"][buckets], firsts, axis=0) / counts[:, None]
+        return out
+
+    def inputs(self, words: list[str]) -> np.ndarray:
+        """The input table of these words, made some thousand words at a time."""
+        parts = [np.zeros((1, 2 * DIM), np.float32)]
+        for at in range(0, len(words), 16_384):
+            some = words[at : at + 16_384]
+            buckets, firsts = ngram_buckets(some)
+            ids = np.array([self.vocabulary.get(w, 1) for w in some], np.int64)
+            parts.append(self.vectors(ids, buckets, firsts, np.diff(np.append(firsts, len(buckets))))[1:])
+        return np.concatenate(parts)
 
     # ---- forward -------------------------------------------------------------------------
 
@@ -197,7 +201,7 @@ class Network:
             for s in windows(len(own)):
                 part = own[s : s + WINDOW]
                 rows.append(part if len(part) == WINDOW else np.pad(part, (0, WINDOW - len(part))))
-        new = self.project(self.inputs(list(itertools.islice(self.lexicon, known, None)))[0])
+        new = self.project(self.inputs(list(itertools.islice(self.lexicon, known, None))))
         self.projected = new if self.projected is None else np.concatenate([self.projected, new[:, 1:]], axis=1)
         logits = [self.forward(self.projected, np.stack(rows[at : at + 2048])) for at in range(0, len(rows), 2048)]
         return np.concatenate(logits) if logits else np.zeros(0, np.float32), np.array(firsts, np.int64)
@@ -211,16 +215,36 @@ class Network:
         return 1 / (1 + np.exp(-(self.scale[0] * worst + self.scale[1])))
 
 
-def _prior(counts: dict, positive: dict, share: float, weight: float = 4.0) -> dict:
-    """Smoothed log odds of the label for documents that hold a feature."""
-    base = np.log(share / (1 - share))
-    return {
-        k: float(np.clip(np.log((positive.get(k, 0) + weight * share) / (n - positive.get(k, 0) + weight * (1 - share))) - base, -3, 3))
-        for k, n in counts.items()
-    }
+class Grams:
+    """The n-gram buckets of numbered words."""
 
+    def __init__(self, words: list[str]):
+        parts, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 16_384):
+            buckets, firsts = ngram_buckets(words[at : at + 16_384])
+            parts.append(buckets.astype(np.int32))
+            lengths.append(np.diff(np.append(firsts, len(buckets))))
+        self.buckets, self.lengths = np.concatenate(parts), np.concatenate(lengths)
+        self.firsts = np.cumsum(self.lengths) - self.lengths
 
-def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 270, batch: int = 256) -> Network:
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(buckets, first place per word, number per word) of these words."""
+        lengths = self.lengths[words]
+        firsts = np.cumsum(lengths) - lengths
+        return self.buckets[np.repeat(self.firsts[words] - firsts, lengths) + np.arange(lengths.sum())], firsts, lengths
+
+    def among(self, *counts: np.ndarray) -> list[np.ndarray]:
+        """Sums of the words' counts by bucket."""
+        return [np.bincount(self.buckets, np.repeat(c, self.lengths), BUCKETS) for c in counts]
+
+
+def _prior(counts: np.ndarray, positive: np.ndarray, share: float, weight: float = 4.0) -> np.ndarray:
+    """Smoothed log odds of the label for documents that hold a feature, against all documents."""
+    odds = np.log((positive + weight * share) / (counts - positive + weight * (1 - share)))
+    return np.clip(odds - np.log(share / (1 - share)), -3, 3)
+
+
+def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 300, batch: int = 256) -> Network:
     """Fit the network on documents of one label each; four fifths train it, the rest calibrate it.
 
     Only whole documents are labelled. A positive document teaches the window that scores highest at
@@ -230,34 +254,31 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 270
     batches = min(batches, 60 + len(texts) // 12)  # few documents are learnt by heart otherwise
     y = np.array(labels, np.float32)
     share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
-    split = [WORD.findall(t.lower()) for t in texts]
+    lexicon = Lexicon()
+    encoded = [np.fromiter(map(lexicon.__getitem__, WORD.findall(t.lower())), np.int32) for t in texts]
+    names = list(lexicon)
     fit = rng.random(len(texts)) < 0.8
-    counts, positive = Counter(), Counter()
+    counts, positive = np.zeros(len(names) + 1, np.int64), np.zeros(len(names) + 1, np.int64)
     for i in np.flatnonzero(fit):
-        own = set(split[i])
-        counts.update(own)
-        if y[i]:
-            positive.update(own)
-    common = sorted((w for w, n in counts.items() if n >= 3), key=lambda w: (-counts[w], w))[: VOCABULARY - 2]
-    vocabulary = {w: k + 2 for k, w in enumerate(common)}
-    word_odds = _prior({w: counts[w] for w in common}, positive, share)
-    word_prior = np.array([0.0, 0.0, *(word_odds[w] for w in common)], np.float32)
-    gram_prior = np.zeros(BUCKETS, np.float32)
-    if counts:
-        buckets, firsts = ngram_buckets(list(counts))
-        lengths = np.diff(np.append(firsts, len(buckets)))
-        among = lambda of: np.bincount(buckets, np.repeat([of.get(w, 0) for w in counts], lengths), BUCKETS)
-        grams, gram_positive = among(counts), among(positive)
-        for k, odds in _prior(dict(enumerate(grams)), dict(enumerate(gram_positive)), share).items():
-            gram_prior[k] = odds
-    net = Network(vocabulary, word_prior, gram_prior, seed)
-    all_words = sorted(set().union(*split)) if split else []
-    if not all_words or y.min() == y.max():
+        own = np.unique(encoded[i])
+        counts[own] += 1
+        positive[own] += int(y[i])
+    common = sorted(np.flatnonzero(counts >= 3).tolist(), key=lambda k: (-counts[k], names[k - 1]))[: VOCABULARY - 2]
+    vocabulary = {names[k - 1]: v + 2 for v, k in enumerate(common)}
+    word_ids = np.ones(len(names) + 1, np.int64)
+    word_ids[common] = np.arange(len(common)) + 2
+    word_prior = np.concatenate([np.zeros(2), _prior(counts[common], positive[common], share)]).astype(np.float32)
+    grams = Grams(names)
+    net = Network(vocabulary, word_prior, _prior(*grams.among(counts[1:], positive[1:]), share).astype(np.float32), seed)
+    if not names or y.min() == y.max():
         net.scale = np.array([0.0, float(np.log(share / (1 - share)))])
         return net
-    ids_of = {w: k + 1 for k, w in enumerate(all_words)}
-    encoded = [np.array([ids_of[w] for w in words], np.int64) for words in split]
-    table, _ = net.inputs(all_words)
+
+    def all_inputs() -> np.ndarray:
+        parts = [net.vectors(word_ids[at + 1 : at + 16_385], *grams.of(np.arange(at, min(at + 16_384, len(names)))))[1:] for at in range(0, len(names), 16_384)]
+        return np.concatenate([np.zeros((1, 2 * DIM), np.float32), *parts])
+
+    table = all_inputs()
     prior = table[:, 0] + table[:, DIM]
     rows, owner = [], []
     for i, own in enumerate(encoded):
@@ -265,7 +286,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 270
             rows.append(np.pad(own[s : s + WINDOW], (0, max(0, WINDOW - len(own)))))
             owner.append(i)
     rows, owner = np.stack(rows), np.array(owner)
-    strength = np.sort(prior[rows], axis=1)[:, -3:].sum(axis=1)
+    in_parts = lambda f: np.concatenate([f(rows[at : at + 1024]) for at in range(0, len(rows), 1024)])
+    strength = in_parts(lambda part: np.sort(prior[part], axis=1)[:, -3:].sum(axis=1))
     squares = {k: np.full_like(v, 1e-3) for k, v in net.p.items()}
     for turn in range(3):
         order = np.lexsort((-strength, owner))
@@ -280,7 +302,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 270
             words, inverse = np.unique(ids, return_inverse=True)
             words = words[words > 0]
             local = inverse.reshape(ids.shape) + (0 if (ids == 0).any() else 1)
-            inputs, (own, buckets, firsts, lengths) = net.inputs([all_words[w - 1] for w in words])
+            own, (buckets, firsts, lengths) = word_ids[words], grams.of(words - 1)
+            inputs = net.vectors(own, buckets, firsts, lengths)
             logit, kept = net.forward(net.project(inputs), local, keep=True)
             dlogit = ((1 / (1 + np.exp(-logit)) - target) / len(some)).astype(np.float32)
             grad, dtable = net.gradients(inputs, local, kept, dlogit)
@@ -290,9 +313,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 270
             _sparse_step(net.p["words"], squares["words"], own, dtable[1:, :DIM])
             spread = np.repeat(dtable[1:, DIM:] / lengths[:, None], lengths, axis=0)
             _sparse_step(net.p["grams"], squares["grams"], buckets, spread)
-        table, _ = net.inputs(all_words)
-        projected = net.project(table)
-        strength = np.concatenate([net.forward(projected, rows[at : at + 2048]) for at in range(0, len(rows), 2048)])
+        projected = net.project(all_inputs())
+        strength = in_parts(lambda part, projected=projected: net.forward(projected, part))
     _calibrate(net, strength, owner, y, ~fit if (~fit).sum() >= 20 and 0 < y[~fit].sum() < (~fit).sum() else fit)
     return net
 
@@ -326,8 +348,8 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("label")).dropna().dropDuplicates(["label_id"])
     marked = bounded_sample(marked.where(fold(F.col("label_id"), 5) != 0), "label_id", sample)
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("text")).dropna()
-    chosen = rows.join(marked, "label_id").select("label_id", "text", "label")
-    found = sorted(set(map(tuple, chosen.collect())))  # bounded by `sample`
+    chosen = rows.join(F.broadcast(marked), "label_id").select("label_id", "text", "label")  # at most `sample` short rows
+    found = sorted(map(tuple, chosen.collect()))  # bounded by `sample`
     return train([r[1] for r in found], [r[2] for r in found])
 
 
