@@ -235,7 +235,7 @@ def test_network_gradients():
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     ids = rng.integers(1, 31, (3, toxicity.WINDOW))
     ids[0, 40:] = 0
-    table, _ = net.inputs(words)
+    table = net.inputs(words)
     table = table.astype(np.float64)
     loss = lambda: float(net.forward(net.project(table), ids).sum())
     _, kept = net.forward(net.project(table), ids, keep=True)
