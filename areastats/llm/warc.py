@@ -121,8 +121,11 @@ def _captures(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
 
-def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """Write the sorted shards and their directories; returns a stored table of one row per shard."""
+def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> list[tuple[str, int, str, int, str]]:
+    """Write the sorted shards and their directories.
+
+    Returns (first key and page, last key and page, name) of each: one row per partition.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
@@ -156,7 +159,8 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["low_key", "low_page", "high_key", "high_page", "shard"])
 
     ordered = captures.repartitionByRange("urlkey", "page").sortWithinPartitions("urlkey", "page", "archive", "offset")
-    return stored(ordered.mapInArrow(run, "low_key string, low_page long, high_key string, high_page long, shard string"), "shards")
+    shards = ordered.mapInArrow(run, "low_key string, low_page long, high_key string, high_page long, shard string")
+    return sorted(map(tuple, shards.collect()))
 
 
 # ---- reading ----------------------------------------------------------------------------
@@ -205,13 +209,12 @@ class Shards:
         return lines, [(x[0], x[1]) for x in lines]
 
 
-def look_up(requests: DataFrame, shards: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def look_up(requests: DataFrame, shards: list[tuple[str, int, str, int, str]], folder: str, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Captures of the requested (url, page) pairs, from the index; each distinct request once.
 
     The requests are dealt in the order of the index, so a task reads each of its blocks once.
     Every task knows the shards' ranges: one row for each partition the index was written by.
     """
-    listed = [tuple(r) for r in shards.collect()]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,18 +222,18 @@ def look_up(requests: DataFrame, shards: DataFrame, folder: str, id_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), batch.column("page")], ["urlkey", "page"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Shards(folder, listed)
+        index = Shards(folder, shards)
         for batch in batches:
             wanted = zip(batch.column("urlkey").to_pylist(), batch.column("page").to_pylist(), strict=True)
             yield _captures([c for key in wanted for c in index.find(key)])
 
     asked = requests.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_PAGE)).alias("page"), F.col(url_col).cast("string").alias("url"))
-    asked = stored(asked.mapInArrow(keys, "urlkey string, page long").distinct(), "requests")
+    asked = asked.mapInArrow(keys, "urlkey string, page long").distinct()
     return asked.repartitionByRange("urlkey", "page").sortWithinPartitions("urlkey", "page").mapInArrow(find, CAPTURE)
 
 
 def read_records(captures: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """Read the captures' ranges, archive by archive.
+    """Read the captures' ranges, archive by archive; an archive has ARCHIVE_BYTES at most.
 
     (page_id, url, record_type, payload_bytes, payload_digest, refers_to[, payload]); size and digest
     are those of the payload, for revisits as their record states them. A response whose
@@ -271,8 +274,7 @@ def read_records(captures: DataFrame, folder: str, with_payload: bool = True) ->
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long" + (", payload binary" if with_payload else "")
-    ordered = captures.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
-    return ordered.mapInArrow(run, schema)
+    return captures.repartition("archive").sortWithinPartitions("archive", "offset").mapInArrow(run, schema)
 
 
 def archived(pages: DataFrame, min_revisit_bytes: int = 0, with_payload: bool = False) -> DataFrame:
@@ -283,8 +285,7 @@ def archived(pages: DataFrame, min_revisit_bytes: int = 0, with_payload: bool =
     """
     folder = shared_folder(pages.sparkSession, "warc")
     shards = write_index(write_archives(pages, folder, min_revisit_bytes), folder)
-    places = stored(look_up(pages, shards, folder), "places")
-    return read_records(places, folder, with_payload)
+    return read_records(look_up(pages, shards, folder), folder, with_payload)
 
 
 #: The result of the query: page_id, payload_bytes, payload_digest, record_type, refers_to.
