@@ -97,18 +97,3 @@ def box_gap2(a: dict[str, Column], b: dict[str, Column]) -> Column:
     gx = F.greatest(a["minx"] - b["maxx"], b["minx"] - a["maxx"], zero)
     gy = F.greatest(a["miny"] - b["maxy"], b["miny"] - a["maxy"], zero)
     return gx * gx + gy * gy
-
-
-def along_edges(edges: Column, step: float) -> Column:
-    """Points at most `step` apart along the edges, starting nodes included."""
-
-    def points(e):
-        length = F.sqrt((e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"]))
-        return let(F.greatest(F.ceil(length / step), F.lit(1)).cast("int"), lambda n: F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: F.struct(
-                (e["x1"] + (e["x2"] - e["x1"]) * i / n).alias("x"), (e["y1"] + (e["y2"] - e["y1"]) * i / n).alias("y")
-            ),
-        ))
-
-    return F.flatten(F.transform(edges, points))

@@ -5,15 +5,19 @@ about a hundred times slower. A batch is processed in chunks of at most CHUNK
 (point, edge) or (segment, edge) combinations, so memory does not follow shape sizes.
 """
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField, StructType
 
 CHUNK = 2_000_000
 ON_BOUNDARY = 1e-6  # metres
+SETTLED = 0.01  # metres: shorter pieces of an outline are not halved
 
 EDGE_FIELDS = ("x1", "y1", "x2", "y2")
 EDGES = ArrayType(StructType([StructField(f, DoubleType()) for f in EDGE_FIELDS]))
@@ -176,10 +180,50 @@ def _farthest(points: pa.Array, edges: pa.Array) -> pa.Array:
     return pa.array(_per_row(far, spots.row, len(spots.length), np.maximum, np.nan), from_pandas=True)
 
 
+def _farthest_along(shape: pa.Array, edges: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Farthest point of a shape's outline, as exactly as is needed to know between which bounds it is.
+
+    Along a metre the distance changes by a metre at most, so half of (the distances at both ends
+    + the length) is an upper bound for a piece. Only pieces that may pass the next bound are halved,
+    down to SETTLED metres.
+    """
+    parcel, area = _Lists(shape), _Lists(edges)
+    rows, limits = parcel.row, np.append(np.sort(bounds), np.inf)
+    ends = [*parcel.columns]
+    near = [_signed(ends[0], ends[1], rows, area), _signed(ends[2], ends[3], rows, area)]
+    far = _per_row(np.maximum(*near), rows, len(parcel.length), np.maximum, np.nan)
+    while len(rows):
+        length = np.hypot(ends[2] - ends[0], ends[3] - ends[1])
+        limit = limits[np.searchsorted(limits[:-1], far[rows], side="left")]
+        unsettled = ((near[0] + near[1] + length) / 2 > limit) & (length > SETTLED)
+        rows, ends, near = rows[unsettled], [e[unsettled] for e in ends], [d[unsettled] for d in near]
+        mx, my = (ends[0] + ends[2]) / 2, (ends[1] + ends[3]) / 2
+        middle = _signed(mx, my, rows, area)
+        np.maximum.at(far, rows, middle)
+        halves = ((ends[0], mx), (ends[1], my), (mx, ends[2]), (my, ends[3]))
+        ends = [np.concatenate(h) for h in halves]
+        near = [np.concatenate([near[0], middle]), np.concatenate([middle, near[1]])]
+        rows = np.concatenate([rows, rows])
+    return pa.array(far, from_pandas=True)
+
+
+def farthest_along(shape: Column, edges: Column, bounds: Sequence[float]) -> Column:
+    limits = np.array(bounds, float)
+
+    def along(shape: pa.Array, edges: pa.Array) -> pa.Array:
+        return _farthest_along(shape, edges, limits)
+
+    return arrow_udf(along, DoubleType())(shape, edges)
+
+
 def _near_edges(x: pa.Array, y: pa.Array, limit: pa.Array, edges: pa.Array) -> pa.Array:
     lists = _Lists(edges)
-    reach, px, py = _doubles(limit)[lists.row], _doubles(x)[lists.row], _doubles(y)[lists.row]
-    keep = _edge_distance2(px, py, *lists.columns) <= reach * reach
+    reach, px, py = _doubles(limit), _doubles(x), _doubles(y)
+    keep = np.zeros(len(lists.row), bool)
+    for a, b in _blocks(lists.length):
+        part = slice(lists.start[a], lists.start[b - 1] + lists.length[b - 1])
+        row = lists.row[part]
+        keep[part] = _edge_distance2(px[row], py[row], *(c[part] for c in lists.columns)) <= reach[row] ** 2
     counts = np.bincount(lists.row[keep], minlength=len(lists.length))
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     kept = pa.StructArray.from_arrays([pa.array(c[keep]) for c in lists.columns], names=list(EDGE_FIELDS))

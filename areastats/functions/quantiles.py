@@ -3,8 +3,10 @@
 A group (an area) may hold a third of all rows, so its values are never sorted or
 collected together. Values are first counted per (group, value). Counts per
 (group, bucket) locate the bucket that holds each wanted rank, and only the
-distinct values of that bucket are ranked. Buckets are 1/256 of a power of two
-wide, so a group has some thousands of them however many rows it holds.
+distinct values of that bucket are ranked. A bucket is 1/256 of a power of two wide, so a group
+has some thousands of them however many rows it holds. Values other than whole numbers
+may crowd within one bucket; `refine` cuts located buckets into 65,536 parts once more.
+NaN has no rank; infinities come first and last.
 """
 
 from collections.abc import Callable, Sequence
@@ -19,10 +21,29 @@ def nearest_rank(n: Column, q: float) -> Column:
     return F.floor((n - 1) * F.lit(q) + F.lit(0.5)).cast("long")
 
 
-def value_bucket(value: Column) -> Column:
-    """Monotone in `value`, relative width 2**(1/256)."""
-    size = F.floor(F.log2(F.abs(value.cast("double")) + 1.0) * BUCKETS_PER_OCTAVE)
-    return (F.signum(value.cast("double")) * size).cast("long")
+def _split(value: Column) -> tuple[Column, Column]:
+    """Exponent and mantissa - 1 of a positive finite double, exact for either rounding of log2."""
+    guess = F.floor(F.log2(value))
+    low = F.when(F.pow(F.lit(2.0), guess) > value, guess - 1).otherwise(guess)
+    exponent = F.when(F.pow(F.lit(2.0), low + 1) <= value, low + 1).otherwise(low)
+    return exponent, value / F.pow(F.lit(2.0), exponent) - 1.0
+
+
+def value_bucket(value: Column, part: bool = False) -> Column:
+    """Monotone in `value`, relative width 1/256; with `part`, the part within that bucket (0 to 65,535).
+
+    Values below 2**-1000 share the bucket of zero.
+    """
+    v = value.cast("double")
+    size = F.abs(v)
+    exponent, mantissa = _split(F.when((size >= 2.0**-1000) & (size < float("inf")), size))
+    steps = mantissa * BUCKETS_PER_OCTAVE
+    if part:
+        within = F.floor((steps - F.floor(steps)) * 65_536)
+        return F.coalesce((F.signum(v) * within).cast("long"), F.lit(0).cast("long"))
+    bucket = (exponent + 1001) * BUCKETS_PER_OCTAVE + F.floor(steps)
+    whole = F.when(size == float("inf"), F.lit(10**9)).otherwise(F.coalesce(bucket, F.lit(0)))
+    return (F.signum(v) * whole).cast("long")
 
 
 def select_ranks(
@@ -31,6 +52,7 @@ def select_ranks(
     value: str,
     weight: str,
     ranks: dict[str, Callable[[Column], Column]],
+    refine: bool = False,
 ) -> DataFrame:
     """One row per group with the value at each wanted rank.
 
@@ -38,39 +60,47 @@ def select_ranks(
     names a column for each function from the group's size to a 0-based rank.
     """
     keys = list(keys)
+    ranked = F.col(value).isNotNull() & (F.col(weight) > 0) & ~F.isnan(F.col(value).cast("double"))
     bucketed = (
-        cells.filter(F.col(value).isNotNull() & (F.col(weight) > 0))
+        cells.filter(ranked)
         .select(*keys, F.col(value), F.col(weight).alias("_w"))
         .withColumn("_bucket", value_bucket(F.col(value)))
     )
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.explode(
         F.array(*[
             F.struct(F.lit(name).alias("name"), rank(F.col("_size")).alias("rank"))
             for name, rank in ranks.items()
         ])
     )
-    located = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(F.sum("_w").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
-        .withColumn("_size", F.sum("_n").over(group))
-        .withColumn("_want", wanted)
-        .withColumn("_offset", F.col("_want.rank") - (F.col("_upto") - F.col("_n")))
-        .filter((F.col("_offset") >= 0) & (F.col("_offset") < F.col("_n")))
-        .select(*keys, "_bucket", F.col("_want.name").alias("_name"), "_offset")
-    )
-    in_bucket = (
-        Window.partitionBy(*keys, "_bucket", "_name")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    hits = (
-        bucketed.join(located, [*keys, "_bucket"])
-        .withColumn("_seen", F.sum("_w").over(in_bucket))
-        .filter((F.col("_offset") < F.col("_seen")) & (F.col("_offset") >= F.col("_seen") - F.col("_w")))
+    group = Window.partitionBy(*keys)
+    located = _located(
+        bucketed.groupBy(*keys, "_bucket").agg(F.sum("_w").alias("_n")).withColumn("_size", F.sum("_n").over(group)),
+        group.orderBy("_bucket"), wanted, F.col("_want.rank"),
+    ).select(*keys, "_bucket", F.col("_want.name").alias("_name"), "_offset")
+    inside = bucketed.join(located, [*keys, "_bucket"])
+    place = [*keys, "_bucket", "_name"]
+    if refine:
+        parted = inside.withColumn("_part", value_bucket(F.col(value), part=True))
+        narrowed = _located(
+            parted.groupBy(*place, "_part").agg(F.sum("_w").alias("_n"), F.first("_offset").alias("_before")),
+            Window.partitionBy(*place).orderBy("_part"), F.lit(0), F.col("_before"),
+        ).select(*place, "_part", F.col("_offset").alias("_rest"))
+        inside = parted.join(narrowed, [*place, "_part"]).drop("_offset").withColumnRenamed("_rest", "_offset")
+    in_bucket = Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hits = inside.withColumn("_seen", F.sum("_w").over(in_bucket)).filter(
+        (F.col("_offset") < F.col("_seen")) & (F.col("_offset") >= F.col("_seen") - F.col("_w"))
     )
     return hits.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in ranks]
     )
+
+
+def _located(counted: DataFrame, order, want: Column, rank: Column) -> DataFrame:
+    """The rows (buckets with a count _n, in order) that hold a rank, with the rank's _offset in them."""
+    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        counted.withColumn("_upto", upto)
+        .withColumn("_want", want)
+        .withColumn("_offset", rank - (F.col("_upto") - F.col("_n")))
+        .filter((F.col("_offset") >= 0) & (F.col("_offset") < F.col("_n")))
+    )

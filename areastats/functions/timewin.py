@@ -75,3 +75,10 @@ def snapshots_covering_month(month: Column, snapshots: list, months: int) -> Col
 def month_of_claim_label(label: Column) -> Column:
     """'december_2025' -> '2025-12'."""
     return F.date_format(F.to_date(label, "MMMM_yyyy"), "yyyy-MM")
+
+
+def claim_month(month: Column) -> Column:
+    """yyyy-MM from either form of month; raises on any other text."""
+    return F.when(month.rlike(r"^[0-9]{4}-[0-9]{2}$"), month).when(
+        month.rlike("^[a-z]+_[0-9]{4}$"), month_of_claim_label(month)
+    ).when(month.isNotNull(), F.raise_error(F.concat(F.lit("not a month of claims: "), month)))

@@ -138,32 +138,48 @@ def stitch(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def describe(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Per numeric column: count, null_count, mean, std, min, exact nearest-rank quartiles, max."""
+    """Per numeric column: count, null_count, nan_count, mean, std, min, exact nearest-rank quartiles, max.
+
+    NaN is counted apart and is part of no statistic; infinities are values.
+    """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value")) for c in _numeric(df, keys)
     ])
     cells = shared(df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n")))
-    known = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
-    mean = F.try_divide(F.sum(F.col("value") * F.col("n")), known)
+    nan = F.coalesce(F.isnan("value"), F.lit(False))
+    value = F.when(~nan, F.col("value"))
+    known = F.sum(F.when(value.isNotNull(), F.col("n")))
     basic = cells.groupBy("column").agg(
         F.coalesce(known, F.lit(0)).alias("count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        mean.alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        F.coalesce(F.sum(F.when(nan, F.col("n"))), F.lit(0)).alias("nan_count"),
+        F.try_divide(F.sum(value * F.col("n")), known).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    centred = cells.join(basic.select("column", "mean", "count"), "column")
-    off = F.col("value") - F.col("mean")
-    spread = centred.groupBy("column").agg(
+    off = value - F.col("mean")
+    spread = cells.join(basic.select("column", "mean", "count"), "column").groupBy("column").agg(
         F.sqrt(F.try_divide(F.sum(off * off * F.col("n")), F.max("count") - 1)).alias("std")
     )
     quartiles = select_ranks(cells, ["column"], "value", "n", {
         "25%": lambda n: nearest_rank(n, 0.25),
         "50%": lambda n: nearest_rank(n, 0.5),
         "75%": lambda n: nearest_rank(n, 0.75),
-    })
+    }, refine=True)
     return (
         basic.join(spread, "column", "left")
         .join(quartiles, "column", "left")
-        .select("column", "count", "null_count", "mean", "std", "min", "`25%`", "`50%`", "`75%`", "max")
+        .select("column", "count", "null_count", "nan_count", "mean", "std", "min", "`25%`", "`50%`", "`75%`", "max")
+    )
+
+
+def describe_text(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Per text column: count, null_count, min and max in code point order."""
+    names = [c for c, kind in df.dtypes if kind == "string" and c not in keys]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), _q(c).alias("value")) for c in names])
+    if not names:
+        pairs = pairs.cast("array<struct<column:string,value:string>>")
+    return df.select(F.inline(pairs)).groupBy("column").agg(
+        F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("null_count"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
     )

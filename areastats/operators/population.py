@@ -1,6 +1,5 @@
 """Population features per area from wide age-band tables whose columns differ by year."""
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,14 +15,18 @@ def select_population_columns(raw: DataFrame, key: str = POPULATION_KEY) -> Data
 
 
 def snake_header(name: str) -> str:
-    """'0 - 4 years old population' -> 'aged_0_to_4'; '85 years old and over ...' -> 'aged_85_and_over'."""
-    span = re.match(r"(?P<low>\d+)\s*-\s*(?P<high>\d+)", name)
-    if span:
-        return "aged_{low}_to_{high}".format(**span.groupdict())
-    oldest = re.match(r"(?P<low>\d+).*over", name)
-    if oldest:
-        return "aged_{low}_and_over".format(**oldest.groupdict())
-    return name.replace(" ", "_").lower()
+    """'0 - 4 years old population' -> 'aged_0_to_4'; '85 years old and over ...' -> 'aged_85_and_over'.
+
+    Decided by the ages a header names: two make a span, one with the word "over" the oldest
+    band. Other headers are only written in lower case with underscores.
+    """
+    words = name.lower().split(" ")
+    ages = [w for w in words if w.isdigit()]
+    if len(ages) == 2:
+        return "_".join(["aged", ages[0], "to", ages[1]])
+    if len(ages) == 1 and "over" in words:
+        return f"aged_{ages[0]}_and_over"
+    return "_".join(words)
 
 
 def snake_headers(raw: DataFrame, keep: Sequence[str] = (POPULATION_KEY,)) -> DataFrame:

@@ -26,6 +26,7 @@ from areastats.functions import geometry as G, kernels as K
 from areastats.functions.parallel import shared, spread
 from areastats.functions.tags import count_groups, nearest_pois, ratio_groups
 from areastats.operators.areas import BOX, cover, meeting_pairs
+from areastats.sources.scratch import shared_folder
 
 KEYS = ("lsoa_code",)
 TILE = 250.0
@@ -154,17 +155,18 @@ def polygon_bands(
     polygons: DataFrame,
     distances: Sequence[float],
     keys: Sequence[str] = KEYS,
-    step: float = 5.0,
 ) -> DataFrame:
     """(keys, measure, band, n): polygons (ring, measures) per smallest buffer they lie within.
 
     A polygon lies within a buffer when its farthest point does. For a convex area that
     point is a vertex. Otherwise vertices give a lower and edge lengths an upper bound;
-    only where these fall in different bands are points every `step` metres tested.
+    only where these fall in different bands are edges halved until the band is known, down to
+    a centimetre.
     Within the area itself additionally no edges may cross. Copies of a polygon collapse
     first, and every polygon meets areas only in the block of its first vertex.
     """
     reach = float(max(distances))
+    cell = max(reach, TILE)
     shape = F.col("shape")
     corners = F.transform(shape, lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
     longest = F.array_max(F.transform(shape, lambda e: F.sqrt(
@@ -178,10 +180,10 @@ def polygon_bands(
             "measures", "copies", "shape", corners.alias("corners"), (longest / 2).alias("half"),
             *[c.alias(f"p_{n}") for n, c in G.bounds(shape).items()],
         )
-        .withColumn("bx", F.floor(F.col("shape")[0]["x1"] / reach).cast("long"))
-        .withColumn("by", F.floor(F.col("shape")[0]["y1"] / reach).cast("long"))
+        .withColumn("bx", F.floor(F.col("shape")[0]["x1"] / cell).cast("long"))
+        .withColumn("by", F.floor(F.col("shape")[0]["y1"] / cell).cast("long"))
     )
-    blocks = cover(areas.select(*keys, "edges", "convex", *BOX), reach, reach)
+    blocks = cover(areas.select(*keys, "edges", "convex", *BOX), cell, reach + SLACK)
     held = (
         (F.col("p_minx") >= F.col("minx") - reach) & (F.col("p_maxx") <= F.col("maxx") + reach)
         & (F.col("p_miny") >= F.col("miny") - reach) & (F.col("p_maxy") <= F.col("maxy") + reach)
@@ -199,16 +201,17 @@ def polygon_bands(
             *keys, "measures", "copies", "edges", "shape", "half", "convex",
             F.explode(F.array(K.farthest("corners", "edges"))).alias("v"),
         )
-        .filter(F.col("v") <= reach)
+        .filter(F.col("v") <= reach + SLACK)
     )
     settled = F.col("convex") | band_of(F.col("v")).eqNullSafe(band_of(F.col("v") + F.col("half")))
     # Kernels run on every row, so rows that need no second look hand them nulls.
-    samples = F.when(~settled, G.along_edges(shape, step))
+    outline = F.when(~settled, shape)
+    positive = [d for d in distances if d > 0]
     inner = F.when(~F.col("convex") & (F.col("v") <= SLACK), shape)
     far = (
-        pairs.select(*keys, "measures", "copies", "v", "edges", F.inline(F.array(F.struct(inner.alias("inner"), samples.alias("samples")))))
-        .select(*keys, "measures", "copies", "v", "edges", "inner", F.explode(F.array(K.farthest("samples", "edges"))).alias("sampled"))
-        .select(*keys, "measures", "copies", F.greatest("v", F.coalesce("sampled", "v")).alias("far"), F.explode(F.array(K.leaves("inner", "edges"))).alias("leaves"))
+        pairs.select(*keys, "measures", "copies", "v", "edges", F.inline(F.array(F.struct(inner.alias("inner"), outline.alias("outline")))))
+        .select(*keys, "measures", "copies", "v", "edges", "inner", F.explode(F.array(K.farthest_along(F.col("outline"), F.col("edges"), positive))).alias("along"))
+        .select(*keys, "measures", "copies", F.greatest("v", F.coalesce("along", "v")).alias("far"), F.explode(F.array(K.leaves("inner", "edges"))).alias("leaves"))
     )
     beyond = [i for i, d in enumerate(distances) if d > 0]
     outside = F.lit(beyond[0]) if beyond else F.lit(None).cast("int")
@@ -327,16 +330,21 @@ def _closest(pairs: DataFrame, places: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def _beyond_reach(
-    areas: DataFrame, missing: DataFrame, tile_rows: DataFrame, keys: Sequence[str], reach: float, tile: float, levels: int
+    areas: DataFrame, missing: DataFrame, tile_rows: DataFrame, keys: Sequence[str], reach: float, tile: float
 ) -> DataFrame:
     """Tile pairs for (area, measure) without a point in reach.
 
-    Cells double in size per level. The first level with an occupied cell next to the
-    area bounds the nearest distance; tiles within that bound are candidates.
+    Cells double in size per level, until one is as wide as all tiles and areas together, so that
+    every area has an occupied cell next to it in the last level. The first level with one
+    bounds the nearest distance; tiles within that bound are candidates.
     """
     keys = list(keys)
-    base = reach
-    level = F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level")
+    base = float(max(reach, tile))
+    boxes = tile_rows.select(*BOX).unionByName(areas.select(*BOX))
+    extent = boxes.agg(F.greatest(F.max("maxx") - F.min("minx"), F.max("maxy") - F.min("miny")).alias("_extent"))
+    needed = F.greatest(F.ceil(F.log2(F.col("_extent") / base + 1)).cast("int"), F.lit(0)) + 2
+    levels = extent.select(needed.alias("levels"))  # one row
+    level = F.explode(F.sequence(F.lit(1), F.col("levels"))).alias("level")
     size = F.lit(base) * F.pow(F.lit(2.0), F.col("level"))
     per_poi = tile_rows.select("tx", "ty", "cx", "cy", "half", *[F.col(b).alias(f"t_{b}") for b in BOX], F.explode("counts.measure").alias("measure"))
 
@@ -353,11 +361,11 @@ def _beyond_reach(
 
         return df.withColumn("gx", span("minx", "maxx")).withColumn("gy", span("miny", "maxy"))
 
-    by_level = celled(per_poi.select("*", level))
+    by_level = celled(per_poi.crossJoin(F.broadcast(levels)).select(*per_poi.columns, level))
     occupied = by_level.select("measure", "level", "gx", "gy").distinct()
     sought = missing.join(areas.select(*keys, "edges", *BOX), keys)
     hits = (
-        spread(sought.select(*keys, "measure", *BOX, level), size)
+        spread(sought.crossJoin(F.broadcast(levels)).select(*keys, "measure", *BOX, level), size)
         .join(occupied, ["measure", "level", "gx", "gy"])
         .groupBy(*keys, "measure")
         .agg(F.min("level").alias("hit"))
@@ -366,9 +374,9 @@ def _beyond_reach(
     # diagonal covers the way from the box to the outline.
     diagonal = F.sqrt(F.pow(F.col("maxx") - F.col("minx"), 2) + F.pow(F.col("maxy") - F.col("miny"), 2))
     radius = F.lit(2.0 * math.sqrt(2)) * F.lit(base) * F.pow(F.lit(2.0), F.col("hit")) + diagonal + 2 * tile
-    search = sought.join(hits, [*keys, "measure"]).withColumn("radius", radius).withColumn(
-        "level", F.least(F.col("hit") + 2, F.lit(levels))
-    )
+    search = sought.join(hits, [*keys, "measure"]).crossJoin(F.broadcast(levels)).withColumn("radius", radius).withColumn(
+        "level", F.least(F.col("hit") + 2, F.col("levels"))
+    ).drop("levels")
     return (
         spread(search, F.col("radius"))
         .join(by_level, ["measure", "level", "gx", "gy"])
@@ -387,12 +395,11 @@ def poi_nearest_long(
     keys: Sequence[str] = KEYS,
     reach: float = 5000.0,
     tile: float = TILE,
-    levels: int = 10,
 ) -> DataFrame:
     """(keys, measure, distance): from each area to the nearest point of each poi, 0 inside.
 
     Areas with a poi within `reach` are settled first; for the others the search widens
-    until it has found every poi that exists within reach * 2**levels metres.
+    until it has found every poi that exists.
     """
     tagged = points.select("x", "y", nearest_pois(F.col("tags"), pois).alias("measures"))
     places = locations(tagged, tile)
@@ -402,7 +409,7 @@ def poi_nearest_long(
     found = _closest(by_poi.filter(F.col("s") - F.col("half") <= reach), places, keys).filter(F.col("distance") <= reach)
     wanted = areas.select(*keys, F.explode(F.array(*[F.lit(p) for p in pois])).alias("measure"))
     missing = wanted.join(found, [*keys, "measure"], "left_anti")
-    far = _closest(_beyond_reach(areas, missing, tile_rows, keys, reach, tile, levels), places, keys)
+    far = _closest(_beyond_reach(areas, missing, tile_rows, keys, reach, tile), places, keys)
     return found.unionByName(far)
 
 
@@ -448,11 +455,19 @@ def landuse_shares(
 ) -> DataFrame:
     """landuse_{type}_0 for every area, 0 where absent.
 
-    Without `types` the pivot first reads the distinct types, at most
-    spark.sql.pivotMaxValues of them; name them for a stable schema and no extra job.
+    With `types`, the shares of all other types are summed in landuse_unlisted_0. Without, the pivot
+    first reads the distinct types, at most spark.sql.pivotMaxValues of them, from the stored
+    shares; name them for a stable schema and no extra job.
     """
     long = landuse_long(areas, polygons, keys, cell)
-    pivoted = long.groupBy(*keys).pivot("landuse", list(types) if types is not None else None).agg(F.first("share"))
+    if types is None:
+        folder = shared_folder(areas.sparkSession)
+        long.write.parquet(folder)
+        long = areas.sparkSession.read.schema(long.schema).parquet(folder)
+        pivoted = long.groupBy(*keys).pivot("landuse").agg(F.sum("share"))
+    else:
+        named = F.when(F.col("landuse").isin(list(types)), F.col("landuse")).otherwise("unlisted")
+        pivoted = long.withColumn("landuse", named).groupBy(*keys).pivot("landuse", [*types, "unlisted"]).agg(F.sum("share"))
     named = pivoted.withColumnsRenamed({c: f"landuse_{c}_0" for c in pivoted.columns if c not in keys})
     return areas.select(*keys).join(named, list(keys), "left").fillna(0)
 

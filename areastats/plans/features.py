@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from areastats.functions.timewin import claim_month
 from areastats.operators.claims import claim_features
 from areastats.operators.crime import crime_features
 from areastats.operators.geography import attach_district, connectivity, districts_areas, names_to_codes
@@ -31,13 +32,11 @@ def sales_with_area(
     """Sales of the wanted districts with district and lsoa_code instead of a postcode.
 
     The postcode table is cut to the districts first; a sale without a wanted area drops
-    in either order, so the join can be an inner one. Partitioning it by postcode is what
-    a shuffle join needs anyway, and keeps the result from being partitioned by area,
-    where one area may hold most sales.
+    in either order, so the join can be an inner one. It is broadcast while it is below the
+    threshold; beyond it sales are shuffled by postcode here, and again in the cells that the
+    features count.
     """
-    coded = attach_district(
-        postcodes.select("postcode", "lsoa_code"), "lsoa_code", districts_areas(lookup, districts)
-    ).repartition("postcode")
+    coded = attach_district(postcodes.select("postcode", "lsoa_code"), "lsoa_code", districts_areas(lookup, districts))
     return prices.drop("district").join(coded, "postcode").drop("postcode")
 
 
@@ -63,8 +62,9 @@ def crime_plan(
     keys: Sequence[str] = RUN_KEYS,
     **lists,
 ) -> DataFrame:
-    """`lists` may override categories and outcomes."""
-    rows = attach_district(crimes, "lsoa_code", districts_areas(lookup, districts))
+    """`lists` may override categories and outcomes. A district the crimes come with gives way
+    to that of the lookup."""
+    rows = attach_district(crimes.drop("district"), "lsoa_code", districts_areas(lookup, districts))
     return crime_features(attach_month_snapshots(rows, F.col("month"), snapshots, months), keys, **lists)
 
 
@@ -76,8 +76,8 @@ def claim_plan(
     districts: Sequence[str] | None = None,
     keys: Sequence[str] = RUN_KEYS,
 ) -> DataFrame:
-    """`month` must be yyyy-MM (see `month_of_claim_label`)."""
-    coded = names_to_codes(claims, "lsoa_name", lookup)
+    """`month` is yyyy-MM or a label such as december_2025, as the cubes have it."""
+    coded = names_to_codes(claims.withColumn("month", claim_month(F.col("month"))), "lsoa_name", lookup)
     rows = attach_district(coded, "lsoa_code", districts_areas(lookup, districts))
     return claim_features(attach_month_snapshots(rows, F.col("month"), snapshots, months), keys)
 

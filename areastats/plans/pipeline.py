@@ -79,7 +79,7 @@ def run(
 
     Each source's table is stored first and read back, so the checks and the final
     write do not recompute it: in `features_folder`, or else in a fresh folder under
-    spark.checkpoint.dir.
+    spark.checkpoint.dir (the warehouse where that is unset).
     """
     spark = raw.lookup.sparkSession
     folder = features_folder or scratch.shared_folder(spark)
@@ -104,7 +104,12 @@ def from_stored(
 
 
 def run_pending(
-    raw: Inputs, output: str, snapshots: Sequence[str], months: int = 12, districts: Sequence[str] | None = None
+    raw: Inputs,
+    output: str,
+    snapshots: Sequence[str],
+    months: int = 12,
+    districts: Sequence[str] | None = None,
+    features_folder: str | None = None,
 ) -> list[str]:
     """Run the snapshots that some wanted district has no stored result for; return them.
 
@@ -117,9 +122,11 @@ def run_pending(
     try:
         stored = readers.read_table(raw.lookup.sparkSession, output).select("snapshot_date", "district_slug").distinct()
         wanted = wanted.join(stored, ["snapshot_date", "district_slug"], "left_anti")
-    except AnalysisException:  # nothing stored yet
-        pass
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # nothing stored yet
     due = sorted(str(r.snapshot_date) for r in wanted.select("snapshot_date").distinct().collect())
     if due:
-        run(raw, output, due, months, districts)
+        run(raw, output, due, months, districts, features_folder)
     return due

@@ -11,7 +11,7 @@ from areastats.sources import map_elements
 
 KEY = ["lsoa_code"]
 POLYGON_GROUPS = {"economy": ["ECONOMY"], "retail": ["LARGE", "PROMO"], "mixed": ["PROMO", "SMALL"]}
-LANDUSE_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+LANDUSE_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]  # STANDARD stays unlisted
 
 
 def _xy(x, y):
@@ -72,14 +72,15 @@ def _count_columns(groups, column, source_within=_within):
 
 @query("map_elements", """
 SELECT 'node' AS type, id, x / 1000 AS lon, y / 1000 AS lat, amenity AS tag, CAST(NULL AS BIGINT) AS nodes FROM v_points
-UNION ALL SELECT 'way', id, NULL, NULL, 'path', CAST(2 AS BIGINT) FROM v_lines""")
+UNION ALL SELECT 'way', id, x1 + dx, y1 + dy, 'path', CAST(2 AS BIGINT) FROM v_lines""")
 def _(t):
     node = F.struct(
         F.lit("node").alias("type"), "id", (F.col("x") / 1000).alias("lon"), (F.col("y") / 1000).alias("lat"),
         F.create_map(F.lit("tag"), F.col("amenity")).alias("tags"),
     )
     lonlat = F.array(
-        F.struct(F.col("x1").alias("lon"), F.col("y1").alias("lat")), F.struct(F.col("x1").alias("lon"), F.col("y1").alias("lat"))
+        F.struct(F.col("x1").alias("lon"), F.col("y1").alias("lat")),
+        F.struct((F.col("x1") + F.col("dx")).alias("lon"), (F.col("y1") + F.col("dy")).alias("lat")),
     )
     way = F.struct(
         F.lit("way").alias("type"), "id", F.create_map(F.lit("tag"), F.lit("path")).alias("tags"), lonlat.alias("geometry")
@@ -87,7 +88,8 @@ def _(t):
     texts = t.v_points.select(F.to_json(node).alias("e")).unionByName(t.v_lines.select(F.to_json(way).alias("e")))
     docs = texts.select(F.concat(F.lit('{"elements":['), "e", F.lit("]}")).alias("payload"))
     parsed = map_elements.parse_elements(docs, F.col("payload"))
-    return parsed.select("type", "id", "lon", "lat", F.col("tags")["tag"].alias("tag"), F.size("geometry").cast("long").alias("nodes"))
+    last = F.element_at("geometry", -1)  # ways show their last node
+    return parsed.select("type", "id", F.coalesce("lon", last["lon"]).alias("lon"), F.coalesce("lat", last["lat"]).alias("lat"), F.col("tags")["tag"].alias("tag"), F.size("geometry").cast("long").alias("nodes"))
 
 
 @query("map_split", """
@@ -254,7 +256,7 @@ _OVERLAP = """o AS (SELECT a.area_code AS lsoa_code, l.landuse,
   FROM v_area a, v_landuse l)"""
 _LANDUSE_SQL = ", ".join(
     f"round(coalesce(sum(part) FILTER (landuse = '{k}'), 0), 4) AS \"landuse_{k}_0\"" for k in LANDUSE_TYPES
-)
+) + f""", round(coalesce(sum(part) FILTER (landuse NOT IN ({", ".join(f"'{k}'" for k in LANDUSE_TYPES)})), 0), 4) AS landuse_unlisted_0"""
 
 
 @query("landuse_share", f"WITH {_OVERLAP} SELECT lsoa_code, {_LANDUSE_SQL} FROM o GROUP BY 1")

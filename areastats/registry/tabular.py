@@ -570,16 +570,19 @@ def _(t):
     return rounded(comb.stitch([a, b]))
 
 
-_DESCRIBED = {"price": "price", "n_terraced": "CASE WHEN property_type = 'T' THEN 1 ELSE 0 END", "half": "CASE WHEN old_new = 'Y' THEN NULL ELSE price / 2 END"}
+_DESCRIBED = {
+    "price": "price", "n_terraced": "CASE WHEN property_type = 'T' THEN 1 ELSE 0 END", "half": "CASE WHEN old_new = 'Y' THEN NULL ELSE price / 2 END",
+    "crowded": "CASE WHEN duration = 'L' THEN 1 + CAST(price AS DOUBLE) / 1e9 ELSE CAST('NaN' AS DOUBLE) END", "share": "CAST(price AS DOUBLE) / 1e9",
+}
 
 
 def _describe_sql(name, expr):
     def q(v):
         return f"list_sort(list(v))[CAST(floor((count(v) - 1) * {v}::DOUBLE + 0.5) AS INT) + 1]"
 
-    return f"""SELECT '{name}' AS "column", CAST(count(v) AS BIGINT) AS "count", CAST(count(*) - count(v) AS BIGINT) AS null_count, round(avg(v), 4) AS mean,
+    return f"""SELECT '{name}' AS "column", CAST(count(v) AS BIGINT) AS "count", CAST(count(*) FILTER (x IS NULL) AS BIGINT) AS null_count, CAST(count(*) FILTER (isnan(x)) AS BIGINT) AS nan_count, round(avg(v), 4) AS mean,
 round(stddev_samp(v), 4) AS std, round(min(v), 4) AS min, round({q(0.25)}, 4) AS "25%", round({q(0.5)}, 4) AS "50%", round({q(0.75)}, 4) AS "75%", round(max(v), 4) AS max
-FROM (SELECT CAST({expr} AS DOUBLE) AS v FROM v_price)"""
+FROM (SELECT x, CASE WHEN NOT isnan(x) THEN x END AS v FROM (SELECT CAST({expr} AS DOUBLE) AS x FROM v_price))"""
 
 
 @query("describe", " UNION ALL ".join(_describe_sql(n, e) for n, e in _DESCRIBED.items()))
@@ -588,6 +591,13 @@ def _(t):
     return rounded(comb.describe(wide, keys=["transaction_id"]))
 
 
+@query("describe_text", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS "count", CAST(count(*) - count({c}) AS BIGINT) AS null_count, min({c}) AS min, max({c}) AS max FROM v_crime"""
+for c in ("category", "lsoa_code", "month", "outcome_status")))
+def _(t):
+    return comb.describe_text(t.v_crime, keys=[])
+
+
 _BACKFILL_SQL = "(SELECT unnest([" + ", ".join(f"DATE '{d}'" for d in BACKFILL) + "]) AS snap)"
 
 

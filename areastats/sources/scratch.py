@@ -1,19 +1,17 @@
 """Folder for tables that one job writes and another reads."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's checkpoint directory.
+    """A fresh folder in spark.checkpoint.dir, or in the warehouse where that is unset.
 
-    Only a local session (tests) may fall back to a folder of this machine.
+    Both are folders that all executors share. It is removed when the driver's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="areastats-")
-    return f"{base.rstrip('/')}/areastats-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/areastats-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -30,7 +30,7 @@ SELECT concat('Area ', CAST(s_nationkey AS STRING)) AS lsoa_name,
        CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'universal_credit_no_work_required' WHEN 'AO' THEN 'universal_credit_planning_for_work'
             WHEN 'RF' THEN 'universal_credit_preparing_for_work' ELSE 'universal_credit_searching_for_work' END AS condition_group,
        CAST(sum(l_quantity) AS BIGINT) AS value
-FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey WHERE l_returnflag <> 'N' GROUP BY 1, 2, 3""",
+FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey GROUP BY 1, 2, 3""",
     "v_pop_long": """
 SELECT n_name AS area_code, CASE c_custkey % 5 WHEN 0 THEN 'F0 to 15' WHEN 1 THEN 'M16 to 29' WHEN 2 THEN 'F30 to 44' WHEN 3 THEN 'M45 to 64' ELSE 'F65 and over' END AS band,
        count(*) AS people

@@ -5,7 +5,10 @@ checkpoint remembers processed files, the file sink commits each batch exactly o
 and both survive lost executors and restarts.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -22,9 +25,15 @@ def stream_files(
     )
 
 
-def without_stored(rows: DataFrame, stored: DataFrame, key: str = "month") -> DataFrame:
-    """Drop rows of months that were stored before this run started."""
-    return rows.join(stored.select(key).distinct(), key, "left_anti")
+def without_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop rows that were stored by other means than this stream, by the keys that name a row.
+
+    The checkpoint already keeps a file from being taken twice, so a late file of a month that
+    is stored lands like any other; only rows that are stored themselves drop.
+    """
+    known = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys])
+    return rows.join(known, same, "left_anti")
 
 
 def land_months(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

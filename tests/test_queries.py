@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from areastats import registry
 from compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, CHECKS = registry.QUERIES, registry.CHECKS
 
 
 @pytest.fixture(scope="module")

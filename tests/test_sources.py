@@ -131,9 +131,9 @@ def test_land_months_only_takes_new_files(spark, tmp_path):
     assert land() == [("2025-01", "a"), ("2025-02", "b")]
     arrive("2025-02", "late")
     arrive("2025-03", "c")
-    stored = spark.createDataFrame([("2025-01",), ("2025-02",)], "month string")
-    rows = landing.without_stored(landing.stream_files(spark, inbox, schema), stored)
-    assert land(rows) == [("2025-01", "a"), ("2025-02", "b"), ("2025-03", "c")]
+    stored = spark.createDataFrame([("2025-03", "c"), ("2025-02", "b")], "month string, lsoa_code string")
+    rows = landing.without_stored(landing.stream_files(spark, inbox, schema), stored, ["month", "lsoa_code"])
+    assert land(rows) == [("2025-01", "a"), ("2025-02", "b"), ("2025-02", "late")]
 
 
 def test_pipeline_writes_replaces_and_rebuilds(spark, tmp_path, lookup):

@@ -108,6 +108,9 @@ def test_population(spark):
     assert population.snake_header("0 - 4 years old population") == "aged_0_to_4"
     assert population.snake_header("85 years old and over population") == "aged_85_and_over"
     assert population.snake_header("Total Population") == "total_population"
+    assert population.snake_header("15 - 19 Years Old Population") == "aged_15_to_19"
+    assert population.snake_header("Aged 90 And Over") == "aged_90_and_over"
+    assert population.snake_header("Area Code 2021") == "area_code_2021"
 
 
 def test_geography_fan_out_and_gaps(spark):
