@@ -56,8 +56,9 @@ def snapshot_dates(start, end, step_months: int = 3) -> Column:
     )
 
 
-def default_snapshot() -> Column:
-    return F.trunc(F.current_date(), "MM")
+def default_snapshot(today: Column | None = None) -> Column:
+    """First day of the month of `today`, the current date by default."""
+    return F.trunc(F.current_date() if today is None else today, "MM")
 
 
 def snapshots_covering(moment: Column, snapshots: list, months: int) -> Column:

@@ -1,14 +1,15 @@
 """Whole runs: every source's features for all wanted snapshots and districts, combined and written."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.functions.text import district_slug
 from areastats.operators.combine import combine_checked
-from areastats.operators.areas import with_edges
+from areastats.operators.areas import check_srid, with_edges
 from areastats.operators.geography import attach_district, districts_areas
 from areastats.operators.spatial import map_features
 from areastats.plans import features
@@ -26,8 +27,9 @@ class Inputs:
     claims: DataFrame | None = None
     population: DataFrame | None = None
     connectivity: DataFrame | None = None
-    boundaries: DataFrame | None = None  # lsoa_code, polygons in metres
-    elements: DataFrame | None = None  # map elements in lon / lat
+    boundaries: DataFrame | None = None  # lsoa_code, polygons in metres; srid, where there is one, is checked
+    elements: DataFrame | None = None  # map elements in lon / lat; with snapshot_date, one map per snapshot
+    boxes: DataFrame | None = None  # boxes in degrees by district (areas.district_bbox); elements elsewhere are skipped
     landuse_types: Sequence[str] | None = None
 
 
@@ -45,21 +47,46 @@ def feature_frames(
     if raw.prices is not None:
         out["prices"] = features.price_plan(raw.prices, raw.postcodes, raw.lookup, snapshots, months, districts)
     if raw.elements is not None:
-        shapes = attach_district(raw.boundaries, "lsoa_code", districts_areas(raw.lookup, districts))
-        points, polygons, lines = map_elements.split_elements(raw.elements)
-        out["map"] = map_features(
-            with_edges(shapes, features.AREA_KEYS),
-            map_elements.points_to_grid(points),
-            map_elements.ways_to_grid(polygons),
-            map_elements.ways_to_grid(lines),
-            features.AREA_KEYS,
-            landuse_types=raw.landuse_types,
-        )
+        boundaries = check_srid(raw.boundaries) if "srid" in raw.boundaries.columns else raw.boundaries
+        shapes = attach_district(boundaries.drop("district"), "lsoa_code", districts_areas(raw.lookup, districts))
+        elements = raw.elements
+        if raw.boxes is not None:
+            wanted = districts_areas(raw.lookup, districts).select("district").distinct()
+            elements = map_elements.near_boxes(elements, raw.boxes.join(wanted, "district", "left_semi"))
+        out["map"] = _per_snapshot(elements, snapshots, lambda e: _map_frame(shapes, e, raw.landuse_types))
     if raw.population is not None:
-        out["population"] = features.population_plan(raw.population, raw.lookup, districts)
+        out["population"] = _per_snapshot(
+            raw.population, snapshots, lambda p: features.population_plan(p, raw.lookup, districts)
+        )
     return out
 
 
+def _per_snapshot(rows: DataFrame, snapshots: Sequence[str], plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One frame for all snapshots, or, where the rows have a snapshot_date, one of each snapshot's own rows.
+
+    The plans of different snapshots share no rows, so nothing is gained by one plan for all.
+    """
+    if "snapshot_date" not in rows.columns:
+        return plan(rows)
+    frames = []
+    for s in snapshots:
+        day = F.lit(s).cast("date")
+        frames.append(plan(rows.filter(F.col("snapshot_date") == day).drop("snapshot_date")).withColumn("snapshot_date", day))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _map_frame(shapes: DataFrame, elements: DataFrame, landuse_types: Sequence[str] | None) -> DataFrame:
+    points, polygons, lines = map_elements.split_elements(elements)
+    return map_features(
+        with_edges(shapes, features.AREA_KEYS),
+        map_elements.points_to_grid(points),
+        map_elements.ways_to_grid(polygons),
+        map_elements.ways_to_grid(lines),
+        features.AREA_KEYS,
+        landuse_types=landuse_types,
+    )
+
+
 def _dated(frame: DataFrame, snapshots: Sequence[str]) -> DataFrame:
     """Give a frame without a snapshot one copy per snapshot, so that it can be stored like the others."""
     if "snapshot_date" in frame.columns:

@@ -9,6 +9,7 @@ from areastats.operators import claims, combine as comb, crime, geography as geo
 from areastats.plans import features
 from areastats.registry.base import query, rounded
 from areastats.sources import crime_feed, cube, inventory, readers, scratch, writers
+from areastats.streaming import landing
 from areastats.sources.schemas import PRICE_SCHEMA
 
 SNAPSHOT = "1998-12-01"
@@ -208,12 +209,16 @@ def _(t):
 @query("uc_flatten", """
 SELECT lsoa_name, concat('m_', month) AS month, CAST(value AS DOUBLE) AS value, condition_group FROM v_uc""")
 def _(t):
-    # One response per area and group; months of one area bound the size of a response.
+    return _cubes(t, F.concat(F.lit("M "), "month"))
+
+
+def _cubes(t, label):
+    """One response per area and group; months of one area bound the size of a response."""
     cell = F.when(F.col("value") % 2 == 0, F.to_json(F.array("value"))).otherwise(F.col("value").cast("string"))
     per_area = t.v_uc.groupBy("condition_group", "lsoa_name").agg(
-        F.array_sort(F.collect_list(F.struct("month", cell.alias("cell")))).alias("m")
+        F.array_sort(F.collect_list(F.struct("month", cell.alias("cell"), label.alias("label")))).alias("m")
     )
-    labels = F.array_join(F.transform("m", lambda s: F.concat(F.lit('"M '), s["month"], F.lit('"'))), ",")
+    labels = F.array_join(F.transform("m", lambda s: F.concat(F.lit('"'), s["label"], F.lit('"'))), ",")
     cells = F.array_join(F.transform("m", lambda s: s["cell"]), ",")
     payload = F.concat(
         F.lit('{"fields":[{"label":"National - Regional - LA - OAs","items":[{"labels":["'), F.col("lsoa_name"),
@@ -232,7 +237,7 @@ def _(t):
     return crime_feed.label_crimes(t.part.select(F.col("p_partkey").alias("id"), kind.alias("kind")), "kind")
 
 
-@query("crime_bulk", """
+_BULK_SQL = """
 WITH street AS (SELECT CASE WHEN l_linenumber = 3 THEN NULL ELSE concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) END AS crime_id,
     strftime(l_shipdate, '%Y-%m') AS month, CASE WHEN s_nationkey % 6 = 0 THEN concat('OLD_', n_name) WHEN s_nationkey IN (23, 24) THEN 'OLD_SPLIT' ELSE n_name END AS code,
     CASE p_type WHEN 'PROMO' THEN 'Drugs' ELSE p_type END AS kind
@@ -244,8 +249,10 @@ recoded AS (SELECT s.crime_id, s.month, s.kind, coalesce(m.lsoa_code_21, s.code)
 SELECT r.month, g.lad_name AS district, r.code AS lsoa_code, CASE r.kind WHEN 'Drugs' THEN 'drugs' ELSE r.kind END AS category,
        o.outcome AS outcome_status, CAST(count(*) AS BIGINT) AS crimes
 FROM recoded r JOIN (SELECT DISTINCT lad_name, lsoa_code_21 FROM v_geo) g ON r.code = g.lsoa_code_21
-LEFT JOIN outcomes o ON r.crime_id = o.crime_id AND r.month = o.month GROUP BY ALL""")
-def _(t):
+LEFT JOIN outcomes o ON r.crime_id = o.crime_id AND r.month = o.month GROUP BY ALL"""
+
+
+def _bulk(t):
     crime_id = F.concat_ws("-", "l_orderkey", "l_linenumber")
     month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
     nation = F.col("s_nationkey")
@@ -265,8 +272,30 @@ def _(t):
         .when(F.col("l_returnflag") == "A", F.array(F.lit("Under investigation"), F.lit("Local resolution")))
     )
     outcomes = t.lineitem.select(crime_id.alias("Crime ID"), month, F.explode(events).alias("Outcome type"))
-    merged = crime_feed.merge_bulk_crime(street, outcomes, t.v_geo, geo.districts_areas(t.v_geo))
-    return merged.groupBy("month", "district", "lsoa_code", "category", "outcome_status").agg(F.count("*").alias("crimes"))
+    return crime_feed.merge_bulk_crime(street, outcomes, t.v_geo, geo.districts_areas(t.v_geo))
+
+
+@query("crime_bulk", _BULK_SQL)
+def _(t):
+    return _bulk(t).groupBy("month", "district", "lsoa_code", "category", "outcome_status").agg(F.count("*").alias("crimes"))
+
+
+_BULK_LISTS = {"categories": ["drugs", "LARGE", "SMALL"], "outcomes": ["Local resolution", "Under investigation"]}
+
+
+def _weighed(column, labels):
+    return f"CAST(coalesce(sum(crimes) FILTER ({column} IN ('" + "', '".join(labels) + "')), 0) AS BIGINT)"
+
+
+@query("crime_chain", f"""
+WITH bulk AS ({_BULK_SQL})
+SELECT district, lsoa_code, {", ".join(f'{_weighed(c, [x])} AS "{x}"' for c, k in (("category", "categories"), ("outcome_status", "outcomes")) for x in _BULK_LISTS[k])},
+  {_weighed("category", _BULK_LISTS["categories"])} AS total_crimes,
+  round({_weighed("outcome_status", _BULK_LISTS["outcomes"])} / nullif({_weighed("category", _BULK_LISTS["categories"])}, 0), 4) AS resolution_rate
+FROM bulk WHERE month BETWEEN '1998-01' AND '1998-12' GROUP BY 1, 2""")
+def _(t):
+    """Bulk files to features in one chain."""
+    return rounded(features.crime_plan(_bulk(t), t.v_geo, [SNAPSHOT], MONTHS, **_BULK_LISTS).drop("snapshot_date"))
 
 
 @query("crime_normalise", """
@@ -451,6 +480,16 @@ def _(t):
     return rounded(features.claim_plan(t.v_uc, t.v_geo, [SNAPSHOT], MONTHS).drop("snapshot_date"))
 
 
+@query("claims_chain", f"""
+WITH {_CLAIMS_SQL}, {_monthly_sql(_UC_WINDOW)}
+SELECT district, lsoa_code, {_TOTALS_SQL}, {_MEANS_SQL}, {_SHARES_SQL} FROM monthly GROUP BY 1, 2""")
+def _(t):
+    """Cubes with month names to features in one chain."""
+    month = F.date_format(F.to_date(F.concat("month", F.lit("-01"))), "MMMM yyyy")
+    rows = _cubes(t, month).withColumn("value", F.col("value").cast("long"))
+    return rounded(features.claim_plan(rows, t.v_geo, [SNAPSHOT], MONTHS).drop("snapshot_date"))
+
+
 _BANDS = ["F0 to 15", "M16 to 29", "F30 to 44", "M45 to 64", "F65 and over"]
 
 
@@ -492,9 +531,9 @@ def _(t):
 def _frames(t):
     people, scores = features.population_plan(_people(t), t.v_geo), features.connectivity_plan(t.v_connectivity, t.v_geo)
     return [
-        features.price_plan(t.v_price, t.v_postcode, t.v_geo, [SNAPSHOT], MONTHS).select(*features.RUN_KEYS, "lsoa_mean_price", "total_transactions"),
-        features.crime_plan(t.v_crime, t.v_geo, [SNAPSHOT], MONTHS, **LISTS).select(*features.RUN_KEYS, "total_crimes", "resolution_rate"),
-        features.claim_plan(t.v_uc, t.v_geo, [SNAPSHOT], MONTHS).select(*features.RUN_KEYS, "total_claims", "mean_monthly_claims"),
+        features.price_plan(t.v_price, t.v_postcode, t.v_geo, [SNAPSHOT], MONTHS),
+        features.crime_plan(t.v_crime, t.v_geo, [SNAPSHOT], MONTHS, **LISTS),
+        features.claim_plan(t.v_uc, t.v_geo, [SNAPSHOT], MONTHS),
         people,
         scores,
     ]
@@ -505,11 +544,11 @@ def _spine(t):
 
 
 _COMBINE_SQL = f"""WITH {_SALES}, {_CLAIMS_SQL}, {_monthly_sql(_UC_WINDOW)},
-p AS (SELECT lsoa_code, round(avg(price), 4) AS lsoa_mean_price, CAST(count(*) AS BIGINT) AS total_transactions FROM sales WHERE {_WINDOW} GROUP BY 1),
+p AS (SELECT lsoa_code, {", ".join(f'{sql} AS "{name}"' for name, sql in PRICE_SQL.items())} FROM sales WHERE {_WINDOW} GROUP BY 1),
 c AS (SELECT lsoa_code, {_CRIME_STATS_SQL} FROM v_crime WHERE month BETWEEN '1998-01' AND '1998-12' GROUP BY 1),
-u AS (SELECT lsoa_code, {_TOTALS_SQL}, {_MEANS_SQL} FROM monthly GROUP BY 1),
+u AS (SELECT lsoa_code, {_TOTALS_SQL}, {_MEANS_SQL}, {_SHARES_SQL} FROM monthly GROUP BY 1),
 pop AS ({_POPULATION_SQL})
-SELECT a.district, a.lsoa_code, p.lsoa_mean_price, p.total_transactions, c.total_crimes, c.resolution_rate, u.total_claims, u.mean_monthly_claims,
+SELECT a.district, a.lsoa_code, p.* EXCLUDE (lsoa_code), c.* EXCLUDE (lsoa_code), u.* EXCLUDE (lsoa_code),
   pop.lsoa_population, pop.aged_under_15, pop.working_age_population, pop.pension_age_population, CAST(s.stops AS BIGINT) AS stops, s.score_pence
 FROM {_AREA} a LEFT JOIN p USING (lsoa_code) LEFT JOIN c USING (lsoa_code) LEFT JOIN u USING (lsoa_code) LEFT JOIN pop USING (lsoa_code)
 LEFT JOIN v_connectivity s ON s.LSOA21CD = a.lsoa_code"""
@@ -660,3 +699,52 @@ def _(t):
         writers.write_features(frame, folder, f"source_{i}")
     stored = [readers.read_features(t.spark, folder, f"source_{i}") for i in range(len(dated))]
     return rounded(comb.combine(_spine(t), *stored, keys=features.RUN_KEYS).drop("snapshot_date"))
+
+
+# ---------------------------------------------------------------- sinks, read back
+
+
+@query("lookup_csv", "SELECT lsoa_code_11, lsoa_code_21, lsoa_name_21, lad_name FROM v_geo")
+def _(t):
+    folder = scratch.shared_folder(t.spark)
+    writers.write_lookup_csv(t.v_geo, folder)
+    return readers.read_area_lookup(t.spark, folder).select("lsoa_code_11", "lsoa_code_21", "lsoa_name_21", "lad_name")
+
+
+_MONTHLY_CRIME = "SELECT month, lsoa_code, category, outcome_status, CAST(count(*) AS BIGINT) AS crimes FROM v_crime GROUP BY 1, 2, 3, 4"
+
+
+def _counted(rows):
+    return rows.groupBy("month", "lsoa_code", "category", "outcome_status").agg(F.count("*").alias("crimes"))
+
+
+@query("months_written", _MONTHLY_CRIME)
+def _(t):
+    """Months are written twice: the second write replaces its own months only."""
+    folder = scratch.shared_folder(t.spark)
+    writers.write_months(t.v_crime, folder)
+    writers.write_months(t.v_crime.filter("month < '1995-01'"), folder)
+    return _counted(readers.read_table(t.spark, folder))
+
+
+@query("months_landed", _MONTHLY_CRIME)
+def _(t):
+    """Files land in two rounds; the second brings late rows of months that are stored."""
+    folder = scratch.shared_folder(t.spark)
+    inbox, table, mark = (f"{folder}/{n}" for n in ("inbox", "table", "mark"))
+    late = F.pmod(F.xxhash64("lsoa_code", "category"), F.lit(2)) == 1
+    for part in (t.v_crime.filter(~late), t.v_crime.filter(late)):
+        part.write.mode("append").parquet(inbox)
+        landing.land_months(landing.stream_files(t.spark, inbox, part.schema), table, mark).awaitTermination()
+    return _counted(readers.read_table(t.spark, table))
+
+
+@query("filled_checked", f"""
+SELECT id, CASE WHEN amount IS NULL OR isnan(amount) OR isinf(amount) THEN 0 ELSE amount END AS amount, coalesce(buyer, 0) AS buyer FROM {_DIRTY_SQL}""")
+def _(t):
+    return comb.check_filled(comb.fill(_dirty(t).drop("status"), keys=["id"]), keys=["id"])
+
+
+@query("default_snapshot", "SELECT o_orderkey AS id, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS snapshot_date FROM orders")
+def _(t):
+    return t.orders.select(F.col("o_orderkey").alias("id"), timewin.default_snapshot(F.col("o_orderdate")).cast("date").cast("string").alias("snapshot_date"))

@@ -36,6 +36,25 @@ def split_elements(elements: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return points, polygons, lines
 
 
+def near_boxes(elements: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Elements with a node in a box of degrees (see `areas.district_bbox`), before anything is projected.
+
+    One small row per district reaches the driver and becomes a condition on each element.
+    """
+    sides = ("min_lon", "min_lat", "max_lon", "max_lat")
+    listed = [tuple(r) for r in boxes.select(*sides).collect()]
+    if not listed:
+        return elements.filter(F.lit(False))
+    known = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(sides, box, strict=True)]) for box in listed])
+
+    def inside(lon: Column, lat: Column) -> Column:
+        return F.exists(known, lambda b: lon.between(b["min_lon"], b["max_lon"]) & lat.between(b["min_lat"], b["max_lat"]))
+
+    node = inside(F.col("lon"), F.col("lat"))
+    way = F.exists("geometry", lambda n: inside(n["lon"], n["lat"]))
+    return elements.filter(F.coalesce(F.when(F.col("type") == "node", node).otherwise(way), F.lit(False)))
+
+
 def points_to_grid(points: DataFrame) -> DataFrame:
     return add_grid(points).select("id", "tags", "x", "y")
 

@@ -136,6 +136,47 @@ def test_land_months_only_takes_new_files(spark, tmp_path):
     assert land(rows) == [("2025-01", "a"), ("2025-02", "b"), ("2025-02", "late")]
 
 
+def test_near_boxes(spark):
+    rows = [
+        ("node", 1, 0.5, 50.5, None), ("node", 2, 3.0, 50.5, None), ("way", 3, None, None, [(9.0, 9.0), (0.1, 50.1)]),
+        ("way", 4, None, None, [(9.0, 9.0)]), ("node", 5, None, None, None), ("way", 6, None, None, None),
+    ]
+    elements = spark.createDataFrame(rows, "type string, id long, lon double, lat double, geometry array<struct<lon:double,lat:double>>")
+    boxes = spark.createDataFrame([("d", 50.0, 0.0, 51.0, 1.0)], "district string, min_lat double, min_lon double, max_lat double, max_lon double")
+    assert sorted(r.id for r in map_elements.near_boxes(elements, boxes).collect()) == [1, 3]
+    assert map_elements.near_boxes(elements, boxes.limit(0)).count() == 0
+
+
+def test_maps_and_people_of_their_own_snapshot(spark, tmp_path, lookup):
+    """Six sources in one run; each snapshot has its own map and its own people."""
+    square = [[[(400_000.0, 300_000.0), (401_000.0, 300_000.0), (401_000.0, 301_000.0), (400_000.0, 301_000.0)]]]
+    shape = "polygons array<array<array<struct<x:double,y:double>>>>"
+    node = "SELECT 'node' AS type, {id}L AS id, -1.99D AS lon, 52.6D AS lat, map('amenity', '{tag}') AS tags, CAST(NULL AS ARRAY<STRUCT<lon: DOUBLE, lat: DOUBLE>>) AS geometry, date'{day}' AS snapshot_date"
+    elements = spark.sql(" UNION ALL ".join([node.format(id=1, tag="pub", day="2025-06-01"), node.format(id=2, tag="pub", day="2025-09-01"), node.format(id=3, tag="pub", day="2025-09-01")]))
+    raw = pipeline.Inputs(
+        lookup=lookup,
+        prices=spark.sql("SELECT 100L AS price, timestamp_ntz'2025-05-01 00:00:00' AS date_of_transfer, 'P1' AS postcode, 'T' AS property_type, 'N' AS old_new, 'F' AS duration"),
+        postcodes=spark.createDataFrame([("P1", "n1")], "postcode string, lsoa_code string"),
+        crimes=spark.createDataFrame([("n1", "2025-05", "drugs", None, "stale")], "lsoa_code string, month string, category string, outcome_status string, district string"),
+        claims=spark.createDataFrame([("N1", "may_2025", "universal_credit_no_work_required", 3)], "lsoa_name string, month string, condition_group string, value long"),
+        population=spark.sql("SELECT 'n1' AS `LSOA 2021 Code`, 5L AS `F0 to 15`, date'2025-06-01' AS snapshot_date UNION ALL SELECT 'n1', 7L, date'2025-09-01'"),
+        connectivity=spark.createDataFrame([("n1", 4)], "LSOA21CD string, stops long"),
+        boundaries=spark.createDataFrame([("n1", 27700, square)], f"lsoa_code string, srid int, {shape}"),
+        elements=elements, landuse_types=["farm"],
+    )
+    out = str(tmp_path / "out")
+    pipeline.run(raw, out, ["2025-06-01", "2025-09-01"], months=3)
+    got = {str(r.snapshot_date): r for r in readers.read_table(spark, out).filter("lsoa_code = 'n1'").collect()}
+    assert [got[d].lsoa_population for d in sorted(got)] == [5, 7]
+    pubs = [c for c in readers.read_table(spark, out).columns if c.startswith("count_pub") or c.startswith("count_nightlife")]
+    counts = [c for c in readers.read_table(spark, out).columns if c.startswith("count_") and c.endswith("_5000")]
+    assert [max(got[d][c] for c in counts) for d in sorted(got)] == [1, 2], pubs
+    assert got["2025-06-01"].drugs == 1 and got["2025-06-01"].stops == 4 and got["2025-06-01"].lsoa_mean_price == 100.0
+    degrees = pipeline.Inputs(lookup=lookup, boundaries=raw.boundaries.withColumn("srid", F.lit(4326)), elements=elements)
+    with pytest.raises(ValueError, match="srid"):
+        pipeline.feature_frames(degrees, ["2025-06-01"])
+
+
 def test_pipeline_writes_replaces_and_rebuilds(spark, tmp_path, lookup):
     raw = pipeline.Inputs(
         lookup=lookup,

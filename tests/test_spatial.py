@@ -203,3 +203,43 @@ def test_boundaries(spark, areas):
     row = area_ops.with_edges(df.select("lsoa_code", area_ops.parse_geojson(F.col("shape")).alias("polygons"))).first()
     assert row.area == pytest.approx(16 - 1 + 4) and len(row.edges) == 12 and not row.convex
     assert (row.minx, row.maxx, row.maxy) == (0, 12, 4)
+
+
+def test_nearest_at_any_distance_and_reach(spark, areas):
+    spots = [(300_000.0, 50.0, "pub"), (20_000_000.0, 0.0, "cafe"), (5000.5, 500.0, "school")]
+    df = spark.createDataFrame([(x, y, {"amenity": t}) for x, y, t in spots], "x double, y double, tags map<string,string>")
+    for reach in (0, 100, 5000):
+        got = {r.lsoa_code: r for r in spatial.poi_nearest(areas, df, ["pub", "cafe", "school"], reach=reach).collect()}
+        for name, polygons in AREAS.items():
+            for x, y, tag in spots:
+                assert got[name][f"nearest_{tag}"] == pytest.approx(max(0.0, signed((x, y), edges_of(polygons)))), (reach, name, tag)
+
+
+def test_polygons_inside_only(spark, areas):
+    ring = [(100.0, 100.0), (200.0, 100.0), (150.0, 200.0)]
+    df = spark.createDataFrame([([*ring], {"amenity": "pub"})], "ring array<struct<x:double,y:double>>, tags map<string,string>")
+    no_points = spark.createDataFrame([], "x double, y double, tags map<string,string>")
+    got = {r.lsoa_code: r.count_g_0 for r in spatial.poi_counts(areas, no_points, df, {"g": ["pub"]}, [0]).collect()}
+    assert got == {name: int(all(signed(p, edges_of(polygons)) <= 0 for p in ring)) for name, polygons in AREAS.items()}
+
+
+def test_farthest_point_between_bounds():
+    """The band is right to a centimetre, where samples 5 m apart would miss the farthest point."""
+    import pyarrow as pa
+
+    from areastats.functions import kernels as K
+
+    rng = np.random.default_rng(5)
+    area = [(*a, *b) for a, b in edges_of(AREAS["holed"])]
+    shapes, truth = [], []
+    for _ in range(30):
+        corners = rng.uniform(-2000, 8000, (4, 2))
+        edges = [(*corners[i], *corners[(i + 1) % 4]) for i in range(4)]
+        shapes.append(edges)
+        along = [(x1 + (x2 - x1) * k / 4000, y1 + (y2 - y1) * k / 4000) for x1, y1, x2, y2 in edges for k in range(4001)]
+        truth.append(K._signed(np.array([p[0] for p in along]), np.array([p[1] for p in along]), np.zeros(len(along), int), K._Lists(pa.array([[dict(zip(K.EDGE_FIELDS, e)) for e in area]]))).max())
+    as_rows = lambda rows: pa.array([[dict(zip(K.EDGE_FIELDS, map(float, e))) for e in r] for r in rows])
+    bounds = np.array([t - 0.5 for t in truth[:10]] + [t + 0.5 for t in truth[10:20]])
+    far = K._farthest_along(as_rows(shapes), as_rows([area] * len(shapes)), bounds).to_numpy()
+    band = lambda v: np.searchsorted(np.sort(bounds), v)
+    assert (band(far) == band(np.array(truth))).all()

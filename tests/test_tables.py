@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from areastats.functions.quantiles import nearest_rank, select_ranks
+from areastats.functions import timewin
+from areastats.functions.quantiles import nearest_rank, select_ranks, value_bucket
 from areastats.functions.text import district_slug
 from areastats.operators import claims, combine, crime, geography, population, prices, runs
 from areastats.plans import features
@@ -179,3 +180,26 @@ def test_several_snapshots_equal_single_runs(spark):
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, single[0].union(single[1]).collect()))
     one = features.crime_plan(crimes, lookup, ["2024-04-01"], 2, ["E"]).collect()
     assert [(r.district, r.drugs) for r in one] == [("E", 1)]
+
+
+def test_describe_splits_crowded_values_and_leaves_nan_out(spark):
+    inf, nan = float("inf"), float("nan")
+    crowded = [1 + i * 1e-9 for i in range(4001)]
+    small = [i * 1e-7 for i in range(4001)]
+    odd = [nan, inf, -inf, None, -2.0, 0.0, -0.5, 0.5, 2.0] + [None] * 3992
+    df = spark.createDataFrame(list(zip(crowded, small, odd, strict=True)), "crowded double, small double, odd double")
+    got = {r["column"]: r for r in combine.describe(df, keys=[]).collect()}
+    for name, values in (("crowded", crowded), ("small", small)):
+        assert [got[name][q] for q in ("25%", "50%", "75%")] == [values[1000], values[2000], values[3000]]
+    row = got["odd"]
+    assert (row["count"], row.null_count, row.nan_count, row.min, row.max) == (7, 3993, 1, -inf, inf)
+    assert [row[q] for q in ("25%", "50%", "75%")] == [-0.5, 0.0, 2.0]
+    buckets = df.select(value_bucket(F.col("crowded"), part=True).alias("p")).distinct().count()
+    assert buckets > 10  # values of one bucket are cut further
+
+
+def test_claim_months(spark):
+    df = spark.createDataFrame([("2025-12",), ("december_2025",), (None,)], "m string")
+    assert [r[0] for r in df.select(timewin.claim_month(F.col("m"))).collect()] == ["2025-12", "2025-12", None]
+    with pytest.raises(Exception, match="not a month"):
+        spark.createDataFrame([("Q4 2025",)], "m string").select(timewin.claim_month(F.col("m"))).collect()
