@@ -307,17 +307,21 @@ def poi_ratios(
 # ---------------------------------------------------------------- nearest
 
 
-def _closest(pairs: DataFrame, places: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _closest(pairs: DataFrame, places: DataFrame, areas: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Tile pairs (one measure each) -> exact least distance per (keys, measure).
 
     Only tiles whose nearest possible point beats the best farthest possible one are opened.
+    Outlines are no part of the pairs that are shuffled to find these; the few tiles
+    that stay meet their area's outline again.
     """
     low = F.greatest(F.col("s") - F.col("half"), F.lit(0.0))
     high = F.greatest(F.col("s") + F.col("half"), F.lit(0.0))
     group = Window.partitionBy(*keys, "measure")
     kept = (
-        pairs.withColumn("_best", F.min(high).over(group))
+        pairs.select(*keys, "measure", "tx", "ty", "cx", "cy", "s", "half")
+        .withColumn("_best", F.min(high).over(group))
         .filter(low <= F.col("_best"))
+        .join(areas.select(*keys, "edges"), list(keys))
         .select(*keys, "measure", "tx", "ty", "s", "half", _edges_for_tile().alias("near_edges"))
     )
     inner = places.select("tx", "ty", "x", "y", F.explode("measures").alias("measure"))
@@ -406,10 +410,10 @@ def poi_nearest_long(
     tile_rows = tiles(places)
     pairs = measured_tiles(areas, tile_rows, keys, reach, tile)
     by_poi = pairs.withColumn("measure", F.explode("counts.measure"))
-    found = _closest(by_poi.filter(F.col("s") - F.col("half") <= reach), places, keys).filter(F.col("distance") <= reach)
+    found = _closest(by_poi.filter(F.col("s") - F.col("half") <= reach), places, areas, keys).filter(F.col("distance") <= reach)
     wanted = areas.select(*keys, F.explode(F.array(*[F.lit(p) for p in pois])).alias("measure"))
     missing = wanted.join(found, [*keys, "measure"], "left_anti")
-    far = _closest(_beyond_reach(areas, missing, tile_rows, keys, reach, tile), places, keys)
+    far = _closest(_beyond_reach(areas, missing, tile_rows, keys, reach, tile), places, areas, keys)
     return found.unionByName(far)
 
 
