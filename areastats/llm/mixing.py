@@ -140,5 +140,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     per_id = stored(per_id, "mix")
     same_id = lambda ids: docs["doc_id"].cast("long") == ids["mix_id"]
     once, more = per_id.where("mix_rows = 1"), per_id.where("mix_rows > 1")
-    taken = docs.join(once, same_id(once)).unionByName(docs.join(more, same_id(more)).dropDuplicates(["doc_id"]))
+    # One shuffle of the texts, by doc_id, at any size: the ids are too many to broadcast.
+    taken = docs.join(once.hint("merge"), same_id(once)).unionByName(docs.join(more.hint("merge"), same_id(more)).dropDuplicates(["doc_id"]))
     return taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).drop("mix_id", "mix_copies", "mix_rows")

@@ -326,7 +326,8 @@ def near_duplicate_components(
 def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """Keep the document with the smallest doc_id of each near-duplicate group, all columns.
 
-    Rows that repeat a kept doc_id come once. Rows without a doc_id stay.
+    Rows that repeat a kept doc_id come once. Rows without a doc_id stay. The texts are shuffled
+    once, by doc_id, at any size: the ids that stay are too many to broadcast.
     """
     found = stored(near_duplicate_components(docs, width, similarity), "groups")
     kept = found.where("doc_id = component_id").groupBy("doc_id").count()
@@ -334,7 +335,7 @@ def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     more = kept.where("count > 1").select(F.col("doc_id").alias("kept_id"))
     same_id = lambda ids: docs["doc_id"].cast("long") == ids["kept_id"]
     return (
-        docs.join(once, same_id(once), "left_semi")
-        .unionByName(docs.join(more, same_id(more), "left_semi").dropDuplicates(["doc_id"]))
+        docs.join(once.hint("merge"), same_id(once), "left_semi")
+        .unionByName(docs.join(more.hint("merge"), same_id(more), "left_semi").dropDuplicates(["doc_id"]))
         .unionByName(docs.where(F.col("doc_id").isNull()))
     )
