@@ -62,17 +62,21 @@ def fingerprint(text: str, width: int) -> bytes:
     return np.packbits(2 * total > n).tobytes()
 
 
-def wide_fingerprint(text: str, width: int, words: int, keys: int) -> tuple[bytes, list[int]]:
-    """A SimHash of `words` x 64 bits and `keys` min-wise shingle hashes (none: zeros)."""
-    total, n = np.zeros(64 * words, np.int64), 0
+def shingle_set(text: str, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted: a repeated shingle counts once."""
+    parts = [hashes.astype(np.uint64) for hashes in shingle_hashes(text, width)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def wide_fingerprint(shingles: np.ndarray, words: int, keys: int) -> tuple[bytes, list[int]]:
+    """A SimHash of `words` x 64 bits of a shingle set and `keys` min-wise shingle hashes (none: zeros)."""
+    total, n = np.zeros(64 * words, np.int64), len(shingles)
     least = np.full(keys, 2**64 - 1, np.uint64)
-    for hashes in shingle_hashes(text, width):
-        for at in range(0, len(hashes), 2048):
-            part = [mixed(hashes[at : at + 2048], k) for k in range(max(words, keys))]
-            bits = np.stack(part[:words], axis=1).astype(">u8")
-            total += np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-            least = np.minimum(least, [p.min() for p in part[:keys]])
-        n += len(hashes)
+    for at in range(0, n, 2048):
+        part = [mixed(shingles[at : at + 2048], k) for k in range(max(words, keys))]
+        bits = np.stack(part[:words], axis=1).astype(">u8")
+        total += np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+        least = np.minimum(least, [p.min() for p in part[:keys]])
     return np.packbits(2 * total > n).tobytes(), (least if n else least * 0).view(np.int64).tolist()
 
 
@@ -97,7 +101,7 @@ def wide_fingerprints(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                made = [wide_fingerprint(t, width, words, keys) for t in texts]
+                made = [wide_fingerprint(shingle_set(t, width), words, keys) for t in texts]
                 columns = [part.column("doc_id"), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "mins"])
 

@@ -110,3 +110,12 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id string")
     kept = sorted(r.doc_id if r.doc_id is not None else -1 for r in simhash.deduplicate(docs).collect())
     assert kept == [-1, *range(0, 80, 4), 900]
+
+
+def test_a_repeated_line_does_not_link_texts(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    line = " ".join(word() for _ in range(10))
+    rows = [(i, " ".join([line] * 50 + [word() for _ in range(200)])) for i in range(24)]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert kept.count() == 24
