@@ -22,6 +22,10 @@ from areastats.llm.components import components
 PIECE = 2048
 #: Shingles hashed and counted at a time.
 BLOCK = 1 << 14
+#: Distinct shingles of a piece whose sets are compared by one task.
+PIECE_SHINGLES = 1 << 20
+#: Sets up to this size are compared without fingerprints, which are too coarse for them.
+SHORT = 50
 
 
 # ---- fingerprints -----------------------------------------------------------------------
@@ -68,6 +72,13 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
+def set_key(shingles: np.ndarray) -> int:
+    """A 64-bit hash that names a shingle set."""
+    import xxhash
+
+    return int.from_bytes(xxhash.xxh64_digest(shingles.tobytes(), 42), "big", signed=True)
+
+
 def wide_fingerprint(shingles: np.ndarray, words: int, keys: int) -> tuple[bytes, list[int]]:
     """A SimHash of `words` x 64 bits of a shingle set and `keys` min-wise shingle hashes (none: zeros)."""
     total, n = np.zeros(64 * words, np.int64), len(shingles)
@@ -96,17 +107,34 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
 def wide_fingerprints(
     docs: DataFrame, width: int, words: int, keys: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, code, mins) of every whole text."""
+    """(doc_id, node, n, code, mins) of every whole text; `node` is the XXH64 of its shingle set, `n` the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                made = [wide_fingerprint(shingle_set(t, width), words, keys) for t in texts]
-                columns = [part.column("doc_id"), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "code", "mins"])
+                sets = [shingle_set(t, width) for t in texts]
+                made = [wide_fingerprint(each, words, keys) for each in sets]
+                columns = [
+                    part.column("doc_id"), pa.array([set_key(each) for each in sets], pa.int64()), pa.array([len(each) for each in sets], pa.int64()),
+                    pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "code", "mins"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, code binary, mins array<long>")
+    return rows.mapInArrow(run, "doc_id long, node long, n long, code binary, mins array<long>")
+
+
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the texts (text): the sets as sorted 8-byte hashes; rows repeat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, some in slices(batch, "text"):
+                sets = [shingle_set(t, width) for t in some]
+                columns = [pa.array([set_key(each) for each in sets], pa.int64()), pa.array([each.tobytes() for each in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+
+    return texts.select("text").mapInArrow(run, "node long, shingles binary")
 
 
 # ---- BK-tree ----------------------------------------------------------------------------
@@ -213,18 +241,27 @@ def block_shards(codes: DataFrame, blocks: int, agree: int) -> DataFrame:
     return codes.select(F.explode(F.array(*[F.xxhash64(s) for s in shards])).alias("shard"), "rep", "code")
 
 
+def _tiles(rows: DataFrame, pieces, *more: str) -> DataFrame:
+    """(shard, tile, tree, asks, rep, ...): rows of shards of several rows, once per pair of pieces.
+
+    Each shard is cut into `pieces` (an aggregate); `code` and `more` are kept where there are such columns.
+    """
+    columns = ["rep", *[c for c in ("code", *more) if c in rows.columns]]
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("count"), pieces.cast("int").alias("pieces")).where("count > 1").select("shard", "pieces")
+    cut = rows.join(sizes, "shard").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda p: F.struct(F.least(p, "own").alias("x"), F.greatest(p, "own").alias("y")))
+    tiles = cut.select("shard", "own", *columns, F.explode(others).alias("t")).select("shard", "t.x", "t.y", "own", *columns)
+    key = F.xxhash64("shard", "x", "y").alias("tile")
+    return tiles.select("shard", key, (F.col("own") == F.col("x")).alias("tree"), (F.col("own") == F.col("y")).alias("asks"), *columns)
+
+
 def shard_links(rows: DataFrame, radius: int) -> DataFrame:
     """(a, b): spanning links of the codes of each shard that lie within the radius.
 
     `rows` (shard, rep, code) is a stored table. Shards of one row go; larger ones are
     searched by BK-tree, cut into pairs of pieces above PIECE rows.
     """
-    sizes = rows.groupBy("shard").count().where("count > 1").withColumn("pieces", F.ceil(F.col("count") / PIECE).cast("int")).select("shard", "pieces")
-    cut = rows.join(sizes, "shard").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda p: F.struct(F.least(p, "own").alias("x"), F.greatest(p, "own").alias("y")))
-    tiles = cut.select("shard", "rep", "code", "own", F.explode(others).alias("t")).select("shard", "t.x", "t.y", "own", "rep", "code")
-    key = F.xxhash64("shard", "x", "y").alias("tile")
-    ready = tiles.select(key, (F.col("own") == F.col("x")).alias("tree"), (F.col("own") == F.col("y")).alias("asks"), "rep", "code")
+    ready = _tiles(rows, F.ceil(F.count("*") / PIECE))
 
     def search(tile: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         codes = np.frombuffer(b"".join(tile["code"]), dtype=">u8").astype(np.uint64).reshape(len(tile), -1)
@@ -247,6 +284,70 @@ def shard_links(rows: DataFrame, radius: int) -> DataFrame:
     return sorted_rows.mapInPandas(run, "a long, b long")
 
 
+def shard_proposals(rows: DataFrame, radius: int) -> DataFrame:
+    """(shard, rep): the codes of each shard that lie within the radius of another; rows may repeat."""
+    ready = _tiles(rows, F.ceil(F.count("*") / PIECE))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tile in runs(frames, "tile"):
+            codes = np.frombuffer(b"".join(tile["code"]), dtype=">u8").astype(np.uint64).reshape(len(tile), -1)
+            tree, asks = np.flatnonzero(tile["tree"].to_numpy(bool)), np.flatnonzero(tile["asks"].to_numpy(bool))
+            near = np.zeros(len(tile), bool)
+            for q, c in BKTree(codes[tree]).within(codes[asks], radius):
+                other = asks[q] != tree[c]
+                near[asks[q][other]] = near[tree[c][other]] = True
+            yield tile.loc[near, ["shard", "rep"]]
+
+    return ready.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "shard long, rep long")
+
+
+def set_links(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): spanning links of the sets of each shard whose Jaccard similarity is at least `similarity`.
+
+    `rows` (shard, rep, root, n) is a stored table; sets of equal root are known to be linked.
+    Every pair of a shard is compared by its shared shingles, counted in lists of the sets that hold
+    each shingle. Shards are cut into pairs of pieces by rows and by shingles. `sets` (rep,
+    shingles) is shuffled once for each piece that a set meets.
+    """
+    ready = _tiles(
+        rows.join(rows.groupBy("shard").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shard"), "shard", "left_semi"),
+        F.ceil(F.greatest(F.count("*") / PIECE, F.sum("n") / PIECE_SHINGLES)), "root",
+    )
+    filled = ready.join(sets.hint("merge"), "rep")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tile in runs(frames, "tile"):
+            a, b = linked_sets([np.frombuffer(x, np.uint64) for x in tile["shingles"]], *(tile[c].to_numpy() for c in ("rep", "root", "tree", "asks")), similarity)
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return filled.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "a long, b long")
+
+
+def linked_sets(sets: list[np.ndarray], reps, roots, tree, asks, similarity: float) -> tuple[list[int], list[int]]:
+    """Spanning links between the sets marked `asks` and those marked `tree`, beyond equal roots."""
+    size = np.array([len(x) for x in sets])
+    tree, asks = np.flatnonzero(tree.astype(bool)), np.flatnonzero(asks.astype(bool))
+    values, owner = np.concatenate([sets[i] for i in tree] or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(tree)), size[tree])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    label = np.unique(roots, return_inverse=True)[1]
+    a, b = [], []
+    for q in asks:
+        if (label[tree] == label[q]).all():
+            continue
+        first = np.searchsorted(values, sets[q], "left")
+        many = np.searchsorted(values, sets[q], "right") - first
+        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        shared = np.bincount(owner[at], minlength=len(tree))
+        union = size[q] + size[tree] - shared
+        for c in tree[(shared >= similarity * union - 1e-9 * union) & (label[tree] != label[q])]:
+            if label[c] != label[q]:
+                a.append(int(reps[q]))
+                b.append(int(reps[c]))
+                label[label == label[c]] = label[q]
+    return a, b
+
+
 def runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Rows of equal key, from frames sorted by key; a run may go on in the next frame."""
     rest: list[pd.DataFrame] = []
@@ -309,22 +410,37 @@ def near_duplicate_components(
     docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4, keys: int = 8,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, component_id) of documents linked at a shingle similarity of about `similarity`.
+    """(doc_id, component_id) of documents linked at a shingle similarity of `similarity` or more.
 
     64 bits cannot tell a similarity of 0.8 from chance by blocks, so fingerprints have
     `words` x 64 bits, and shards are the documents that share one of `keys` min-wise shingles
-    (two texts at 0.8 miss all eight with probability 3e-6). Null and empty texts are equal
-    to each other. Rows without an id are not linked and get a null component.
+    (two texts at 0.8 miss all eight with probability 3e-6). Fingerprints within four standard
+    deviations, and all short sets, only propose: what is linked has that exact Jaccard
+    similarity of shingle sets. The first key links most; under the others only sets that are
+    not linked yet are compared. Null and empty texts are equal to each other. Rows without an
+    id are not linked and get a null component.
     """
-    prints = stored(wide_fingerprints(docs.where(F.col(id_col).isNotNull()), width, words, keys, id_col, text_col), "fingerprints")
-    groups = stored(prints.groupBy("code", "mins").agg(F.min("doc_id").alias("rep")), "codes")
-    shards = groups.select(F.posexplode("mins").alias("k", "m"), "rep", "code").select(F.xxhash64("k", "m").alias("shard"), "rep", "code")
-    links = shard_links(stored(shards, "shards"), radius_for(similarity, 64 * words))
-    same = groups.groupBy("code").agg(F.min("rep").alias("least"))
-    equal = groups.join(same, "code").where("rep > least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    roots = components(links.union(equal))
-    of_code = stored(same.join(roots, same["least"] == roots["node"], "left").select("code", F.coalesce("root", "least").alias("component_id")), "components")
-    return prints.join(of_code, "code").select("doc_id", "component_id")
+    named = docs.where(F.col(id_col).isNotNull())
+    prints = stored(wide_fingerprints(named, width, words, keys, id_col, text_col), "fingerprints")
+    groups = stored(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("code").alias("code"), F.first("mins").alias("mins")), "sets")
+    keyed = groups.where("n > 0").select(F.posexplode("mins").alias("k", "m"), F.col("node").alias("rep"), "code", "n")
+    shards = stored(keyed.select(F.xxhash64("k", "m").alias("shard"), "k", "rep", "n", "code"), "shards")
+    short = shards.where(F.col("n") <= SHORT).select("shard", "rep")
+    crowd = short.groupBy("shard").count().where("count > 1").select("shard")
+    proposed = shard_proposals(shards.where(F.col("n") > math.floor(similarity * SHORT)), radius_for(similarity, 64 * words, 4.0))
+    near = stored(proposed.union(short.join(crowd, "shard", "left_semi")).distinct().join(shards.drop("code"), ["shard", "rep"]), "near")
+    wanted = near.select(F.col("rep").alias("node")).distinct().join(groups, "node").select("node", "doc_id")
+    wanted = wanted.groupBy("doc_id").count().select(F.col("doc_id").alias("wanted_id"))
+    texts = named.join(wanted.hint("merge"), named[id_col].cast("long") == F.col("wanted_id"), "left_semi").select(F.col(text_col).alias("text"))
+    sets = stored(shingle_sets(texts, width).groupBy(F.col("node").alias("rep")).agg(F.first("shingles").alias("shingles")), "shingles")
+    first = stored(set_links(near.where("k = 0").withColumn("root", F.col("rep")), sets, similarity), "first_links")
+    known = components(first).withColumnRenamed("node", "rep")
+    later = stored(near.where("k > 0").join(known, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "near_later")
+    roots = components(first.union(set_links(later, sets, similarity)))
+    rooted = stored(groups.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root")), "roots")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_node = stored(rooted.join(least, "root").select("node", "component_id"), "components")
+    return prints.join(of_node, "node").select("doc_id", "component_id")
 
 
 def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -119,3 +119,34 @@ def test_a_repeated_line_does_not_link_texts(spark):
     rows = [(i, " ".join([line] * 50 + [word() for _ in range(200)])) for i in range(24)]
     kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
     assert kept.count() == 24
+
+
+def jaccard(a, b, width=5):
+    shingles = lambda t: {" ".join(t.split()[i : i + width]) for i in range(max(1, len(t.split()) - width + 1))}
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("piece", [2048, 16])
+def test_links_are_those_of_exact_similarity(spark, monkeypatch, piece):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts = []
+    for similarity in (0.6, 0.65, 0.7, 0.75, 0.78, 0.79, 0.8, 0.81, 0.85):
+        for _ in range(12):
+            own = [word() for _ in range(204)]  # 200 shingles; new words at the end take the last ones
+            gone = round(200 * (1 - similarity) / (1 + similarity))
+            texts += [" ".join(own), " ".join(own[: 204 - gone] + [word() for _ in range(gone)])]
+    for n in range(6, 16):
+        for _ in range(4):
+            own = [word() for _ in range(n)]
+            texts += [" ".join(own), " ".join([*own, word()])]
+    for n in (52, 53, 54, 55, 60, 66):  # at the border of short sets
+        own = [word() for _ in range(n)]
+        texts += [" ".join(own), " ".join(own[:-5]), " ".join([*own, *(word() for _ in range(9))])]
+    rows = list(enumerate(texts))
+    found = simhash.near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    near = {(i, j) for i, a in rows for j, b in rows[i + 1 : i + 3] if jaccard(a, b) >= 0.8}
+    want = brute_components([i for i, _ in rows], lambda a, b: (min(a, b), max(a, b)) in near)
+    assert {r.doc_id: r.component_id for r in found.collect()} == want
