@@ -81,6 +81,29 @@ def test_trees_learn_and_compile(spark):
     assert empty.threshold == float("inf")
 
 
+def test_numbers_inside_a_run_are_proposed(spark):
+    rows = [
+        (1, "call 555-123-4567 2024-05-01"), (2, "12 555-123-4567 30"), (3, "555-123-4567 555-987-6543 555-222-3333"),
+        (4, "\U0001f600 (555) 123-4567 7 4111 1111 1111 1111 9"),
+    ]
+    text = pii.F.col("text")
+    found = spark.createDataFrame(rows, "doc_id long, text string").select("text", pii.candidates(text).alias("c")).collect()
+    spans = [{(pii.KINDS[c.kind], r.text[c.start : c.end]) for c in r.c} for r in found]
+    assert all(("phone", "555-123-4567") in s for s in spans[:3])
+    assert {("phone", "555-987-6543"), ("phone", "555-222-3333")} <= spans[2]
+    assert {("phone", "(555) 123-4567"), ("card", "4111 1111 1111 1111")} <= spans[3]
+
+
+def test_of_nested_candidates_the_best_stays(spark):
+    trees = pii.Trees()
+    trees.trees, trees.threshold = [(list(pii.FEATURES).index("shape"), 1, 1.0, 2.0)], 0.5
+    docs = spark.createDataFrame([("call 555-123-4567 2024-05-01",)], "text string")
+    text = pii.F.col("text")
+    row = docs.select(pii.all_spans(pii.base_spans(text), pii.candidates(text), trees).alias("s")).first()
+    assert (5, pii.KINDS.index("phone"), 17) in [tuple(x) for x in row.s]
+    assert pii.KINDS.index("card") not in [x.kind for x in row.s]
+
+
 def test_redaction_keeps_the_rest(spark):
     rows = [(1, "mail a@b.cc or 1.2.3.4, é +1 (974) 555-3436.", None, None), *ODD]
     docs = documents(spark, rows).withColumn("n_chars", pii.F.lit(7).cast("long"))
