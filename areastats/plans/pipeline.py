@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from areastats.constants import BUFFER_DISTANCES
 from areastats.functions.text import district_slug
 from areastats.operators.combine import combine_checked
 from areastats.operators.areas import check_srid, with_edges
@@ -29,7 +30,7 @@ class Inputs:
     connectivity: DataFrame | None = None
     boundaries: DataFrame | None = None  # lsoa_code, polygons in metres; srid, where there is one, is checked
     elements: DataFrame | None = None  # map elements in lon / lat; with snapshot_date, one map per snapshot
-    boxes: DataFrame | None = None  # boxes in degrees by district (areas.district_bbox); elements elsewhere are skipped
+    boxes: DataFrame | None = None  # boxes in degrees by district (areas.district_bbox, any buffer); ways beyond the largest buffer of them are skipped
     landuse_types: Sequence[str] | None = None
 
 
@@ -52,7 +53,8 @@ def feature_frames(
         elements = raw.elements
         if raw.boxes is not None:
             wanted = districts_areas(raw.lookup, districts).select("district").distinct()
-            elements = map_elements.near_boxes(elements, raw.boxes.join(wanted, "district", "left_semi"))
+            boxes = raw.boxes.join(wanted, "district", "left_semi")
+            elements = map_elements.near_boxes(elements, boxes, max(BUFFER_DISTANCES), nodes=False)
         out["map"] = _per_snapshot(elements, snapshots, lambda e: _map_frame(shapes, e, raw.landuse_types))
     if raw.population is not None:
         out["population"] = _per_snapshot(

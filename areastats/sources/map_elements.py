@@ -1,11 +1,15 @@
 """Map elements: nodes and ways with tags."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from areastats.functions.grid import add_grid, lonlat_to_grid_array
 from areastats.sources.schemas import ELEMENT_SCHEMA, MAP_RESPONSE_SCHEMA
 
 MIN_POLYGON_NODES = 4
+#: No degree of latitude, and no degree of longitude at the equator, is shorter than this.
+METRES_PER_DEGREE_LEAST = 110_000
 
 
 def read_map_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -36,25 +40,36 @@ def split_elements(elements: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return points, polygons, lines
 
 
-def near_boxes(elements: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Elements with a node in a box of degrees (see `areas.district_bbox`), before anything is projected.
+def near_boxes(elements: DataFrame, boxes: DataFrame, buffer_m: float = 0, nodes: bool = True) -> DataFrame:
+    """Elements that may meet a box of degrees (see `areas.district_bbox`) widened by buffer_m, before anything is projected.
 
-    One small row per district reaches the driver and becomes a condition on each element.
+    A way counts by its bounding box, since it may cross or enclose a box without a node inside.
+    Without `nodes` only ways are tested and every node stays: the nearest point of an area may lie
+    at any distance. One small row per district reaches the driver and becomes a condition on each element.
     """
     sides = ("min_lon", "min_lat", "max_lon", "max_lat")
-    listed = [tuple(r) for r in boxes.select(*sides).collect()]
+    listed = [_widened(*r, buffer_m) for r in boxes.select(*sides).collect()]
     if not listed:
-        return elements.filter(F.lit(False))
+        return elements.filter(F.lit(False) if nodes else F.col("type") == "node")
     known = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(sides, box, strict=True)]) for box in listed])
 
-    def inside(lon: Column, lat: Column) -> Column:
-        return F.exists(known, lambda b: lon.between(b["min_lon"], b["max_lon"]) & lat.between(b["min_lat"], b["max_lat"]))
+    def meets(low_lon: Column, low_lat: Column, high_lon: Column, high_lat: Column) -> Column:
+        return F.exists(known, lambda b: (low_lon <= b["max_lon"]) & (high_lon >= b["min_lon"]) & (low_lat <= b["max_lat"]) & (high_lat >= b["min_lat"]))
 
-    node = inside(F.col("lon"), F.col("lat"))
-    way = F.exists("geometry", lambda n: inside(n["lon"], n["lat"]))
+    node = meets(F.col("lon"), F.col("lat"), F.col("lon"), F.col("lat")) if nodes else F.lit(True)
+    lon, lat = F.col("geometry.lon"), F.col("geometry.lat")
+    way = meets(F.array_min(lon), F.array_min(lat), F.array_max(lon), F.array_max(lat))
     return elements.filter(F.coalesce(F.when(F.col("type") == "node", node).otherwise(way), F.lit(False)))
 
 
+def _widened(min_lon: float, min_lat: float, max_lon: float, max_lat: float, buffer_m: float) -> tuple[float, ...]:
+    """The box with at least buffer_m more on each side; degrees of longitude are shorter further from the equator."""
+    lat = buffer_m / METRES_PER_DEGREE_LEAST
+    farthest = min(89.0, max(abs(min_lat), abs(max_lat)) + lat)
+    lon = lat / math.cos(math.radians(farthest))
+    return min_lon - lon, min_lat - lat, max_lon + lon, max_lat + lat
+
+
 def points_to_grid(points: DataFrame) -> DataFrame:
     return add_grid(points).select("id", "tags", "x", "y")
 

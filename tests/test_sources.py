@@ -147,6 +147,23 @@ def test_near_boxes(spark):
     assert map_elements.near_boxes(elements, boxes.limit(0)).count() == 0
 
 
+def test_boxes_lose_nothing_that_counts(spark, monkeypatch):
+    rows = [
+        ("node", 1, 0.5, 50.5, None), ("node", 2, 1.06, 50.5, None), ("node", 3, 9.0, 55.0, None),  # inside, in a buffer, far
+        ("way", 4, None, None, [(-1.0, 50.5), (2.0, 50.5)]),  # crosses
+        ("way", 5, None, None, [(-1.0, 49.0), (2.0, 49.0), (2.0, 52.0), (-1.0, 52.0), (-1.0, 49.0)]),  # encloses
+        ("way", 6, None, None, [(1.06, 50.5), (1.06, 50.6)]), ("way", 7, None, None, [(3.0, 50.5), (3.0, 50.6)]),  # in a buffer, beyond
+    ]
+    elements = spark.createDataFrame(rows, "type string, id long, lon double, lat double, geometry array<struct<lon:double,lat:double>>")
+    boxes = spark.createDataFrame([("d", 50.0, 0.0, 51.0, 1.0)], "district string, min_lat double, min_lon double, max_lat double, max_lon double")
+    lookup = spark.createDataFrame([("E1", "d 1", "d")], "lsoa_code string, lsoa_name string, district string")
+    boundaries = spark.createDataFrame([("E1", "d")], "lsoa_code string, district string")
+    monkeypatch.setattr(pipeline, "districts_areas", lambda *_: lookup.select("lsoa_code", "district"))
+    monkeypatch.setattr(pipeline, "_map_frame", lambda shapes, elements, types: elements)
+    raw = pipeline.Inputs(lookup=lookup, boundaries=boundaries, elements=elements, boxes=boxes)
+    assert sorted(r.id for r in pipeline.feature_frames(raw, ["2025-12-01"])["map"].collect()) == [1, 2, 3, 4, 5, 6]
+
+
 def test_maps_and_people_of_their_own_snapshot(spark, tmp_path, lookup):
     """Six sources in one run; each snapshot has its own map and its own people."""
     square = [[[(400_000.0, 300_000.0), (401_000.0, 300_000.0), (401_000.0, 301_000.0), (400_000.0, 301_000.0)]]]
