@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from areastats.llm import decontamination, embeddings, language, mixing, pii, quality, simhash, toxicity, urls, warc
+from areastats.llm import bpe, decontamination, embeddings, language, mixing, periodic, pii, quality, simhash, toxicity, urls, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -71,3 +72,20 @@ def _urls(table):
 @query("op10_quality_rules")
 def _quality(table):
     return quality.quality(table("documents"), table("labels"))
+
+
+@query("op11_whitening")
+def _whitening(table):
+    return whitening.whitened(table("embeddings"))
+
+
+@query("op12_byte_bpe")
+def _byte_bpe(table):
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digest(bpe.decoded(bpe.encoded(table("documents"), path, pattern), path, pattern))
+
+
+@query("op13_periodic_runs")
+def _periodic_runs(table):
+    docs = table("documents").select("doc_id", periodic.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.digest(periodic.periodic_runs(docs))

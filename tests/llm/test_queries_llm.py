@@ -29,5 +29,5 @@ def test_one_row_per_document(spark, con, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(entry_module.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert "pipeline" in entry_module.queries()
