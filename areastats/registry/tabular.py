@@ -8,7 +8,7 @@ from areastats.functions.text import district_slug
 from areastats.operators import claims, combine as comb, crime, geography as geo, population, prices, runs
 from areastats.plans import features
 from areastats.registry.base import query, rounded
-from areastats.sources import crime_feed, cube, inventory, readers, scratch, writers
+from areastats.sources import crime_feed, cube, inventory, month_table, readers, scratch, writers
 from areastats.streaming import landing
 from areastats.sources.schemas import PRICE_SCHEMA
 
@@ -724,7 +724,7 @@ def _(t):
     folder = scratch.shared_folder(t.spark)
     writers.write_months(t.v_crime, folder)
     writers.write_months(t.v_crime.filter("month < '1995-01'"), folder)
-    return _counted(readers.read_table(t.spark, folder))
+    return _counted(readers.read_crime(t.spark, folder))
 
 
 @query("months_landed", _MONTHLY_CRIME)
@@ -736,7 +736,22 @@ def _(t):
     for part in (t.v_crime.filter(~late), t.v_crime.filter(late)):
         part.write.mode("append").parquet(inbox)
         landing.land_months(landing.stream_files(t.spark, inbox, part.schema), table, mark).awaitTermination()
-    return _counted(readers.read_table(t.spark, table))
+    return _counted(readers.read_crime(t.spark, table))
+
+
+@query("months_mixed", _MONTHLY_CRIME)
+def _(t):
+    """One table from a bulk write, landed files, a second bulk write of some months and a repeated batch."""
+    folder = scratch.shared_folder(t.spark)
+    inbox, table, mark = (f"{folder}/{n}" for n in ("inbox", "table", "mark"))
+    early, late = F.col("month") < "1995-01", F.col("month") >= "1997-01"
+    writers.write_months(t.v_crime.filter(early & (F.col("category") != "drugs")), table)
+    landed = t.v_crime.filter(~early)
+    landed.write.parquet(inbox)
+    landing.land_months(landing.stream_files(t.spark, inbox, landed.schema), table, mark).awaitTermination()
+    writers.write_months(t.v_crime.filter(early | late), table)
+    month_table.append_months(landed, table, stream=mark, batch=0)
+    return _counted(readers.read_crime(t.spark, table))
 
 
 @query("filled_checked", f"""

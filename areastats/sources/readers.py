@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.functions.timewin import in_window, month_in_window
+from areastats.sources.month_table import is_month_table, read_months
 from areastats.sources.schemas import CRIME_SCHEMA, LOOKUP_COLUMNS, PRICE_SCHEMA
 
 
@@ -27,8 +28,9 @@ def read_prices(spark: SparkSession, folder: str, snapshot: str | None = None, m
 
 
 def read_crime(spark: SparkSession, folder: str, snapshot: str | None = None, months: int = 12) -> DataFrame:
-    """Crime table partitioned by month; a window prunes partitions."""
-    crimes = spark.read.schema(CRIME_SCHEMA).parquet(folder)
+    """Crime table partitioned by month, with commits or without; a window prunes partitions."""
+    committed = is_month_table(spark, folder)
+    crimes = read_months(spark, folder, CRIME_SCHEMA) if committed else spark.read.schema(CRIME_SCHEMA).parquet(folder)
     if snapshot is None:
         return crimes
     return crimes.filter(month_in_window(F.col("month"), snapshot, months))

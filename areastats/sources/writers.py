@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from areastats.functions.text import district_slug
+from areastats.sources.month_table import replace_months
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -34,8 +35,8 @@ def write_features(df: DataFrame, folder: str, source: str) -> None:
 
 
 def write_months(df: DataFrame, path: str) -> None:
-    """Monthly tables: crime and claims."""
-    write_partitioned(df, path, ["month"])
+    """Monthly tables (crime, claims): the months of `df` are replaced in one commit, other months stay."""
+    replace_months(df, path)
 
 
 def write_lookup_csv(df: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """Incremental landing of monthly files.
 
 A file-source stream with `availableNow` replaces "skip what is already stored": the
-checkpoint remembers processed files, the file sink commits each batch exactly once,
+checkpoint remembers processed files, the month table takes each batch exactly once,
 and both survive lost executors and restarts.
 """
 
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from areastats.sources.month_table import append_months
+
 
 def stream_files(
     spark: SparkSession, folder: str, schema: StructType, file_format: str = "parquet", max_files: int = 1000
@@ -37,11 +39,13 @@ def without_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> D
 
 
 def land_months(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append all files that have arrived to a month-partitioned table, then stop."""
-    return (
-        rows.writeStream.format("parquet")
-        .partitionBy("month")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(table)
-    )
+    """Append all files that have arrived to a month table, then stop.
+
+    Each batch is one commit that carries its number, so a batch that is repeated after a failure adds
+    nothing; what other writers have stored in the table stays.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_months(batch, table, stream=checkpoint, batch=number)
+
+    return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
