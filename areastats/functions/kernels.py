@@ -216,20 +216,6 @@ def farthest_along(shape: Column, edges: Column, bounds: Sequence[float]) -> Col
     return arrow_udf(along, DoubleType())(shape, edges)
 
 
-def _near_edges(x: pa.Array, y: pa.Array, limit: pa.Array, edges: pa.Array) -> pa.Array:
-    lists = _Lists(edges)
-    reach, px, py = _doubles(limit), _doubles(x), _doubles(y)
-    keep = np.zeros(len(lists.row), bool)
-    for a, b in _blocks(lists.length):
-        part = slice(lists.start[a], lists.start[b - 1] + lists.length[b - 1])
-        row = lists.row[part]
-        keep[part] = _edge_distance2(px[row], py[row], *(c[part] for c in lists.columns)) <= reach[row] ** 2
-    counts = np.bincount(lists.row[keep], minlength=len(lists.length))
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    kept = pa.StructArray.from_arrays([pa.array(c[keep]) for c in lists.columns], names=list(EDGE_FIELDS))
-    return pa.ListArray.from_arrays(pa.array(offsets), kept)
-
-
 def _clipped_length(path: pa.Array, edges: pa.Array) -> pa.Array:
     segments, lists = _Lists(path), _Lists(edges)
     pieces = _pieces(segments, lists)
@@ -273,6 +259,110 @@ def _leaves(shape: pa.Array, edges: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
+def _path_parity(px, py, rx, ry, x1, y1, x2, y2):
+    """Whether an edge is crossed on the way from (rx, ry) along y, then along x to (px, py).
+
+    The same as if both points lay a hair to the right and a far smaller hair up, which is also
+    what `_crosses_right` does; so an edge through a point is on the same side for all paths.
+    """
+    tall = (x1 > rx) != (x2 > rx)
+    run = np.where(tall, x2 - x1, 1.0)
+    rise = (y2 - y1) / run
+    yc = y1 + (rx - x1) * rise
+    above = lambda y: (yc > y) | ((yc == y) & (rise > 0))
+    up = tall & (above(ry) != above(py))
+    wide = (y1 > py) != (y2 > py)
+    xc = x1 + (py - y1) * (x2 - x1) / np.where(wide, y2 - y1, 1.0)
+    return up ^ (wide & ((rx < xc) != (px < xc)))
+
+
+def _measured_from(px, py, rows, edges, rx, ry, inside):
+    """(distance to the edges of each point's row, inside); rx, ry, inside belong to the points. inf without edges."""
+    distance, within = np.full(len(px), np.inf), inside.copy()
+    for a, b in _blocks(edges.length[rows]):
+        ids = np.arange(a, b)[edges.length[rows[a:b]] > 0]
+        if not len(ids):
+            continue
+        point, edge = _expand(ids, rows[ids], edges)
+        shape = [c[edge] for c in edges.columns]
+        x, y = px[point], py[point]
+        first = np.cumsum(edges.length[rows[ids]]) - edges.length[rows[ids]]
+        distance[ids] = np.sqrt(np.minimum.reduceat(_edge_distance2(x, y, *shape), first))
+        odd = np.add.reduceat(_path_parity(x, y, rx[point], ry[point], *shape).astype(np.int64), first) % 2 == 1
+        within[ids] ^= odd
+    return distance, within
+
+
+def _flags(array):
+    return array.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _edge_lists(counts, columns):
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(c) for c in columns], names=list(EDGE_FIELDS)))
+
+
+MEASURED = StructType([StructField("s", DoubleType()), StructField("inside", BooleanType()), StructField("near", EDGES)])
+
+
+def _edges_of_tiles(px, py, half, s, rows, ids, edges):
+    """Lists of the edges that points of the tiles `ids` need, empty for other tiles."""
+    counts, columns = np.zeros(len(px), np.int64), []
+    for a, b in _blocks(edges.length[rows[ids]]):
+        point, edge = _expand(ids[a:b], rows[ids[a:b]], edges)
+        shape = [c[edge] for c in edges.columns]
+        keep = _edge_distance2(px[point], py[point], *shape) <= (np.abs(s[point]) + 2 * half[point] + ON_BOUNDARY) ** 2
+        counts += np.bincount(point[keep], minlength=len(px))
+        columns.append([c[keep] for c in shape])
+    return _edge_lists(counts, [np.concatenate(c) for c in zip(*columns)] if columns else [np.empty(0)] * 4)
+
+
+def _like(lists, values):
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists.length)]).astype(np.int32)), values)
+
+
+def _tile_edges(tiles: pa.Array, near: pa.Array) -> pa.Array:
+    spots, edges = _Lists(tiles, ("cx", "cy", "half", "s")), _Lists(near)
+    return _like(spots, _edges_of_tiles(*spots.columns, spots.row, np.flatnonzero(np.isfinite(spots.columns[3])), edges))
+
+
+def measured_tiles(
+    tiles: Column, near: Column, rx: Column, ry: Column, inside: Column, box: Sequence[Column], distances: Sequence[float], reach: float
+) -> Column:
+    """For each tile (cx, cy, half) of a block: signed distance of its centre, whether that is inside, and, where the
+    tile's points may differ in the smallest of `distances` that holds them, the edges they need.
+
+    `box` is the area's; tiles farther than `reach` from it are not measured (infinite).
+    """
+    limits = np.array(distances, float)
+
+    def measured(
+        tiles: pa.Array, near: pa.Array, rx: pa.Array, ry: pa.Array, inside: pa.Array, minx: pa.Array, miny: pa.Array, maxx: pa.Array, maxy: pa.Array
+    ) -> pa.Array:
+        spots, edges = _Lists(tiles, ("cx", "cy", "half")), _Lists(near)
+        px, py, half = spots.columns
+        rows = spots.row
+        gx = np.maximum(np.maximum(_doubles(minx)[rows] - px, px - _doubles(maxx)[rows]), 0)
+        gy = np.maximum(np.maximum(_doubles(miny)[rows] - py, py - _doubles(maxy)[rows]), 0)
+        asked = np.flatnonzero(np.hypot(gx, gy) <= reach + half)
+        s, within = np.full(len(px), np.inf), np.zeros(len(px), bool)
+        of = rows[asked]
+        d, w = _measured_from(px[asked], py[asked], of, edges, _doubles(rx)[of], _doubles(ry)[of], _flags(inside)[of])
+        s[asked], within[asked] = np.where(w, -d, d), w
+        low = np.searchsorted(limits, s - half, side="right")
+        open_ = np.flatnonzero((low < len(limits)) & (low != np.searchsorted(limits, s + half, side="right")))
+        nearby = _edges_of_tiles(px, py, half, s, rows, open_, edges)
+        return _like(spots, pa.StructArray.from_arrays([pa.array(s), pa.array(within), nearby], names=["s", "inside", "near"]))
+
+    return arrow_udf(measured, ArrayType(MEASURED))(tiles, near, rx, ry, inside, *box)
+
+
+def _signed_from(x: pa.Array, y: pa.Array, edges: pa.Array, rx: pa.Array, ry: pa.Array, inside: pa.Array) -> pa.Array:
+    lists, px = _Lists(edges), _doubles(x)
+    d, within = _measured_from(px, _doubles(y), np.arange(len(px)), lists, _doubles(rx), _doubles(ry), _flags(inside))
+    return pa.array(np.where(np.isinf(d), np.nan, np.where(within, -d, d)), from_pandas=True)
+
+
 # Pickle these functions by value, so that workers need no copy of this package.
 def _by_value():
     import sys
@@ -284,7 +374,8 @@ _by_value()
 
 signed_distance = arrow_udf(_signed_distance, DoubleType())
 farthest = arrow_udf(_farthest, DoubleType())
-near_edges = arrow_udf(_near_edges, EDGES)
+signed_from = arrow_udf(_signed_from, DoubleType())
+tile_edges = arrow_udf(_tile_edges, ArrayType(EDGES))
 clipped_length = arrow_udf(_clipped_length, DoubleType())
 overlap_area = arrow_udf(_overlap_area, DoubleType())
 leaves = arrow_udf(_leaves, BooleanType())

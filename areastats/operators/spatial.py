@@ -4,20 +4,22 @@ Points meet areas in three steps, so that work follows the number of *places* an
 the number of rows:
 
 1. Points are counted per (location, measures). Copies at one spot collapse map-side.
-2. Locations are counted per tile. A tile's signed distance to an area (negative
-   inside), plus or minus the tile's half diagonal, settles its distance band for all
-   its points at once when both ends fall in the same band. Tiles meet areas in an
-   equi-join on blocks as wide as the largest distance; a block holds a bounded number
+2. Locations are counted per tile. The tiles of a block meet the areas in reach of it as one row
+   (`outline`), which brings the edges that matter to the block. A tile's signed distance to an area
+   (negative inside), plus or minus the tile's half diagonal, settles its distance band for all
+   its points at once when both ends fall in the same band. A block holds a bounded number
    of tiles, so no block is hot.
 3. Only tiles that straddle a band edge are opened: their locations join on the tile
    and are measured against the few edges that can be nearest to that tile.
 
-`measures` is an array of names a point counts towards. Areas come from
+Counts, ratios and nearest distances read one table of such pairs (`meet`); the names of their measures
+start with the family. `measures` is an array of names a point counts towards. Areas come from
 `areas.with_edges`; `keys` are their key columns.
 """
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,7 +28,9 @@ from areastats.functions import geometry as G, kernels as K
 from areastats.functions.parallel import shared, spread
 from areastats.functions.tags import count_groups, nearest_pois, ratio_groups
 from areastats.operators.areas import BOX, cover, meeting_pairs
-from areastats.sources.scratch import shared_folder
+from areastats.operators.outline import outline_index
+from areastats.operators.pyramid import farther
+from areastats.sources.scratch import shared_folder, stored
 
 KEYS = ("lsoa_code",)
 TILE = 250.0
@@ -69,42 +73,52 @@ def tiles(places: DataFrame) -> DataFrame:
     )
 
 
-def _box(prefix: str = "") -> dict[str, Column]:
-    return {b: F.col(prefix + b) for b in BOX}
+class Meeting(NamedTuple):
+    """Places and the areas they may count for; `pairs` has one row per (area, tile) in reach."""
 
+    places: DataFrame
+    tile_rows: DataFrame
+    index: DataFrame
+    pairs: DataFrame
+    distances: Sequence[float]
+    reach: float
 
-def measured_tiles(areas: DataFrame, tile_rows: DataFrame, keys: Sequence[str], reach: float, tile: float) -> DataFrame:
-    """(area, tile) pairs within `reach`, with s = signed distance of the tile's centre.
 
-    Here and below explode(array(..)) keeps the optimizer from copying a costly
-    expression to every place that uses its column.
+def meet(
+    areas: DataFrame,
+    places: DataFrame,
+    distances: Sequence[float],
+    keys: Sequence[str] = KEYS,
+    tile: float = TILE,
+    reach: float | None = None,
+    keep: bool = False,
+) -> Meeting:
+    """Tiles of places and areas within `reach` (the last distance), with s = signed distance of the tile's centre.
+
+    With `keep`, the pairs are stored, for more than one family of measures to read.
     """
-    block_tiles = max(1, math.ceil(reach / tile))
-    blocks = cover(areas.select(*keys, "edges", *BOX), block_tiles * tile, float(reach))
-    boxed = spread(tile_rows, "tx", "ty").withColumnsRenamed({b: f"t_{b}" for b in BOX})
-    located = boxed.withColumn("bx", F.floor(F.col("tx") / block_tiles).cast("long")).withColumn(
-        "by", F.floor(F.col("ty") / block_tiles).cast("long")
+    keys = list(keys)
+    reach = float(max(distances) if reach is None else reach)
+    block_tiles = max(1, math.ceil(max(reach, CELL) / tile))
+    tile_rows = tiles(places)
+    blocks = (
+        tile_rows.withColumn("bx", F.floor(F.col("tx") / block_tiles).cast("long"))
+        .withColumn("by", F.floor(F.col("ty") / block_tiles).cast("long"))
+        .groupBy("bx", "by").agg(F.collect_list(F.struct("tx", "ty", "cx", "cy", "half")).alias("tiles"))
     )
-    near = G.box_gap2(_box(), _box("t_")) <= (reach + SLACK) ** 2
-    return located.join(blocks, ["bx", "by"]).filter(near).select(
-        *keys, "edges", "tx", "ty", "counts", "cx", "cy", "half",
-        F.explode(F.array(K.signed_distance("cx", "cy", "edges"))).alias("s"),
+    index = shared(outline_index(areas, keys, block_tiles * tile, reach))
+    measured = K.measured_tiles(
+        F.col("tiles"), F.col("near"), F.col("rx"), F.col("ry"), F.col("inside"), [F.col(b) for b in BOX], distances, reach
     )
-
-
-def _edges_for_tile(wanted: Column | None = None) -> Column:
-    """Edges that can be nearest to some point of the tile; all of them when the tile may
-    straddle the boundary, where the ray cast needs the whole outline."""
-    straddles = F.abs("s") <= F.col("half")
-    limit = F.when(straddles, F.lit(float("inf"))).otherwise(F.abs("s") + F.col("half") * 2 + SLACK)
-    edges = F.col("edges") if wanted is None else F.when(wanted, F.col("edges"))
-    return K.near_edges("cx", "cy", limit, edges)
-
-
-def _from_kept_edges(distance: Column) -> Column:
-    """A tile that does not straddle keeps its side; with part of the outline the ray cast
-    would not know it."""
-    return F.when(F.abs("s") <= F.col("half"), distance).otherwise(F.abs(distance) * F.signum("s"))
+    pairs = (
+        spread(blocks, "bx", "by").join(index, ["bx", "by"])
+        # explode(array(..)) keeps the optimizer from copying a costly expression to every place that uses it
+        .select(*keys, "bx", "by", "tiles", F.explode(F.array(measured)).alias("measured"))
+        .select(*keys, "bx", "by", F.inline(F.arrays_zip("tiles", "measured")))
+        .select(*keys, "bx", "by", "tiles.*", "measured.*")
+        .filter(F.col("s") - F.col("half") <= reach)
+    )
+    return Meeting(places, tile_rows, index, stored(pairs) if keep else pairs, distances, reach)
 
 
 def _band(distance: Column, distances: Sequence[float]) -> Column:
@@ -115,38 +129,44 @@ def _band(distance: Column, distances: Sequence[float]) -> Column:
     return band
 
 
-def point_bands(
-    areas: DataFrame, places: DataFrame, distances: Sequence[float], keys: Sequence[str] = KEYS, tile: float = TILE
-) -> DataFrame:
-    """(keys, measure, band, n): points per smallest buffer they are within."""
-    tile_rows = tiles(places)
-    pairs = measured_tiles(areas, tile_rows, keys, max(distances), tile)
-    low, high = _band(F.col("s") - F.col("half"), distances), _band(F.col("s") + F.col("half"), distances)
+def _of(name: Column, family: str) -> Column:
+    return name.startswith(family)
+
+
+def bands(met: Meeting, family: str = "", keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, measure, band, n): points per smallest buffer they are within, for measures that start with `family`."""
+    low, high = _band(F.col("s") - F.col("half"), met.distances), _band(F.col("s") + F.col("half"), met.distances)
     split = F.when(low.eqNullSafe(high), 0).otherwise(1)
-    settled = pairs.filter(low.isNotNull()).select(
-        *keys, "tx", "ty", "half", "s", low.alias("low"), split.alias("open"),
-        _edges_for_tile(split == 1).alias("near_edges"),
+    settled = met.pairs.filter(low.isNotNull()).select(
+        *keys, "tx", "ty", "cx", "cy", "inside", "near", low.alias("low"), split.alias("open")
     )
     # A settled tile meets its own counts, an open one its locations. An inner join, so
     # that AQE may split a hot tile on the side of the locations.
     none = F.lit(None).cast("double")
-    content = places.select(
+    named = F.filter("measures", lambda m: _of(m, family))
+    content = met.places.select(
         "tx", "ty", F.lit(1).alias("open"), "x", "y",
-        F.transform("measures", lambda m: F.struct(m.alias("measure"), F.col("n").alias("n"))).alias("items"),
-    ).unionByName(
-        tile_rows.select("tx", "ty", F.lit(0).alias("open"), none.alias("x"), none.alias("y"), F.col("counts").alias("items"))
-    )
-    exact = _band(_from_kept_edges(F.col("d")), distances)
-    band = F.when(F.col("open") == 0, F.col("low")).otherwise(exact)
+        F.transform(named, lambda m: F.struct(m.alias("measure"), F.col("n").alias("n"))).alias("items"),
+    ).unionByName(met.tile_rows.select(
+        "tx", "ty", F.lit(0).alias("open"), none.alias("x"), none.alias("y"), F.filter("counts", lambda c: _of(c["measure"], family)).alias("items")
+    )).filter(F.size("items") > 0)
+    band = F.when(F.col("open") == 0, F.col("low")).otherwise(_band(F.col("d"), met.distances))
     items = (
         settled.join(content, ["tx", "ty", "open"])
-        .select(*keys, "open", "low", "half", "s", "items", F.explode(F.array(K.signed_distance("x", "y", "near_edges"))).alias("d"))
+        .select(*keys, "open", "low", "items", F.explode(F.array(K.signed_from("x", "y", "near", "cx", "cy", "inside"))).alias("d"))
         .select(*keys, band.alias("band"), "items")
         .filter(F.col("band").isNotNull())
     )
     return items.select(*keys, "band", F.inline("items")).groupBy(*keys, "measure", "band").agg(F.sum("n").alias("n"))
 
 
+def point_bands(
+    areas: DataFrame, places: DataFrame, distances: Sequence[float], keys: Sequence[str] = KEYS, tile: float = TILE
+) -> DataFrame:
+    """`bands` of places on their own."""
+    return bands(meet(areas, places, distances, keys, tile), "", keys)
+
+
 # ---------------------------------------------------------------- polygons in buffers
 
 
@@ -228,10 +248,10 @@ def polygon_bands(
 # ---------------------------------------------------------------- counts and ratios
 
 
-def _within(bands: DataFrame, distances: Sequence[float], keys: Sequence[str]) -> DataFrame:
+def _within(counted: DataFrame, distances: Sequence[float], keys: Sequence[str], wanted: Sequence[float] | None = None) -> DataFrame:
     """Bands -> one row per (keys, measure) with the count within each distance, n_{d}."""
-    return bands.groupBy(*keys, "measure").agg(*[
-        F.sum(F.when(F.col("band") <= i, F.col("n")).otherwise(F.lit(0))).alias(f"n_{d}") for i, d in enumerate(distances)
+    return counted.groupBy(*keys, "measure").agg(*[
+        F.sum(F.when(F.col("band") <= list(distances).index(d), F.col("n")).otherwise(F.lit(0))).alias(f"n_{d}") for d in wanted or distances
     ])
 
 
@@ -250,11 +270,11 @@ def poi_counts_long(
     element in reach have no row.
     """
     tagged = points.select("x", "y", count_groups(F.col("tags"), groups).alias("measures"))
-    bands = point_bands(areas, locations(tagged, tile), distances, keys, tile)
+    counted = point_bands(areas, locations(tagged, tile), distances, keys, tile)
     if polygons is not None:
         shapes = polygons.select("ring", count_groups(F.col("tags"), groups).alias("measures"))
-        bands = bands.unionByName(polygon_bands(areas, shapes, distances, keys))
-    return _within(bands, distances, keys)
+        counted = counted.unionByName(polygon_bands(areas, shapes, distances, keys))
+    return _within(counted, distances, keys)
 
 
 def widen_counts(
@@ -296,8 +316,12 @@ def poi_ratios(
     """ratio_{num}_to_{den}_{d}; null where the denominator is 0."""
     used = {g: groups.get(g, []) for pair in pairs for g in pair}
     tagged = points.select("x", "y", ratio_groups(F.col("tags"), used).alias("measures"))
-    bands = point_bands(areas, locations(tagged, tile), distances, keys, tile)
-    wide = widen_counts(_within(bands, distances, keys), list(used), distances, keys)
+    counted = point_bands(areas, locations(tagged, tile), distances, keys, tile)
+    return _ratios(_within(counted, distances, keys), pairs, distances, keys)
+
+
+def _ratios(counts: DataFrame, pairs: Sequence[tuple[str, str]], distances: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    wide = widen_counts(counts, list({g: None for pair in pairs for g in pair}), distances, keys)
     return wide.selectExpr(*keys, *[
         f"try_divide(double(`count_{a}_{d}`), double(`count_{b}_{d}`)) AS `ratio_{a}_to_{b}_{d}`"
         for a, b in pairs for d in distances
@@ -307,89 +331,54 @@ def poi_ratios(
 # ---------------------------------------------------------------- nearest
 
 
-def _closest(pairs: DataFrame, places: DataFrame, areas: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Tile pairs (one measure each) -> exact least distance per (keys, measure).
+def _closest(met: Meeting, keys: Sequence[str], family: str) -> DataFrame:
+    """Exact least distance per (keys, measure) of the places in reach.
 
-    Only tiles whose nearest possible point beats the best farthest possible one are opened.
-    Outlines are no part of the pairs that are shuffled to find these; the few tiles
-    that stay meet their area's outline again.
+    Only tiles whose nearest possible point beats the best farthest possible one are opened; what is
+    shuffled to find them holds no geometry. The few that stay fetch their edges by block.
     """
+    keys = list(keys)
     low = F.greatest(F.col("s") - F.col("half"), F.lit(0.0))
     high = F.greatest(F.col("s") + F.col("half"), F.lit(0.0))
     group = Window.partitionBy(*keys, "measure")
-    kept = (
-        pairs.select(*keys, "measure", "tx", "ty", "cx", "cy", "s", "half")
+    named = met.tile_rows.select("tx", "ty", F.explode(F.filter(F.col("counts.measure"), lambda m: _of(m, family))).alias("measure"))
+    kept = shared(
+        met.pairs.select(*keys, "bx", "by", "tx", "ty", "cx", "cy", "half", "s", "inside")
+        .join(named, ["tx", "ty"])
         .withColumn("_best", F.min(high).over(group))
         .filter(low <= F.col("_best"))
-        .join(areas.select(*keys, "edges"), list(keys))
-        .select(*keys, "measure", "tx", "ty", "s", "half", _edges_for_tile().alias("near_edges"))
+        .groupBy(*keys, "bx", "by", "tx", "ty", "cx", "cy", "half", "s", "inside").agg(F.collect_list("measure").alias("measures"))
+    )
+    opened = (
+        kept.groupBy(*keys, "bx", "by").agg(F.collect_list(F.struct("tx", "ty", "cx", "cy", "half", "s", "inside", "measures")).alias("tiles"))
+        .join(met.index.select(*keys, "bx", "by", "near"), [*keys, "bx", "by"])
+        .select(*keys, "tiles", F.explode(F.array(K.tile_edges("tiles", "near"))).alias("near"))
+        .select(*keys, F.inline(F.arrays_zip("tiles", "near")))
+        .select(*keys, "tiles.*", "near")
+        .withColumn("measure", F.explode("measures"))
     )
-    inner = places.select("tx", "ty", "x", "y", F.explode("measures").alias("measure"))
+    inner = met.places.select("tx", "ty", "x", "y", F.explode(F.filter("measures", lambda m: _of(m, family))).alias("measure"))
+    exact = F.when(F.col("s") + F.col("half") <= 0, 0.0).otherwise(F.greatest(F.col("d"), F.lit(0.0)))
     return (
-        kept.join(inner, ["tx", "ty", "measure"])
-        .withColumn("d", K.signed_distance("x", "y", "near_edges"))
+        opened.join(inner, ["tx", "ty", "measure"])
+        .withColumn("d", K.signed_from("x", "y", "near", "cx", "cy", "inside"))
         .groupBy(*keys, "measure")
-        .agg(F.min(F.greatest(_from_kept_edges(F.col("d")), F.lit(0.0))).alias("distance"))
+        .agg(F.min(exact).alias("distance"))
     )
 
 
-def _beyond_reach(
-    areas: DataFrame, missing: DataFrame, tile_rows: DataFrame, keys: Sequence[str], reach: float, tile: float
+def nearest_of(
+    areas: DataFrame, met: Meeting, pois: Sequence[str], keys: Sequence[str] = KEYS, tile: float = TILE, family: str = ""
 ) -> DataFrame:
-    """Tile pairs for (area, measure) without a point in reach.
-
-    Cells double in size per level, until one is as wide as all tiles and areas together, so that
-    every area has an occupied cell next to it in the last level. The first level with one
-    bounds the nearest distance; tiles within that bound are candidates.
-    """
-    keys = list(keys)
-    base = float(max(reach, tile))
-    boxes = tile_rows.select(*BOX).unionByName(areas.select(*BOX))
-    extent = boxes.agg(F.greatest(F.max("maxx") - F.min("minx"), F.max("maxy") - F.min("miny")).alias("_extent"))
-    needed = F.greatest(F.ceil(F.log2(F.col("_extent") / base + 1)).cast("int"), F.lit(0)) + 2
-    levels = extent.select(needed.alias("levels"))  # one row
-    level = F.explode(F.sequence(F.lit(1), F.col("levels"))).alias("level")
-    size = F.lit(base) * F.pow(F.lit(2.0), F.col("level"))
-    per_poi = tile_rows.select("tx", "ty", "cx", "cy", "half", *[F.col(b).alias(f"t_{b}") for b in BOX], F.explode("counts.measure").alias("measure"))
-
-    def celled(df: DataFrame) -> DataFrame:
-        return df.withColumn("gx", F.floor(F.col("cx") / size).cast("long")).withColumn(
-            "gy", F.floor(F.col("cy") / size).cast("long")
-        )
-
-    def spread(df: DataFrame, grow: Column) -> DataFrame:
-        def span(low, high):
-            return F.explode(F.sequence(
-                F.floor((F.col(low) - grow) / size).cast("long"), F.floor((F.col(high) + grow) / size).cast("long")
-            ))
-
-        return df.withColumn("gx", span("minx", "maxx")).withColumn("gy", span("miny", "maxy"))
-
-    by_level = celled(per_poi.crossJoin(F.broadcast(levels)).select(*per_poi.columns, level))
-    occupied = by_level.select("measure", "level", "gx", "gy").distinct()
-    sought = missing.join(areas.select(*keys, "edges", *BOX), keys)
-    hits = (
-        spread(sought.crossJoin(F.broadcast(levels)).select(*keys, "measure", *BOX, level), size)
-        .join(occupied, ["measure", "level", "gx", "gy"])
-        .groupBy(*keys, "measure")
-        .agg(F.min("level").alias("hit"))
-    )
-    # A hit cell ends at most two cell sizes from the box on each axis; the box's own
-    # diagonal covers the way from the box to the outline.
-    diagonal = F.sqrt(F.pow(F.col("maxx") - F.col("minx"), 2) + F.pow(F.col("maxy") - F.col("miny"), 2))
-    radius = F.lit(2.0 * math.sqrt(2)) * F.lit(base) * F.pow(F.lit(2.0), F.col("hit")) + diagonal + 2 * tile
-    search = sought.join(hits, [*keys, "measure"]).crossJoin(F.broadcast(levels)).withColumn("radius", radius).withColumn(
-        "level", F.least(F.col("hit") + 2, F.col("levels"))
-    ).drop("levels")
-    return (
-        spread(search, F.col("radius"))
-        .join(by_level, ["measure", "level", "gx", "gy"])
-        .filter(G.box_gap2(_box(), _box("t_")) <= F.col("radius") * F.col("radius"))
-        .select(
-            *keys, "measure", "edges", "tx", "ty", "cx", "cy", "half",
-            F.explode(F.array(K.signed_distance("cx", "cy", "edges"))).alias("s"),
-        )
+    """(keys, measure, distance) of a meeting whose pairs are stored; those without a place in reach search on."""
+    found = stored(_closest(met, keys, family).filter(F.col("distance") <= met.reach))
+    wanted = areas.select(*keys, F.explode(F.array(*[F.lit(family + p) for p in pois])).alias("measure"))
+    missing = wanted.join(found, [*keys, "measure"], "left_anti")
+    named = met.tile_rows.select(
+        F.explode(F.filter(F.col("counts.measure"), lambda m: _of(m, family))).alias("measure"), F.col("tx").alias("gx"), F.col("ty").alias("gy"), *BOX
     )
+    tile_places = met.places.select("tx", "ty", "x", "y", F.explode(F.filter("measures", lambda m: _of(m, family))).alias("measure"))
+    return found.unionByName(farther(areas, missing, named, tile_places, keys, tile))
 
 
 def poi_nearest_long(
@@ -402,26 +391,21 @@ def poi_nearest_long(
 ) -> DataFrame:
     """(keys, measure, distance): from each area to the nearest point of each poi, 0 inside.
 
-    Areas with a poi within `reach` are settled first; for the others the search widens
-    until it has found every poi that exists.
+    Areas with a poi within `reach` are settled first; for the others a search from the top of a pyramid
+    of cells finds every poi that exists.
     """
     tagged = points.select("x", "y", nearest_pois(F.col("tags"), pois).alias("measures"))
-    places = locations(tagged, tile)
-    tile_rows = tiles(places)
-    pairs = measured_tiles(areas, tile_rows, keys, reach, tile)
-    by_poi = pairs.withColumn("measure", F.explode("counts.measure"))
-    found = _closest(by_poi.filter(F.col("s") - F.col("half") <= reach), places, areas, keys).filter(F.col("distance") <= reach)
-    wanted = areas.select(*keys, F.explode(F.array(*[F.lit(p) for p in pois])).alias("measure"))
-    missing = wanted.join(found, [*keys, "measure"], "left_anti")
-    far = _closest(_beyond_reach(areas, missing, tile_rows, keys, reach, tile), places, areas, keys)
-    return found.unionByName(far)
+    return nearest_of(areas, meet(areas, locations(tagged, tile), [], keys, tile, reach, keep=True), pois, keys, tile)
 
 
 def poi_nearest(
     areas: DataFrame, points: DataFrame, pois: Sequence[str] = NEAREST_POI, keys: Sequence[str] = KEYS, **options
 ) -> DataFrame:
     """nearest_{poi} columns; null where the poi does not exist."""
-    long = poi_nearest_long(areas, points, pois, keys, **options)
+    return _widen_nearest(poi_nearest_long(areas, points, pois, keys, **options), pois, keys)
+
+
+def _widen_nearest(long: DataFrame, pois: Sequence[str], keys: Sequence[str]) -> DataFrame:
     return long.groupBy(*keys).agg(*[
         F.max(F.when(F.col("measure") == p, F.col("distance"))).alias(f"nearest_{p}") for p in pois
     ])
@@ -503,12 +487,29 @@ def map_features(
     pairs: Sequence[tuple[str, str]] = RATIO_PAIRS,
     landuse_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every map feature side by side on the areas; geometry is dropped."""
+    """Every map feature side by side on the areas; geometry is dropped.
+
+    Counts, ratios and nearest distances come from one scan of the points, one table of tiles and
+    one stored table of (area, tile) pairs; counts and ratios share one pass over its bands.
+    """
+    used = {g: groups.get(g, []) for pair in pairs for g in pair}
+    tags = F.col("tags")
+    families = {"count:": count_groups(tags, groups), "ratio:": ratio_groups(tags, used), "nearest:": nearest_pois(tags, pois)}
+    named = [F.transform(names, lambda m, f=f: F.concat(F.lit(f), m)) for f, names in families.items()]
+    distances = sorted({*BUFFER_DISTANCES, *RATIO_DISTANCES})
+    met = meet(areas, locations(points.select("x", "y", F.concat(*named).alias("measures"))), distances, keys, keep=True)
+    shapes = polygons.select("ring", F.transform(count_groups(tags, groups), lambda m: F.concat(F.lit("count:"), m)).alias("measures"))
+    counted = bands(met, "", keys).filter(~_of(F.col("measure"), "nearest:")).unionByName(polygon_bands(areas, shapes, distances, keys))
+    counts = stored(_within(counted, distances, keys))
+
+    def family(name: str, rows: DataFrame) -> DataFrame:
+        return rows.filter(_of(F.col("measure"), name)).withColumn("measure", F.substring("measure", len(name) + 1, 1000))
+
     out = areas.select(*keys)
     for part in (
-        poi_counts(areas, points, polygons, groups, BUFFER_DISTANCES, keys),
-        poi_nearest(areas, points, pois, keys),
-        poi_ratios(areas, points, groups, pairs, RATIO_DISTANCES, keys),
+        areas.select(*keys).join(widen_counts(family("count:", counts), list(groups), BUFFER_DISTANCES, keys), list(keys), "left").fillna(0),
+        _widen_nearest(family("nearest:", nearest_of(areas, met, pois, keys, family="nearest:")), pois, keys),
+        _ratios(family("ratio:", counts), pairs, RATIO_DISTANCES, keys),
         landuse_shares(areas, polygons, landuse_types, keys),
         streetlit_share(areas, lines, keys),
     ):
