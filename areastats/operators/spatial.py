@@ -133,6 +133,10 @@ def _of(name: Column, family: str) -> Column:
     return name.startswith(family)
 
 
+def _prefixed(family: str, names: Column) -> Column:
+    return F.transform(names, lambda m: F.concat(F.lit(family), m))
+
+
 def bands(met: Meeting, family: str = "", keys: Sequence[str] = KEYS) -> DataFrame:
     """(keys, measure, band, n): points per smallest buffer they are within, for measures that start with `family`."""
     low, high = _band(F.col("s") - F.col("half"), met.distances), _band(F.col("s") + F.col("half"), met.distances)
@@ -495,10 +499,10 @@ def map_features(
     used = {g: groups.get(g, []) for pair in pairs for g in pair}
     tags = F.col("tags")
     families = {"count:": count_groups(tags, groups), "ratio:": ratio_groups(tags, used), "nearest:": nearest_pois(tags, pois)}
-    named = [F.transform(names, lambda m, f=f: F.concat(F.lit(f), m)) for f, names in families.items()]
+    named = [_prefixed(f, names) for f, names in families.items()]
     distances = sorted({*BUFFER_DISTANCES, *RATIO_DISTANCES})
     met = meet(areas, locations(points.select("x", "y", F.concat(*named).alias("measures"))), distances, keys, keep=True)
-    shapes = polygons.select("ring", F.transform(count_groups(tags, groups), lambda m: F.concat(F.lit("count:"), m)).alias("measures"))
+    shapes = polygons.select("ring", _prefixed("count:", count_groups(tags, groups)).alias("measures"))
     counted = bands(met, "", keys).filter(~_of(F.col("measure"), "nearest:")).unionByName(polygon_bands(areas, shapes, distances, keys))
     counts = stored(_within(counted, distances, keys))
 
