@@ -14,12 +14,16 @@ SLICE_ROWS, SLICE_CHARS = 512, 2_000_000
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that the driver and all executors see; removed when the driver's JVM ends.
 
-    It lies in `spark.checkpoint.dir`, or where that is unset (tests) in the warehouse.
+    It lies in `spark.checkpoint.dir`, or where that is unset (tests) in the warehouse. On a
+    cluster, a warehouse on the driver's own disk is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{base.rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder = f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if shared is None and files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    files.deleteOnExit(path)
     return folder
 
 
@@ -59,6 +63,29 @@ def schema_of(df: DataFrame, *added: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in added)])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, stored, with a number of their own in a new column; and that column's name.
+
+    The number is drawn once, before the rows are stored, so all later readers see the same.
+    """
+    column = fresh(df, "row_number_of_" + name)
+    return stored(df.withColumn(column, F.monotonically_increasing_id()), name), column
+
+
+def settled_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(label_id, label): one label of each doc_id; of conflicting ones the largest. Rows with a null are left out."""
+    rows = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col(label).cast("int").alias("label")).dropna()
+    return rows.groupBy("label_id").agg(F.max("label").alias("label"))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts))

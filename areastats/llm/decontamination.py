@@ -22,10 +22,13 @@ def normal(text: str) -> str:
     return " ".join(WORD.findall(text.lower()))
 
 
-def distances(pattern: str, text: str) -> Iterator[int]:
-    """Least edit distance between the pattern and a piece of text that ends here, per position."""
+def distances(pattern: str, text: str, anchored: bool = False) -> Iterator[int]:
+    """Least edit distance between the pattern and a piece of text that ends here, per position.
+
+    With `anchored`, the piece is all of the text so far.
+    """
     if not pattern:
-        yield from (0 for _ in text)
+        yield from (i + 1 if anchored else 0 for i in range(len(text)))
         return
     match: dict[str, int] = defaultdict(int)
     for i, c in enumerate(pattern):
@@ -39,30 +42,35 @@ def distances(pattern: str, text: str) -> Iterator[int]:
         right = down | (full & ~(xh | up))
         left = up & xh
         score += bool(right & top) - bool(left & top)
-        right, left = (right << 1) & full, (left << 1) & full
+        right, left = (right << 1 | anchored) & full, (left << 1) & full
         up = left | (full & ~(xv | right))
         down = right & xv
         yield score
 
 
-def closest(pattern: str, text: str) -> tuple[int, int, int]:
-    """(distance, start, end) of the piece of text nearest to the pattern; the first of equals."""
-    best, end = len(pattern), 0
-    for i, d in enumerate(distances(pattern, text)):
-        if d < best:
-            best, end = d, i + 1
-    start = end
-    for i, d in enumerate(distances(pattern[::-1], text[:end][::-1])):
-        if d == best:
+def closest(pattern: str, text: str, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the words of text[low:high] nearest to the pattern, within the budget.
+
+    The piece begins and ends with whole words of the text; of equals the first. All ends within the
+    budget are tried, and from each all starts.
+    """
+    ends = [low + i + 1 for i, d in enumerate(distances(pattern, text[low:high])) if d <= budget]
+    best = None
+    for end in ends:
+        if end < len(text) and text[end] != " " or text[end - 1] == " ":
+            continue
+        first = max(low, end - len(pattern) - budget)
+        for i, d in enumerate(distances(pattern[::-1], text[first:end][::-1], anchored=True)):
             start = end - i - 1
-            break
-    return best, start, end
+            if d <= budget and (start == 0 or text[start - 1] == " ") and text[start] != " " and (best is None or (d, start, end) < best):
+                best = (d, start, end)
+    return best
 
 
 class Passages:
     """Passages indexed by their pieces. `items` are (item_id, text)."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float):
         import ahocorasick
 
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -71,7 +79,7 @@ class Passages:
             pattern = normal(text)
             if not pattern:
                 continue
-            budget = int(len(pattern) * error_rate) if len(pattern) >= min_chars else 0
+            budget = int(len(pattern) * error_rate)
             own = len(self.items)
             self.items.append((item_id, pattern, budget))
             cuts = [len(pattern) * i // (budget + 1) for i in range(budget + 2)]
@@ -82,7 +90,6 @@ class Passages:
             self.found.add_word(piece, (len(piece), places))
         if pieces:
             self.found.make_automaton()
-        self.min_chars = min_chars
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, start, end): the best place of each passage within its budget.
@@ -103,11 +110,9 @@ class Passages:
             item_id, pattern, budget = self.items[own]
             best = None
             for a, b in _merged(spans):
-                d, start, end = closest(pattern, plain[a:b])
-                if d > budget or (len(pattern) < self.min_chars and not _whole(plain, a + start, a + end)):
-                    continue
-                if best is None or d < best[0]:
-                    best = (d, a + start, a + end)
+                place = closest(pattern, plain, a, b, budget)
+                if place is not None and (best is None or place < best):
+                    best = place
             if best is not None:
                 result.append((item_id, best[0], *_original(text, best[1], best[2])))
         return result
@@ -123,10 +128,6 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _whole(text: str, start: int, end: int) -> bool:
-    return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
-
-
 def _original(text: str, start: int, end: int) -> tuple[int, int]:
     """Places of the normal form as places of the text."""
     at, first, last = 0, None, (0, 0)
@@ -150,15 +151,14 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int)
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40,
+    docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     block_chars: int = 1_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, distance, start_char, end_char) of each passage that a document holds.
 
     Passages and whole documents are compared as lower-case words; up to `error_rate` of a passage's
-    characters may be edited. Passages under `min_chars` must match exactly, as whole
-    words. Null texts hold nothing; passages without text or words, or without an id, are left
+    characters (rounded down) may be edited, and what matches are whole words of the document. Null texts hold nothing; passages without text or words, or without an id, are left
     out. Repeated documents or ids give repeated rows. One scan of the documents for each block
     of `block_chars` characters of passages.
     """
@@ -167,7 +167,7 @@ def contaminated(
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            passages = Passages(sent.value, error_rate, min_chars)
+            passages = Passages(sent.value, error_rate)
             for batch in batches:
                 for part, texts in slices(batch, "text"):
                     rows = [(d, *m) for d, t in zip(part.column("doc_id").to_pylist(), texts, strict=True) for m in passages.matches(t)]
@@ -186,7 +186,7 @@ def contaminated(
 
 
 def decontaminated(
-    docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40, text_col: str = "text",
+    docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, text_col: str = "text",
     block_chars: int = 1_000_000,
 ) -> DataFrame:
     """The documents that hold no passage of the benchmark, with all their columns."""
@@ -194,7 +194,7 @@ def decontaminated(
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            passages = Passages(sent.value, error_rate, min_chars)
+            passages = Passages(sent.value, error_rate)
             for batch in batches:
                 for part, texts in slices(batch, text_col):
                     yield part.filter(pa.array([not passages.matches(t) for t in texts], pa.bool_()))

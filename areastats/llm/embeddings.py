@@ -10,6 +10,7 @@ import hashlib
 import io
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,8 @@ from areastats.llm.common import bounded_sample, filesystem, shared_folder, stor
 from areastats.llm.components import components
 from areastats.llm.simhash import forest
 
-#: Vectors that fit the basis and the cuts; rows of a tile; tiles at most (more rows make larger tiles).
+#: Vectors that fit the basis and the cuts; rows of a tile; tiles at most (where a tile gets more rows,
+#: it is cut into pieces of about so many).
 SAMPLE, TILE_ROWS, MAX_TILES = 16_384, 2048, 2048
 #: Components in a tile's box; components of each step of a comparison; rows of a block.
 BOX, STEPS, BLOCK = 8, (12, 32), 1024
@@ -29,7 +31,11 @@ DOUBT = 1e-9
 
 
 def _keyed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, key, size, vector): the key is the digest of a usable vector, else null."""
+    """(vec_id, key, size, vector): the key is the digest of a usable vector, else null.
+
+    Vectors are scaled by a power of two to a largest component between 0.5 and 1: no cosine changes,
+    and no product of tiny or huge components leaves the range of doubles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,6 +44,8 @@ def _keyed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                 values = v.as_py()
                 a = np.array(values if values is not None and None not in values else [np.nan], np.float64) + 0.0
                 usable = vec_id is not None and len(a) > 0 and bool(np.isfinite(a).all()) and bool(a.any())
+                if usable:
+                    a = np.ldexp(a, -np.frexp(np.abs(a).max())[1])
                 keys.append(hashlib.blake2b(a.tobytes(), digest_size=16).digest() if usable else None)
                 sizes.append(len(a) if usable else None)
                 kept.append(a.tobytes() if usable else None)
@@ -147,26 +155,43 @@ def linked(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector; links are cosines of at least `threshold`.
 
-    Vectors that are null, empty, zero or hold a null or non-finite component, vectors without an id,
-    and vectors of another length than the most common one link with nothing. Equal vectors are
-    compared once and counted as often as they come; links are counted and chained where they
-    are found, so no table of pairs arises. Tiles are files in the shared folder; a task
-    holds two of them.
+    Vectors that are null, empty, zero or hold a null or non-finite component, and vectors without an id
+    link with nothing; others are compared with all of their length, whatever their magnitude. Vectors that are equal
+    up to a power of two are compared once and counted as often as they come; links are counted and chained
+    where they are found, so no table of pairs arises. Tiles are files in the shared folder; a task
+    holds two of them. An empty table gives no rows, further columns are ignored.
     """
     rows = stored(_keyed(vectors, id_col, vector_col), "vectors")
-    lengths = rows.where("key IS NOT NULL").groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    size = lengths[0] if lengths else 0
     groups = stored(
-        rows.where(F.col("key").isNotNull() & (F.col("size") == size)).groupBy("key")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")), "distinct",
+        rows.where("key IS NOT NULL").groupBy("size", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")), "distinct",
+    )
+    sizes = {r[0]: r[1] for r in groups.groupBy("size").count().collect()}  # one row for each length
+    found = [_linked_of(groups.where(F.col("size") == size), size, sizes[size], threshold, tile_rows) for size in sorted(sizes)]
+    if found:
+        links = stored(reduce(DataFrame.unionAll, found), "all_links")
+    else:
+        links = vectors.sparkSession.createDataFrame([], "rep long, links long, root long")
+    counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
+    roots = components(links.where("root IS NOT NULL").select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    of_key = stored(
+        groups.select("size", "key", "rep", "copies").join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
+        .select("size", "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")),
+        "components",
     )
-    total = groups.count()
-    chosen = bounded_sample(groups, "key", SAMPLE).select("vector").collect() if total else []
+    result = rows.select("vec_id", "size", "key").join(of_key, ["size", "key"], "left")
+    component = F.coalesce("component_id", "vec_id")
+    return result.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+def _linked_of(groups: DataFrame, size: int, total: int, threshold: float, tile_rows: int) -> DataFrame:
+    """(rep, links, root): linked copies and spanning links of the distinct vectors of one length."""
+    chosen = bounded_sample(groups, "key", SAMPLE).select("vector").collect()
     sample = np.array([np.frombuffer(r[0]) for r in sorted(chosen)]).reshape(len(chosen), size)
-    sample = sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else sample
-    turn = basis(sample) if len(sample) else np.zeros((size, size))
+    sample = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    turn = basis(sample) if len(sample) else np.eye(size)
     nodes = cuts(sample @ turn, min(MAX_TILES, -(-total // tile_rows)))
-    folder = shared_folder(vectors.sparkSession, "tiles")
+    spark = groups.sparkSession
+    folder = shared_folder(spark, "tiles")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,9 +213,11 @@ def linked(
             out.write(data.getvalue())
         return pd.DataFrame({"name": [name], "low": [points.min(axis=0).tolist()], "high": [points.max(axis=0).tolist()]})
 
-    dealt = groups.select("rep", "copies", "vector").mapInArrow(deal, "tile long, rep long, copies long, vector binary")
-    tiles = stored(dealt.groupBy("tile").applyInPandas(write, "name string, low array<double>, high array<double>"), "tiles")
-    listed = sorted(map(tuple, tiles.collect()))  # at most MAX_TILES rows
+    dealt = stored(groups.select("rep", "copies", "vector").mapInArrow(deal, "tile long, rep long, copies long, vector binary"), "dealt")
+    pieces = dealt.groupBy("tile").agg(F.ceil(F.count("*") / tile_rows).alias("pieces"))  # at most MAX_TILES rows
+    cut = dealt.join(pieces, "tile").withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces"))).drop("pieces")
+    tiles = stored(cut.groupBy("tile", "piece").applyInPandas(write, "name string, low array<double>, high array<double>"), "tiles")
+    listed = sorted(map(tuple, tiles.collect()))  # one box for each tile_rows vectors
     names = [t[0] for t in listed]
     work = _tile_pairs(np.array([t[1] for t in listed]), np.array([t[2] for t in listed]), threshold)
 
@@ -207,19 +234,8 @@ def linked(
                     b = a if other == first else load(names[other])
                     yield _links(a, b, threshold, other == first)
 
-    spark = vectors.sparkSession
     jobs = spark.createDataFrame(work, "first int, others array<int>").repartition(max(1, min(len(work), 4 * spark.sparkContext.defaultParallelism)))
-    found = stored(jobs.mapInPandas(compare, "rep long, links long, root long"), "links")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.where("root IS NOT NULL").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    of_key = stored(
-        groups.select("key", "rep", "copies").join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
-        .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")),
-        "components",
-    )
-    result = rows.select("vec_id", "key").join(of_key, "key", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return result.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return stored(jobs.mapInPandas(compare, "rep long, links long, root long"), "links")
 
 
 def _tile_pairs(low: np.ndarray, high: np.ndarray, threshold: float) -> list[tuple[int, list[int]]]:

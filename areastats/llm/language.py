@@ -15,9 +15,14 @@ BUCKETS = 1 << 15
 SAMPLE = 3000
 #: n-grams scored at a time.
 BLOCK = 1 << 16
+#: Letters and also fractions, Roman and circled numbers, which are none.
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def lettered(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of the n-grams of all texts, first n-gram of each text).
 
@@ -74,7 +79,7 @@ class NaiveBayes:
             return ["und"] * len(texts), [0.0] * len(texts)
         odds = self.posterior(texts)
         best = odds.argmax(axis=1)
-        known = [LETTER.search(t) is not None for t in texts]
+        known = [lettered(t) for t in texts]
         names = [self.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
         return names, [float(odds[i, b]) if k else 0.0 for i, (b, k) in enumerate(zip(best, known, strict=True))]
 

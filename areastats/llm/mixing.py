@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from areastats.llm.common import stored
+from areastats.llm.common import fresh, numbered, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in order of their names, repeating.
@@ -55,26 +55,29 @@ def offset(source: Column, seed: int) -> Column:
 
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), repeats: int = 2, seed: int = 7,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) of every document.
 
+    With `row_col`, a long that is unique, that column comes too, as `row`, and orders rows of equal id and size.
+
     In the order of size and id within its source, every document adds its expected copies
     (target / source_size) to a running sum that starts at a random offset, and comes once for
     each whole number the sum passes. Neighbours in this order are of like size, so the words
     taken stay within a document's size of the target. Null texts have size 0; a null source
-    is a source; rows with equal id and size share their copies in any order. The running sum
+    is a source, a null id comes first; rows with equal id and size share their copies in any order. The running sum
     is the rank times the expected copies: ranks come from one range partitioning of small rows
-    and counts per partition, so a source may hold any share of the rows.
+    and counts per partition, so a source may hold any share of the rows. An empty table gives no rows.
     """
     counted = stored(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
             F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size"),
+            (F.lit(None).cast("long") if row_col is None else F.col(row_col)).alias("row"),
         ),
         "sizes",
     )
-    keys = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
+    keys = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), *([] if row_col is None else [F.col("row")])]
     placed = counted.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
     placed = stored(placed.withColumn("part", F.shiftright("place", 33)), "places")
     parts = stored(placed.groupBy("part", "source").agg(F.min("place").alias("first"), F.count("*").alias("rows"), F.sum("size").alias("words")), "parts")
@@ -89,7 +92,8 @@ def mix(
     rank = F.col("place") + F.col("shift")
     passed = lambda r: F.floor(r * F.col("target") / F.col("source_size") + offset(F.col("source"), seed))
     copies = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.least(F.lit(repeats), passed(rank) - passed(rank - 1)))
-    return ranked.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    shown = ["doc_id", "source", "size", "source_size", "target", *([] if row_col is None else ["row"])]
+    return ranked.select(*shown, copies.cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 #: The result of `mix` with its defaults.
@@ -126,20 +130,23 @@ WITH sized AS (
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: every document as often as the mix takes it, with all its columns.
+    """The mixed corpus: every row as often as the mix takes it, with all its columns.
 
     Further columns: `mix_copy` (1, 2, ...), and the mix's size, source_size, target and taken as
-    `mix_...`. Rows without a doc_id are not part of a mix and are left out; the copies of
-    repeated rows of one doc_id are theirs together and come from its first row.
+    `mix_...`; a column of the documents with such a name gives way to `..._`. Every row has copies of its
+    own, those with repeated or null ids too. An empty table gives no rows.
     """
-    found = mix(docs.where("doc_id IS NOT NULL"), **options)
-    per_id = found.where("copies > 0").groupBy(F.col("doc_id").alias("mix_id")).agg(
-        F.sum("copies").alias("mix_copies"), F.max("size").alias("mix_size"), F.max("source_size").alias("mix_source_size"),
-        F.max("target").alias("mix_target"), F.sum("taken").alias("mix_taken"), F.count("*").alias("mix_rows"),
+    rows, number = numbered(docs, "documents")
+    found = mix(rows, row_col=number, **options).where("copies > 0")
+    names = {c: fresh(docs, "mix_" + c) for c in ("copy", "size", "source_size", "target", "taken")}
+    shown = found.select(
+        F.col("row").alias("mixed_row"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("mixed_copies"),
+        *[F.col(c).alias(f"mixed_{c}") for c in names if c != "copy"],
+    )
+    shown = stored(shown, "mix")
+    # One shuffle of the texts, by row, at any size: the rows are too many to broadcast.
+    taken = rows.join(shown.hint("merge"), rows[number] == shown["mixed_row"])
+    return taken.select(
+        *[rows[f"`{c}`"] for c in docs.columns], F.explode(shown["mixed_copies"]).alias(names["copy"]),
+        *[shown[f"mixed_{c}"].alias(n) for c, n in names.items() if c != "copy"],
     )
-    per_id = stored(per_id, "mix")
-    same_id = lambda ids: docs["doc_id"].cast("long") == ids["mix_id"]
-    once, more = per_id.where("mix_rows = 1"), per_id.where("mix_rows > 1")
-    # One shuffle of the texts, by doc_id, at any size: the ids are too many to broadcast.
-    taken = docs.join(once.hint("merge"), same_id(once)).unionByName(docs.join(more.hint("merge"), same_id(more)).dropDuplicates(["doc_id"]))
-    return taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).drop("mix_id", "mix_copies", "mix_rows")

@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import bounded_sample, fold
+from areastats.llm.common import bounded_sample, fold, settled_labels
 
 #: Labelled documents that training uses at most.
 SAMPLE = 8000
@@ -131,7 +131,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Rules:
     """Fit on up to about `sample` labelled documents outside the held-out fold, chosen by hash."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("label")).dropna().dropDuplicates(["label_id"])
+    marked = settled_labels(labels, "quality")
     marked = bounded_sample(marked.where(fold(F.col("label_id"), 5) != 0), "label_id", sample)
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("text")).dropna()
     chosen = rows.join(F.broadcast(marked), "label_id")  # at most `sample` short rows

@@ -15,17 +15,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import slices, stored
+from areastats.llm.common import fresh, numbered, slices, stored
 from areastats.llm.components import components
 
 #: Rows of a shard whose tree is built and searched by one task; larger shards are cut.
 PIECE = 2048
 #: Shingles hashed and counted at a time.
 BLOCK = 1 << 14
-#: Distinct shingles of a piece whose sets are compared by one task.
-PIECE_SHINGLES = 1 << 20
-#: Sets up to this size are compared without fingerprints, which are too coarse for them.
-SHORT = 50
 
 
 # ---- fingerprints -----------------------------------------------------------------------
@@ -49,14 +45,6 @@ def shingle_hashes(text: str, width: int) -> Iterator[np.ndarray]:
         yield np.frombuffer(b"".join([digest(joined[a:b], 42) for a, b in spans]), dtype=">u8")
 
 
-def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The k-th of a family of independent 64-bit hashes of a hash (the splitmix finaliser)."""
-    z = hashes.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
 def fingerprint(text: str, width: int) -> bytes:
     """64 bits: a bit is set where over half of the shingle hashes have it."""
     total, n = np.zeros(64, np.int64), 0
@@ -66,31 +54,6 @@ def fingerprint(text: str, width: int) -> bytes:
     return np.packbits(2 * total > n).tobytes()
 
 
-def shingle_set(text: str, width: int) -> np.ndarray:
-    """The distinct shingle hashes of a text, sorted: a repeated shingle counts once."""
-    parts = [hashes.astype(np.uint64) for hashes in shingle_hashes(text, width)]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def set_key(shingles: np.ndarray) -> int:
-    """A 64-bit hash that names a shingle set."""
-    import xxhash
-
-    return int.from_bytes(xxhash.xxh64_digest(shingles.tobytes(), 42), "big", signed=True)
-
-
-def wide_fingerprint(shingles: np.ndarray, words: int, keys: int) -> tuple[bytes, list[int]]:
-    """A SimHash of `words` x 64 bits of a shingle set and `keys` min-wise shingle hashes (none: zeros)."""
-    total, n = np.zeros(64 * words, np.int64), len(shingles)
-    least = np.full(keys, 2**64 - 1, np.uint64)
-    for at in range(0, n, 2048):
-        part = [mixed(shingles[at : at + 2048], k) for k in range(max(words, keys))]
-        bits = np.stack(part[:words], axis=1).astype(">u8")
-        total += np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-        least = np.minimum(least, [p.min() for p in part[:keys]])
-    return np.packbits(2 * total > n).tobytes(), (least if n else least * 0).view(np.int64).tolist()
-
-
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, code): the 64-bit fingerprint of every whole text (null: empty; no word: zero)."""
 
@@ -104,39 +67,6 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, "doc_id long, code binary")
 
 
-def wide_fingerprints(
-    docs: DataFrame, width: int, words: int, keys: int, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, node, n, code, mins) of every whole text; `node` is the XXH64 of its shingle set, `n` the set's size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in slices(batch, "text"):
-                sets = [shingle_set(t, width) for t in texts]
-                made = [wide_fingerprint(each, words, keys) for each in sets]
-                columns = [
-                    part.column("doc_id"), pa.array([set_key(each) for each in sets], pa.int64()), pa.array([len(each) for each in sets], pa.int64()),
-                    pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "code", "mins"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, node long, n long, code binary, mins array<long>")
-
-
-def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the texts (text): the sets as sorted 8-byte hashes; rows repeat."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, some in slices(batch, "text"):
-                sets = [shingle_set(t, width) for t in some]
-                columns = [pa.array([set_key(each) for each in sets], pa.int64()), pa.array([each.tobytes() for each in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
-
-    return texts.select("text").mapInArrow(run, "node long, shingles binary")
-
-
 # ---- BK-tree ----------------------------------------------------------------------------
 
 
@@ -284,70 +214,6 @@ def shard_links(rows: DataFrame, radius: int) -> DataFrame:
     return sorted_rows.mapInPandas(run, "a long, b long")
 
 
-def shard_proposals(rows: DataFrame, radius: int) -> DataFrame:
-    """(shard, rep): the codes of each shard that lie within the radius of another; rows may repeat."""
-    ready = _tiles(rows, F.ceil(F.count("*") / PIECE))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tile in runs(frames, "tile"):
-            codes = np.frombuffer(b"".join(tile["code"]), dtype=">u8").astype(np.uint64).reshape(len(tile), -1)
-            tree, asks = np.flatnonzero(tile["tree"].to_numpy(bool)), np.flatnonzero(tile["asks"].to_numpy(bool))
-            near = np.zeros(len(tile), bool)
-            for q, c in BKTree(codes[tree]).within(codes[asks], radius):
-                other = asks[q] != tree[c]
-                near[asks[q][other]] = near[tree[c][other]] = True
-            yield tile.loc[near, ["shard", "rep"]]
-
-    return ready.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "shard long, rep long")
-
-
-def set_links(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): spanning links of the sets of each shard whose Jaccard similarity is at least `similarity`.
-
-    `rows` (shard, rep, root, n) is a stored table; sets of equal root are known to be linked.
-    Every pair of a shard is compared by its shared shingles, counted in lists of the sets that hold
-    each shingle. Shards are cut into pairs of pieces by rows and by shingles. `sets` (rep,
-    shingles) is shuffled once for each piece that a set meets.
-    """
-    ready = _tiles(
-        rows.join(rows.groupBy("shard").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shard"), "shard", "left_semi"),
-        F.ceil(F.greatest(F.count("*") / PIECE, F.sum("n") / PIECE_SHINGLES)), "root",
-    )
-    filled = ready.join(sets.hint("merge"), "rep")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tile in runs(frames, "tile"):
-            a, b = linked_sets([np.frombuffer(x, np.uint64) for x in tile["shingles"]], *(tile[c].to_numpy() for c in ("rep", "root", "tree", "asks")), similarity)
-            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
-
-    return filled.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "a long, b long")
-
-
-def linked_sets(sets: list[np.ndarray], reps, roots, tree, asks, similarity: float) -> tuple[list[int], list[int]]:
-    """Spanning links between the sets marked `asks` and those marked `tree`, beyond equal roots."""
-    size = np.array([len(x) for x in sets])
-    tree, asks = np.flatnonzero(tree.astype(bool)), np.flatnonzero(asks.astype(bool))
-    values, owner = np.concatenate([sets[i] for i in tree] or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(tree)), size[tree])
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    label = np.unique(roots, return_inverse=True)[1]
-    a, b = [], []
-    for q in asks:
-        if (label[tree] == label[q]).all():
-            continue
-        first = np.searchsorted(values, sets[q], "left")
-        many = np.searchsorted(values, sets[q], "right") - first
-        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-        shared = np.bincount(owner[at], minlength=len(tree))
-        union = size[q] + size[tree] - shared
-        for c in tree[(shared >= similarity * union - 1e-9 * union) & (label[tree] != label[q])]:
-            if label[c] != label[q]:
-                a.append(int(reps[q]))
-                b.append(int(reps[c]))
-                label[label == label[c]] = label[q]
-    return a, b
-
-
 def runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Rows of equal key, from frames sorted by key; a run may go on in the next frame."""
     rest: list[pd.DataFrame] = []
@@ -375,6 +241,13 @@ def _with_components(prints: DataFrame, links: DataFrame, groups: DataFrame) ->
     return prints.join(of_code, "code").select("doc_id", "code", "component_id")
 
 
+def _links(groups: DataFrame, radius: int) -> DataFrame:
+    """Spanning links between the groups (code, rep) that lie within the radius."""
+    named = groups.where("rep IS NOT NULL")
+    blocks, agree = block_scheme(named.count(), radius)
+    return shard_links(stored(block_shards(named, blocks, agree), "shards"), radius)
+
+
 def simhash_components(
     docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -388,74 +261,26 @@ def simhash_components(
     """
     prints = stored(fingerprints(docs, width, id_col, text_col), "fingerprints")
     groups = stored(prints.groupBy("code").agg(F.min("doc_id").alias("rep")), "codes")
-    named = groups.where("rep IS NOT NULL")
-    blocks, agree = block_scheme(named.count(), radius)
-    links = shard_links(stored(block_shards(named, blocks, agree), "shards"), radius)
-    found = _with_components(prints, links, groups)
+    found = _with_components(prints, _links(groups, radius), groups)
     return found.select("doc_id", F.lower(F.hex("code")).alias("fingerprint"), "component_id")
 
 
-def radius_for(similarity: float, bits: int, slack: float = 2.0) -> int:
-    """Differing bits of two texts whose shingle sets have this Jaccard similarity.
-
-    Sets of equal size with similarity J have cosine 2J/(1+J); a bit differs with
-    probability angle/pi. `slack` standard deviations are added, so that pairs at the bound
-    are missed rarely.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * p + slack * math.sqrt(bits * p * (1 - p)))
-
-
-def near_duplicate_components(
-    docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4, keys: int = 8,
-    id_col: str = "doc_id", text_col: str = "text",
+def deduplicate(
+    docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, component_id) of documents linked at a shingle similarity of `similarity` or more.
-
-    64 bits cannot tell a similarity of 0.8 from chance by blocks, so fingerprints have
-    `words` x 64 bits, and shards are the documents that share one of `keys` min-wise shingles
-    (two texts at 0.8 miss all eight with probability 3e-6). Fingerprints within four standard
-    deviations, and all short sets, only propose: what is linked has that exact Jaccard
-    similarity of shingle sets. The first key links most; under the others only sets that are
-    not linked yet are compared. Null and empty texts are equal to each other. Rows without an
-    id are not linked and get a null component.
-    """
-    named = docs.where(F.col(id_col).isNotNull())
-    prints = stored(wide_fingerprints(named, width, words, keys, id_col, text_col), "fingerprints")
-    groups = stored(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("code").alias("code"), F.first("mins").alias("mins")), "sets")
-    keyed = groups.where("n > 0").select(F.posexplode("mins").alias("k", "m"), F.col("node").alias("rep"), "code", "n")
-    shards = stored(keyed.select(F.xxhash64("k", "m").alias("shard"), "k", "rep", "n", "code"), "shards")
-    short = shards.where(F.col("n") <= SHORT).select("shard", "rep")
-    crowd = short.groupBy("shard").count().where("count > 1").select("shard")
-    proposed = shard_proposals(shards.where(F.col("n") > math.floor(similarity * SHORT)), radius_for(similarity, 64 * words, 4.0))
-    near = stored(proposed.union(short.join(crowd, "shard", "left_semi")).distinct().join(shards.drop("code"), ["shard", "rep"]), "near")
-    wanted = near.select(F.col("rep").alias("node")).distinct().join(groups, "node").select("node", "doc_id")
-    wanted = wanted.groupBy("doc_id").count().select(F.col("doc_id").alias("wanted_id"))
-    texts = named.join(wanted.hint("merge"), named[id_col].cast("long") == F.col("wanted_id"), "left_semi").select(F.col(text_col).alias("text"))
-    sets = stored(shingle_sets(texts, width).groupBy(F.col("node").alias("rep")).agg(F.first("shingles").alias("shingles")), "shingles")
-    first = stored(set_links(near.where("k = 0").withColumn("root", F.col("rep")), sets, similarity), "first_links")
-    known = components(first).withColumnRenamed("node", "rep")
-    later = stored(near.where("k > 0").join(known, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "near_later")
-    roots = components(first.union(set_links(later, sets, similarity)))
-    rooted = stored(groups.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root")), "roots")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = stored(rooted.join(least, "root").select("node", "component_id"), "components")
-    return prints.join(of_node, "node").select("doc_id", "component_id")
-
-
-def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Keep the document with the smallest doc_id of each near-duplicate group, all columns.
-
-    Rows that repeat a kept doc_id come once. Rows without a doc_id stay. The texts are shuffled
-    once, by doc_id, at any size: the ids that stay are too many to broadcast.
+    """Keep one row of each group that `simhash_components` links, with all columns.
+
+    The row with the smallest doc_id stays; of rows with equal ids that with the smallest fingerprint, then
+    the first as stored. Rows without an id belong to groups like others and stay only where no row
+    of the group has one. Null and empty texts are one group. Rows are told apart by a number of
+    their own, so repeated ids and texts are no special case; texts are shuffled once, by it.
     """
-    found = stored(near_duplicate_components(docs, width, similarity), "groups")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").count()
-    once = kept.where("count = 1").select(F.col("doc_id").alias("kept_id"))
-    more = kept.where("count > 1").select(F.col("doc_id").alias("kept_id"))
-    same_id = lambda ids: docs["doc_id"].cast("long") == ids["kept_id"]
-    return (
-        docs.join(once.hint("merge"), same_id(once), "left_semi")
-        .unionByName(docs.join(more.hint("merge"), same_id(more), "left_semi").dropDuplicates(["doc_id"]))
-        .unionByName(docs.where(F.col("doc_id").isNull()))
-    )
+    rows, number = numbered(docs, "documents")
+    prints = stored(fingerprints(rows, width, number, text_col), "fingerprints")
+    groups = stored(prints.groupBy("code").agg(F.min("doc_id").alias("rep")), "codes")
+    found = _with_components(prints, _links(groups, radius), groups)
+    ids = rows.select(F.col(number).alias("row"), F.col(id_col).cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "code", "row"))
+    kept_row = fresh(rows, "kept_row")
+    kept = found.join(ids, found["doc_id"] == ids["row"]).groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias(kept_row))
+    return rows.join(stored(kept, "kept").hint("merge"), F.col(number) == F.col(kept_row), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import bounded_sample, fold, schema_of, slices
+from areastats.llm.common import bounded_sample, fold, schema_of, settled_labels, slices
 
 WORD = re.compile(r"[^\W_]+")
 #: Words in a window, and from one window to the next.
@@ -345,7 +345,7 @@ def _calibrate(net: Network, logits: np.ndarray, owner: np.ndarray, y: np.ndarra
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Network:
     """Train on up to about `sample` labelled documents outside the held-out fold, chosen by hash."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("label")).dropna().dropDuplicates(["label_id"])
+    marked = settled_labels(labels, "toxic")
     marked = bounded_sample(marked.where(fold(F.col("label_id"), 5) != 0), "label_id", sample)
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("text")).dropna()
     chosen = rows.join(F.broadcast(marked), "label_id").select("label_id", "text", "label")  # at most `sample` short rows

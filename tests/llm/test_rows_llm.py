@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from areastats.llm.common import settled_labels
 from areastats.llm import decontamination, embeddings, language, mixing, pii, quality, toxicity, urls, warc
 
 LONG = "word " * 60_000
@@ -164,9 +165,14 @@ def test_mixed_documents_repeat_as_counted(spark):
     out = mixing.mixed_documents(docs)
     copies = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     wanted = {}
-    for r in mixing.mix(docs.where("doc_id IS NOT NULL")).collect():
+    for r in mixing.mix(docs).collect():
         wanted[r.doc_id] = wanted.get(r.doc_id, 0) + r.copies
     assert copies == {k: v for k, v in wanted.items() if v}
+    assert None in copies
+    clashing = docs.withColumnsRenamed({"label": "mix_size", "score": "mixed_row", "size": "row_number_of_documents"})
+    assert mixing.mixed_documents(clashing).count() == out.count()
+    two = documents(spark, [(1, "first text", "en", "a"), (1, "second text of this id", "en", "a"), (None, "third", "en", "a")])
+    assert {r.text for r in mixing.mixed_documents(two, share=(2, 1)).collect()} == {"first text", "second text of this id", "third"}
     assert set(docs.columns) < set(out.columns)
     assert mixing.mix(documents(spark, [])).count() == 0
 
@@ -190,10 +196,33 @@ def test_myers_against_dynamic_programming():
     rng = random.Random(6)
     for _ in range(300):
         pattern, text = ("".join(rng.choices("abé", k=rng.randint(1, n))) for n in (90, 40))
-        best, start, end = decontamination.closest(pattern, text)
-        want, want_end = edit_distance(pattern, text)
-        assert best == want and (end == want_end or best == len(pattern))
-        assert edit_distance(pattern, text[start:end])[0] == best
+        assert min([len(pattern), *decontamination.distances(pattern, text)]) == edit_distance(pattern, text)[0]
+        for i, d in enumerate(decontamination.distances(pattern, text, anchored=True)):
+            assert d == whole_distance(pattern, text[: i + 1])
+
+
+def whole_distance(a, b):
+    above = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        row = [i]
+        for j, d in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (c != d)))
+        above = row
+    return above[-1]
+
+
+def test_whole_words_against_brute_force():
+    rng = random.Random(16)
+    for _ in range(400):
+        words = ["".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(rng.randint(1, 9))]
+        text = " ".join(rng.choices(["a", "aa", "ba", "ab", "b", *words], k=rng.randint(1, 14)))
+        pattern, rate = " ".join(words), rng.choice([0.06, 0.2])
+        starts = [0, *(i + 1 for i, c in enumerate(text) if c == " ")]
+        ends = [*(i for i, c in enumerate(text) if c == " "), len(text)]
+        best = min(((whole_distance(pattern, text[s:e]), s, e) for s in starts for e in ends if s < e))
+        found = decontamination.Passages([(1, pattern)], rate).matches(text)
+        assert [(m[1], m[2], m[3]) for m in found] == ([best] if best[0] <= int(len(pattern) * rate) else [])
+    assert decontamination.Passages([(1, "a a")], 0.06).matches("ba a a") == [(1, 0, 3, 6)]
 
 
 def test_edited_passages_are_found(spark):
@@ -289,6 +318,8 @@ def test_language(spark):
     found = {r.doc_id: r for r in language.languages(docs).collect()}
     assert all(found[i].lang_pred == lang for i, _, lang, _ in rows if i not in (1, 2, 3, 4, 5))
     assert found[1].lang_pred == found[2].lang_pred == found[3].lang_pred == "und" and found[1].score == 0
+    signs = documents(spark, [*rows, (900, "½ ² Ⅷ ①", None, None), (901, "½ é", None, None)])
+    assert {r.doc_id: r.lang_pred == "und" for r in language.languages(signs).collect() if r.doc_id >= 900} == {900: True, 901: False}
     nothing = language.languages(documents(spark, [(1, "abc", None, None)])).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
     assert language.languages(documents(spark, [])).count() == 0
@@ -329,6 +360,11 @@ def test_quality_rules(spark):
     assert quality.quality(docs, marks.limit(0)).select("score").distinct().count() == 1
 
 
+def test_conflicting_labels_count_as_the_largest(spark):
+    marks = spark.createDataFrame([(1, 0), (1, 1), (1, 0), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    assert sorted(map(tuple, settled_labels(marks, "toxic").collect())) == [(1, 1), (2, 0)]
+
+
 # ---- embeddings, urls, archives ---------------------------------------------------------
 
 
@@ -365,6 +401,29 @@ def test_embeddings_against_brute_force(spark):
     assert embeddings.linked(table.limit(0)).count() == 0
 
 
+def test_vectors_of_any_length_and_magnitude(spark):
+    rows = [
+        (0, [1e-200, 0.0]), (1, [1.0, 0.0]), (2, [1e200, 1e190]), (3, [5e-324, 0.0]), (4, [0.0, 1e308]), (5, [2.0, 0.0]), (6, [1e300, -1e300]),
+        (10, [1.0, 2.0, 3.0]), (11, [1.0, 2.0, 3.0]), (12, [-1.0, -2.0, -3.0]), (20, [7.0]), (21, [-7.0]), (22, [1e-310]), (30, [0.0, 0.0, 0.0]),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.linked(table).collect()}
+    assert found == {
+        0: (4, 0), 1: (4, 0), 2: (4, 0), 3: (4, 0), 5: (4, 0), 4: (0, 4), 6: (0, 6), 10: (1, 10), 11: (1, 10), 12: (0, 12), 20: (1, 20), 22: (1, 20), 21: (0, 21), 30: (0, 30),
+    }
+
+
+def test_crowded_tiles_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "MAX_TILES", 2)
+    rng = np.random.default_rng(2)
+    vectors = np.concatenate([rng.standard_normal((150, 6)), rng.standard_normal(6) + 0.05 * rng.standard_normal((150, 6))])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embeddings.linked(table, tile_rows=32).collect()}
+    assert [found[i] for i in range(len(vectors))] == want.tolist()
+
+
 def test_urls(spark):
     rows = [
         ("https://www.Example.ORG/es/1", "block", "example.org/es/"), ("http://example.org/en/199?x#y", "block", "example.org/en/1"),
