@@ -5,7 +5,7 @@ of documents. `run` writes every stage's result to the shared folder and reads i
 Nulls, empty texts, repeated rows and further columns pass through as the operators state:
 null and empty texts are neither toxic nor contaminated, are copies of each other for the
 near-duplicate stage, hold no personal data, and have size 0 in the mix; rows without a doc_id
-pass all stages but the mix, which leaves them out.
+pass all stages like others.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: shingles of five words, similarity of 0.8 or more."""
-    return simhash.deduplicate(docs, width=5, similarity=0.8)
+    """One document of each group stays: shingles of four words, fingerprints that differ in 4 bits or fewer."""
+    return simhash.deduplicate(docs, width=4, radius=4)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
