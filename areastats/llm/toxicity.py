@@ -13,14 +13,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import bounded_sample, fold, schema_of, settled_labels, slices
+from areastats.llm.common import bounded_sample, fold, schema_of, settled_labels, slices, stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Words in a window, and from one window to the next.
 WINDOW, STEP = 64, 48
 #: Labelled documents that training uses at most; words and n-gram buckets with a vector of their own.
-SAMPLE, VOCABULARY, BUCKETS = 4000, 20_000, 1 << 14
+SAMPLE, VOCABULARY, BUCKETS = 6000, 20_000, 1 << 14
 DIM, HIDDEN, ATTENTION = 8, 8, 8
+#: Training steps between looks at the calibration part, each so many documents' windows.
+TURNS, BATCH = (10, 20, 40, 80, 150), 256
 #: Distinct words whose inputs a task keeps.
 LEXICON = 100_000
 PAD = 0
@@ -244,20 +246,28 @@ def _prior(counts: np.ndarray, positive: np.ndarray, share: float, weight: float
     return np.clip(odds - np.log(share / (1 - share)), -3, 3)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 300, batch: int = 256) -> Network:
-    """Fit the network on documents of one label each; four fifths train it, the rest calibrate it.
+def encode(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    """(numbers of each text's words, from 1; the words in order of their numbers)."""
+    lexicon = Lexicon()
+    encoded = [np.fromiter(map(lexicon.__getitem__, WORD.findall(t.lower())), np.int32) for t in texts]
+    return encoded, list(lexicon)
+
+
+def train(encoded: list[np.ndarray], names: list[str], labels: list[int], seed: int = 5) -> Network:
+    """Fit the network on documents (numbered words) of one label each; four fifths train it, the rest calibrate it.
 
     Only whole documents are labelled. A positive document teaches the window that scores highest at
     the time (first by the words' log odds); negative ones teach their worst and some other windows.
+    Training ends where the loss on the calibration part stops falling; the best parameters stay.
     """
     rng = np.random.default_rng(seed)
-    batches = min(batches, 60 + len(texts) // 12)  # few documents are learnt by heart otherwise
+    batch = BATCH
     y = np.array(labels, np.float32)
     share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
-    lexicon = Lexicon()
-    encoded = [np.fromiter(map(lexicon.__getitem__, WORD.findall(t.lower())), np.int32) for t in texts]
-    names = list(lexicon)
-    fit = rng.random(len(texts)) < 0.8
+    fit = np.ones(len(y), bool)
+    for value in (0, 1):  # a fifth of each label
+        own = rng.permutation(np.flatnonzero(y == value))
+        fit[own[: len(own) // 5]] = False
     counts, positive = np.zeros(len(names) + 1, np.int64), np.zeros(len(names) + 1, np.int64)
     for i in np.flatnonzero(fit):
         own = np.unique(encoded[i])
@@ -289,14 +299,16 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 300
     in_parts = lambda f: np.concatenate([f(rows[at : at + 1024]) for at in range(0, len(rows), 1024)])
     strength = in_parts(lambda part: np.sort(prior[part], axis=1)[:, -3:].sum(axis=1))
     squares = {k: np.full_like(v, 1e-3) for k, v in net.p.items()}
-    for turn in range(3):
+    judged = ~fit if 0 < y[~fit].sum() < (~fit).sum() else fit
+    best, worse = (np.inf, None, None), 0
+    for steps in TURNS:
         order = np.lexsort((-strength, owner))
         worst = np.zeros(len(owner), bool)
         worst[order[np.r_[True, owner[order][1:] != owner[order][:-1]]]] = True
         use = fit[owner]
         pos = np.flatnonzero(use & worst & (y[owner] == 1))
         neg = np.flatnonzero(use & (y[owner] == 0) & (worst | (rng.random(len(owner)) < 0.3)))
-        for _ in range(batches // 3):
+        for _ in range(steps):
             some = np.concatenate([rng.choice(pos, batch // 3), rng.choice(neg, batch - batch // 3)])
             ids, target = rows[some], y[owner[some]]
             words, inverse = np.unique(ids, return_inverse=True)
@@ -315,7 +327,12 @@ def train(texts: list[str], labels: list[int], seed: int = 5, batches: int = 300
             _sparse_step(net.p["grams"], squares["grams"], buckets, spread)
         projected = net.project(all_inputs())
         strength = in_parts(lambda part, projected=projected: net.forward(projected, part))
-    _calibrate(net, strength, owner, y, ~fit if (~fit).sum() >= 20 and 0 < y[~fit].sum() < (~fit).sum() else fit)
+        loss = _calibrate(net, strength, owner, y, judged)
+        if loss < best[0]:
+            best, worse = (loss, {k: v.copy() for k, v in net.p.items()}, net.scale), 0
+        elif (worse := worse + 1) == 2:
+            break
+    net.p, net.scale = best[1], best[2]
     return net
 
 
@@ -327,8 +344,8 @@ def _sparse_step(values: np.ndarray, squares: np.ndarray, rows: np.ndarray, grad
     values[distinct] -= rate * g / np.sqrt(squares[distinct])
 
 
-def _calibrate(net: Network, logits: np.ndarray, owner: np.ndarray, y: np.ndarray, use: np.ndarray) -> None:
-    """Fit the logistic curve from the worst window's logit to the document's label."""
+def _calibrate(net: Network, logits: np.ndarray, owner: np.ndarray, y: np.ndarray, use: np.ndarray) -> float:
+    """Fit the logistic curve from the worst window's logit to the document's label; returns its loss."""
     worst = np.full(len(y), -np.inf)
     np.maximum.at(worst, owner, logits)
     x, t = worst[use], y[use]
@@ -341,16 +358,41 @@ def _calibrate(net: Network, logits: np.ndarray, owner: np.ndarray, y: np.ndarra
         step = np.linalg.solve(h + 1e-9 * np.eye(2), g)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -2, 2)
     net.scale = np.array([max(a, 0.05), b])
+    margin = (net.scale[0] * x + b) * np.where(t > 0, 1, -1)
+    return float(np.logaddexp(0, -margin).mean())
 
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Network:
-    """Train on up to about `sample` labelled documents outside the held-out fold, chosen by hash."""
+    """Train on about `sample` labelled documents (in expectation) outside the held-out fold, chosen by hash.
+
+    Texts stay in the tasks: the driver gets the distinct words of the sample and each document's word
+    numbers. Of conflicting labels of an id the largest counts; rows that repeat an id are one
+    sample document, that with the largest text hash.
+    """
     marked = settled_labels(labels, "toxic")
     marked = bounded_sample(marked.where(fold(F.col("label_id"), 5) != 0), "label_id", sample)
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("text")).dropna()
-    chosen = rows.join(F.broadcast(marked), "label_id").select("label_id", "text", "label")  # at most `sample` short rows
-    found = sorted(map(tuple, chosen.collect()))  # bounded by `sample`
-    return train([r[1] for r in found], [r[2] for r in found])
+    chosen = rows.join(F.broadcast(marked), "label_id").groupBy("label_id").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label"))
+    chosen = stored(chosen, "toxic_sample")
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch, "text"):
+                words = {w for t in texts for w in WORD.findall(t.lower())}
+                yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
+
+    names = sorted(r[0] for r in chosen.select("text").mapInArrow(distinct, "word string").distinct().collect())
+    numbers = docs.sparkSession.sparkContext.broadcast({w: k + 1 for k, w in enumerate(names)})  # words of the sample
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = numbers.value.__getitem__
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                coded = [np.fromiter(map(of, WORD.findall(t.lower())), np.int32).tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays([part.column("label_id"), pa.array(coded, pa.binary()), part.column("label")], ["label_id", "words", "label"])
+
+    found = sorted(map(tuple, chosen.mapInArrow(number, "label_id long, words binary, label int").collect()))  # `sample` rows
+    return train([np.frombuffer(r[1], np.int32) for r in found], names, [r[2] for r in found])
 
 
 def toxicity(
