@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
 CHUNK = 2_000_000
 ON_BOUNDARY = 1e-6  # metres
@@ -363,6 +363,13 @@ def _signed_from(x: pa.Array, y: pa.Array, edges: pa.Array, rx: pa.Array, ry: pa
     return pa.array(np.where(np.isinf(d), np.nan, np.where(within, -d, d)), from_pandas=True)
 
 
+def _ordered_bits(values: pa.Array) -> pa.Array:
+    """The 64 bits of a double as a long in the order of the values; both zeros give 0."""
+    x = _doubles(values)
+    bits = x.view(np.int64) & np.int64(2**63 - 1)
+    return pa.array(np.where(x < 0, -bits, bits))
+
+
 # Pickle these functions by value, so that workers need no copy of this package.
 def _by_value():
     import sys
@@ -379,3 +386,4 @@ tile_edges = arrow_udf(_tile_edges, ArrayType(EDGES))
 clipped_length = arrow_udf(_clipped_length, DoubleType())
 overlap_area = arrow_udf(_overlap_area, DoubleType())
 leaves = arrow_udf(_leaves, BooleanType())
+ordered_bits = arrow_udf(_ordered_bits, LongType())

@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from areastats.functions.kernels import ordered_bits
+
 BUCKETS_PER_OCTAVE = 256
 
 
@@ -46,6 +48,37 @@ def value_bucket(value: Column, part: bool = False) -> Column:
     return (F.signum(v) * whole).cast("long")
 
 
+def radix_ranks(
+    rows: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]], bits: int = 16
+) -> DataFrame:
+    """One row per group with the value at each wanted rank, from raw rows in 64 / `bits` passes.
+
+    Each pass counts the rows that share the prefix located before, by the next `bits` bits of
+    the value. Counts combine map-side, so a task hands on at most 2^bits rows a group and rank,
+    whatever the number of rows or of distinct values; nothing is sorted or joined but counts.
+    NaN and null have no rank, a group without other values has no row.
+    """
+    keys = list(keys)
+    double = F.col(value).cast("double")
+    base = rows.filter(double.isNotNull() & ~F.isnan(double)).select(*keys, F.col(value).alias("_v"), ordered_bits(double).alias("_bits"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("_size")).alias("rank")) for name, rank in ranks.items()]))
+    group = Window.partitionBy(*keys)
+    prefix = lambda used: F.shiftright("_bits", 64 - used)
+    first = base.groupBy(*keys, prefix(bits).alias("_prefix")).agg(F.count("*").alias("_n"), F.min("_v").alias("_v"))
+    found = _located(first.withColumn("_size", F.sum("_n").over(group)), group.orderBy("_prefix"), wanted, F.col("_want.rank"))
+    found = found.select(*keys, F.col("_want.name").alias("_name"), "_prefix", "_offset", "_v")
+    for used in range(2 * bits, 64 + bits, bits):
+        place = [*keys, "_name"]
+        inside = base.withColumn("_prefix", prefix(used - bits)).join(found.drop("_v"), [*keys, "_prefix"])
+        counted = inside.groupBy(*place, prefix(min(used, 64)).alias("_next")).agg(
+            F.count("*").alias("_n"), F.min("_v").alias("_v"), F.first("_offset").alias("_before")
+        )
+        found = _located(counted, Window.partitionBy(*place).orderBy("_next"), F.lit(0), F.col("_before")).select(
+            *place, F.col("_next").alias("_prefix"), "_offset", "_v"
+        )
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
+
+
 def select_ranks(
     cells: DataFrame,
     keys: Sequence[str],

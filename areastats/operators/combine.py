@@ -6,8 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from areastats.functions.numbers import is_inf
-from areastats.functions.parallel import shared
-from areastats.functions.quantiles import nearest_rank, select_ranks
+from areastats.functions.quantiles import nearest_rank, radix_ranks
 
 KEYS = ("lsoa_code",)
 
@@ -140,35 +139,26 @@ def stitch(frames: Iterable[DataFrame]) -> DataFrame:
 def describe(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Per numeric column: count, null_count, nan_count, mean, std, min, exact nearest-rank quartiles, max.
 
-    NaN is counted apart and is part of no statistic; infinities are values.
+    NaN is counted apart and is part of no statistic; infinities are values. No distinct value is
+    shuffled: moments and histograms of value prefixes combine map-side.
     """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value")) for c in _numeric(df, keys)
     ])
-    cells = shared(df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n")))
+    cells = df.select(F.inline(pairs))
     nan = F.coalesce(F.isnan("value"), F.lit(False))
     value = F.when(~nan, F.col("value"))
-    known = F.sum(F.when(value.isNotNull(), F.col("n")))
     basic = cells.groupBy("column").agg(
-        F.coalesce(known, F.lit(0)).alias("count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.coalesce(F.sum(F.when(nan, F.col("n"))), F.lit(0)).alias("nan_count"),
-        F.try_divide(F.sum(value * F.col("n")), known).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+        F.count(value).alias("count"), F.count_if(F.col("value").isNull()).alias("null_count"), F.count_if(nan).alias("nan_count"),
+        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
     )
-    off = value - F.col("mean")
-    spread = cells.join(basic.select("column", "mean", "count"), "column").groupBy("column").agg(
-        F.sqrt(F.try_divide(F.sum(off * off * F.col("n")), F.max("count") - 1)).alias("std")
-    )
-    quartiles = select_ranks(cells, ["column"], "value", "n", {
+    quartiles = radix_ranks(cells, ["column"], "value", {
         "25%": lambda n: nearest_rank(n, 0.25),
         "50%": lambda n: nearest_rank(n, 0.5),
         "75%": lambda n: nearest_rank(n, 0.75),
-    }, refine=True)
+    })
     return (
-        basic.join(spread, "column", "left")
-        .join(quartiles, "column", "left")
+        basic.join(quartiles, "column", "left")
         .select("column", "count", "null_count", "nan_count", "mean", "std", "min", "`25%`", "`50%`", "`75%`", "max")
     )
 

@@ -14,19 +14,26 @@ def select_population_columns(raw: DataFrame, key: str = POPULATION_KEY) -> Data
     return raw.select(F.col(f"`{key}`").alias("lsoa_code"), *bands)
 
 
+def _leading_number(text: str) -> tuple[str, str]:
+    """The digits a text begins with, and the rest."""
+    rest = text.lstrip("0123456789")
+    return text[: len(text) - len(rest)], rest
+
+
 def snake_header(name: str) -> str:
     """'0 - 4 years old population' -> 'aged_0_to_4'; '85 years old and over ...' -> 'aged_85_and_over'.
 
-    Decided by the ages a header names: two make a span, one with the word "over" the oldest
-    band. Other headers are only written in lower case with underscores.
+    An age header begins with a number. A dash and a second number, blanks or not, make a span; else the word
+    "over" makes the oldest band. Other headers are only written in lower case with underscores.
     """
-    words = name.lower().split(" ")
-    ages = [w for w in words if w.isdigit()]
-    if len(ages) == 2:
-        return "_".join(["aged", ages[0], "to", ages[1]])
-    if len(ages) == 1 and "over" in words:
-        return f"aged_{ages[0]}_and_over"
-    return "_".join(words)
+    low, rest = _leading_number(name)
+    dash, _, after = rest.partition("-")
+    high = "" if dash.strip() else _leading_number(after.lstrip())[0]
+    if low and high:
+        return f"aged_{low}_to_{high}"
+    if low and "over" in rest:
+        return f"aged_{low}_and_over"
+    return name.lower().replace(" ", "_")
 
 
 def snake_headers(raw: DataFrame, keep: Sequence[str] = (POPULATION_KEY,)) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areastats.functions import timewin
-from areastats.functions.quantiles import nearest_rank, select_ranks, value_bucket
+from areastats.functions.quantiles import nearest_rank, ordered_bits, radix_ranks, select_ranks, value_bucket
 from areastats.functions.text import district_slug
 from areastats.operators import claims, combine, crime, geography, population, prices, runs
 from areastats.plans import features
@@ -109,6 +109,10 @@ def test_population(spark):
     assert population.snake_header("0 - 4 years old population") == "aged_0_to_4"
     assert population.snake_header("85 years old and over population") == "aged_85_and_over"
     assert population.snake_header("Total Population") == "total_population"
+    assert population.snake_header("0-4 years old") == population.snake_header("0 -4") == "aged_0_to_4"
+    assert population.snake_header("85+ and over") == population.snake_header("85over") == "aged_85_and_over"
+    assert population.snake_header("People 5 - 9") == "people_5_-_9"
+    assert population.snake_header("5 of 9 - 12") == "5_of_9_-_12"
     assert population.snake_header("15 - 19 Years Old Population") == "aged_15_to_19"
     assert population.snake_header("Aged 90 And Over") == "aged_90_and_over"
     assert population.snake_header("Area Code 2021") == "area_code_2021"
@@ -203,3 +207,27 @@ def test_claim_months(spark):
     assert [r[0] for r in df.select(timewin.claim_month(F.col("m"))).collect()] == ["2025-12", "2025-12", None]
     with pytest.raises(Exception, match="not a month"):
         spark.createDataFrame([("Q4 2025",)], "m string").select(timewin.claim_month(F.col("m"))).collect()
+
+
+def test_ordered_bits_follow_the_values(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.standard_normal(300) * 10.0 ** rng.integers(-300, 300, 300), [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 1.0, np.nextafter(1, 2), 1.7976931348623157e308, np.inf, -np.inf]])
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("k")).collect()
+    for r in rows:
+        want = int(np.float64(abs(r.v)).view(np.int64))
+        assert r.k == (-want if r.v < 0 else want), r.v
+
+
+def test_radix_ranks_are_exact(spark):
+    rng = np.random.default_rng(6)
+    groups = {
+        "wide": rng.standard_normal(999) * 10.0 ** rng.integers(-5, 5, 999), "crowded": 1 + rng.integers(0, 50, 700) * 2.0**-50, "one": np.array([3.5]),
+        "same": np.full(40, -7.0), "whole": rng.integers(-20, 20, 500).astype(float), "ends": np.array([-np.inf, -1.0, 0.0, np.inf]),
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("wide", None), ("wide", float("nan")), ("none", None)]
+    ranks = {f"q{int(100 * q)}": (lambda n, q=q: nearest_rank(n, q)) for q in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)}
+    found = {r.g: r for r in radix_ranks(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", ranks).collect()}
+    assert set(found) == set(groups)
+    for g, vs in groups.items():
+        for q in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0):
+            assert found[g][f"q{int(100 * q)}"] == np.sort(vs)[int(np.floor((len(vs) - 1) * q + 0.5))], (g, q)
