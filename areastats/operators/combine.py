@@ -3,7 +3,7 @@
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from areastats.functions.numbers import is_inf
 from areastats.functions.quantiles import nearest_rank, radix_ranks
@@ -130,6 +130,47 @@ def combine_checked(spine: DataFrame, *frames: DataFrame, keys: Sequence[str] =
     return check_filled(fill(combined, keys), keys)
 
 
+class CheckedCombination:
+    """combine and fill as one plan that counts, while it runs, all that `combine_checked` asks for.
+
+    `rows` is the filled table. After one action on it, `verify` raises the same errors, and
+    `report` has the counts of infinite, NaN and null values by column from before the fill.
+    """
+
+    def __init__(self, spine: DataFrame, *frames: DataFrame, keys: Sequence[str] = KEYS):
+        self.keys, self._spine, self._joined, self._filled = list(keys), Observation(), Observation(), Observation()
+        counted = spine.groupBy(*keys).agg(F.count("*").alias("_times"))
+        counted = counted.observe(self._spine, F.count("*").alias("distinct"), F.coalesce(F.sum("_times"), F.lit(0)).alias("rows"))
+        joined = combine(counted.drop("_times"), *frames, keys=keys)
+        self.columns = [f.name for f in joined.schema.fields if f.name not in keys]
+        floats = {f.name for f in joined.schema.fields if _is_float(f)}
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        tests = {"inf": lambda c: is_inf(_q(c)), "nan": lambda c: F.isnan(_q(c)), "null": lambda c: _q(c).isNull()}
+        before = [F.count_if(t(c)).alias(f"{k}_{i}") for i, c in enumerate(self.columns) for k, t in tests.items() if k == "null" or c in floats]
+        joined = joined.observe(self._joined, F.count("*").alias("rows"), F.count_if(no_key).alias("null_keys"), *before)
+        left = [
+            F.count_if(_q(c).isNull() | F.isnan(_q(c)) if c in floats else _q(c).isNull()).alias(f"left_{i}") for i, c in enumerate(self.columns)
+        ]
+        self.rows = fill(joined, keys).observe(self._filled, F.count("*").alias("rows"), *left)
+
+    def report(self) -> list[tuple[str, int, int, int]]:
+        """(column, inf_count, nan_count, null_count) as in `quality_report`."""
+        got = self._joined.get
+        return [(c, *(got.get(f"{k}_{i}", 0) for k in ("inf", "nan", "null"))) for i, c in enumerate(self.columns)]
+
+    def verify(self) -> None:
+        spine, joined, filled = self._spine.get, self._joined.get, self._filled.get
+        if joined["rows"] != spine["rows"]:
+            raise ValueError(f"row count mismatch: expected {spine['rows']} from the spine, got {joined['rows']}")
+        if spine["rows"] != spine["distinct"]:
+            raise ValueError(f"duplicate keys: {spine['rows'] - spine['distinct']} rows")
+        if joined["null_keys"]:
+            raise ValueError(f"null keys: {joined['null_keys']} rows")
+        left = {c: n for i, c in enumerate(self.columns) if (n := filled[f"left_{i}"])}
+        if left:
+            raise ValueError(f"nulls or NaN remain after fill: {left}")
+
+
 def stitch(frames: Iterable[DataFrame]) -> DataFrame:
     """Stack frames with differing columns; types widen, missing numeric values become 0."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.constants import BUFFER_DISTANCES
 from areastats.functions.text import district_slug
-from areastats.operators.combine import combine_checked
+from areastats.operators.combine import CheckedCombination, combine_checked
 from areastats.operators.areas import check_srid, with_edges
 from areastats.operators.geography import attach_district, districts_areas
 from areastats.operators.spatial import map_features
@@ -106,8 +106,8 @@ def run(
 ) -> None:
     """One job for all snapshots and districts; replaces exactly their partitions.
 
-    Each source's table is stored first and read back, so the checks and the final
-    write do not recompute it: in `features_folder`, or else in a fresh folder under
+    Each source's table is stored first and read back. The combined table is checked by counts taken while
+    it is written, and replaces stored partitions only if they are right. The source tables lie in `features_folder`, or else in a fresh folder under
     spark.checkpoint.dir (the warehouse where that is unset).
     """
     spark = raw.lookup.sparkSession
@@ -115,7 +115,13 @@ def run(
     frames = feature_frames(raw, snapshots, months, districts)
     for name, frame in frames.items():
         writers.write_features(_dated(frame, snapshots), folder, name)
-    writers.write_results(from_stored(spark, folder, list(frames), raw.lookup, snapshots, districts), output)
+    made = CheckedCombination(features.spine_plan(raw.lookup, snapshots, districts), *_stored(spark, folder, list(frames), snapshots), keys=features.RUN_KEYS)
+    writers.write_results(made.rows, output, made.verify)
+
+
+def _stored(spark: SparkSession, folder: str, sources: Sequence[str], snapshots: Sequence[str]) -> list[DataFrame]:
+    wanted = F.col("snapshot_date").isin([F.lit(s).cast("date") for s in snapshots])
+    return [readers.read_features(spark, folder, s).filter(wanted) for s in sources]
 
 
 def from_stored(
@@ -127,9 +133,7 @@ def from_stored(
     districts: Sequence[str] | None = None,
 ) -> DataFrame:
     """Combined table from stored per-source tables."""
-    wanted = F.col("snapshot_date").isin([F.lit(s).cast("date") for s in snapshots])
-    stored = [readers.read_features(spark, folder, s).filter(wanted) for s in sources]
-    return combine_checked(features.spine_plan(lookup, snapshots, districts), *stored, keys=features.RUN_KEYS)
+    return combine_checked(features.spine_plan(lookup, snapshots, districts), *_stored(spark, folder, sources, snapshots), keys=features.RUN_KEYS)
 
 
 def run_pending(

@@ -276,11 +276,18 @@ def _(t):
     return rounded(spatial.streetlit_share(_areas(t), _lines(t)))
 
 
-@query("map_features", f"""
+MAP_SQL = f"""
 WITH {_DIST}, {_OVERLAP}, {_CLIP},
 m AS (SELECT lsoa_code, {_count_columns(C.AMENITY_GROUPS, 'amenity')}, {_NEAREST_SQL}, {_RATIO_SQL} FROM d GROUP BY 1),
 u AS (SELECT lsoa_code, {_LANDUSE_SQL} FROM o GROUP BY 1),
 s AS (SELECT lsoa_code, {_LIT_SQL} FROM c WHERE part > 0 GROUP BY 1)
-SELECT * FROM m LEFT JOIN u USING (lsoa_code) LEFT JOIN s USING (lsoa_code)""")
+SELECT * FROM m LEFT JOIN u USING (lsoa_code) LEFT JOIN s USING (lsoa_code)"""
+
+
+def map_frame(t):
+    return spatial.map_features(_areas(t), _points(t), _parcels(t), _lines(t), landuse_types=LANDUSE_TYPES)
+
+
+@query("map_features", MAP_SQL)
 def _(t):
-    return rounded(spatial.map_features(_areas(t), _points(t), _parcels(t), _lines(t), landuse_types=LANDUSE_TYPES))
+    return rounded(map_frame(t))

@@ -7,6 +7,7 @@ from areastats.functions import timewin
 from areastats.functions.text import district_slug
 from areastats.operators import claims, combine as comb, crime, geography as geo, population, prices, runs
 from areastats.plans import features
+from areastats.registry import spatial as maps
 from areastats.registry.base import query, rounded
 from areastats.sources import crime_feed, cube, inventory, month_table, readers, scratch, writers
 from areastats.streaming import landing
@@ -559,11 +560,24 @@ def _(t):
     return rounded(comb.combine(_spine(t), *_frames(t), keys=features.RUN_KEYS).drop("snapshot_date"))
 
 
+_COMBINE_ALL_SQL = f"""WITH b AS ({_COMBINE_SQL}), maps AS ({maps.MAP_SQL}) SELECT b.*, maps.* EXCLUDE (lsoa_code) FROM b LEFT JOIN maps USING (lsoa_code)"""
+
+
+def _all_frames(t):
+    return [*_frames(t), geo.attach_district(maps.map_frame(t), "lsoa_code", geo.districts_areas(t.v_geo))]
+
+
+@query("combine_all", _COMBINE_ALL_SQL)
+def _(t):
+    """Every source, the map features too."""
+    return rounded(comb.combine(_spine(t), *_all_frames(t), keys=features.RUN_KEYS).drop("snapshot_date"))
+
+
 @query("combine_checks", f"""
 SELECT CAST(count(*) AS BIGINT) AS expected_rows, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS null_keys
 FROM {_AREA}""")
 def _(t):
-    combined = comb.combine(_spine(t), *_frames(t), keys=features.RUN_KEYS)
+    combined = comb.combine(_spine(t), *_all_frames(t), keys=features.RUN_KEYS)
     return comb.structure_report(combined, _spine(t), features.RUN_KEYS)
 
 
@@ -691,16 +705,30 @@ def _(t):
     return out.withColumn("age_days", F.col("age_days").cast("long")).withColumn("limit_days", F.col("limit_days").cast("long"))
 
 
-@query("combine_stored", _COMBINE_SQL)
+@query("combine_stored", _COMBINE_ALL_SQL)
 def _(t):
     folder = scratch.shared_folder(t.spark)
-    dated = [f if "snapshot_date" in f.columns else f.withColumn("snapshot_date", F.lit(SNAPSHOT).cast("date")) for f in _frames(t)]
+    dated = [f if "snapshot_date" in f.columns else f.withColumn("snapshot_date", F.lit(SNAPSHOT).cast("date")) for f in _all_frames(t)]
     for i, frame in enumerate(dated):
         writers.write_features(frame, folder, f"source_{i}")
     stored = [readers.read_features(t.spark, folder, f"source_{i}") for i in range(len(dated))]
     return rounded(comb.combine(_spine(t), *stored, keys=features.RUN_KEYS).drop("snapshot_date"))
 
 
+def _filled_sql(sql):
+    return f"""SELECT district, lsoa_code, coalesce(COLUMNS(* EXCLUDE (district, lsoa_code)), 0) FROM ({sql})"""
+
+
+@query("combine_written", _filled_sql(_COMBINE_ALL_SQL))
+def _(t):
+    """Combined, filled, checked while it is written over an older table, and read back."""
+    folder = f"{scratch.shared_folder(t.spark)}/combined"
+    writers.write_results(features.spine_plan(t.v_geo, [SNAPSHOT]), folder)
+    made = comb.CheckedCombination(_spine(t), *_all_frames(t), keys=features.RUN_KEYS)
+    writers.write_results(made.rows, folder, made.verify)
+    return rounded(t.spark.read.schema(made.rows.schema).parquet(folder).drop("snapshot_date", "district_slug"))
+
+
 # ---------------------------------------------------------------- sinks, read back
 
 

@@ -1,6 +1,7 @@
 """Features on small hand-computed tables: nulls, single rows, zero denominators, fan-out."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from areastats.functions.quantiles import nearest_rank, ordered_bits, radix_rank
 from areastats.functions.text import district_slug
 from areastats.operators import claims, combine, crime, geography, population, prices, runs
 from areastats.plans import features
+from areastats.sources import writers
 
 SALES = "lsoa_code string, price long, property_type string, old_new string, duration string"
 
@@ -231,3 +233,45 @@ def test_radix_ranks_are_exact(spark):
     for g, vs in groups.items():
         for q in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0):
             assert found[g][f"q{int(100 * q)}"] == np.sort(vs)[int(np.floor((len(vs) - 1) * q + 0.5))], (g, q)
+
+
+def _combined_setting(spark):
+    spine = spark.createDataFrame([("a", "d"), ("b", "d"), ("c", "e")], "lsoa_code string, district string")
+    values = spark.createDataFrame([("a", float("inf"), 1), ("b", float("nan"), None)], "lsoa_code string, x double, n int")
+    return spine, values
+
+
+def test_one_job_combines_fills_checks_and_writes(spark, tmp_path):
+    spine, values = _combined_setting(spark)
+    path = str(tmp_path / "t")
+    made = combine.CheckedCombination(spine, values, keys=("lsoa_code", "district"))
+    writers.write_verified(made.rows, path, ["district"], made.verify)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("lsoa_code", "x", "n", "district").collect())
+    assert got == [("a", 0.0, 1, "d"), ("b", 0.0, 0, "d"), ("c", 0.0, 0, "e")]
+    plain = combine.quality_report(combine.combine(spine, values, keys=("lsoa_code", "district")), ("lsoa_code", "district"))
+    assert sorted(made.report()) == sorted(map(tuple, plain.collect()))
+    assert [n for n in os.listdir(path) if n.startswith("_draft")] == []
+
+
+@pytest.mark.parametrize("fault", ["rows", "spine", "key", "text"])
+def test_a_failed_check_keeps_the_old_partitions(spark, tmp_path, fault):
+    spine, values = _combined_setting(spark)
+    path = str(tmp_path / "t")
+    old = combine.CheckedCombination(spine, values, keys=("lsoa_code", "district"))
+    writers.write_verified(old.rows, path, ["district"], old.verify)
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    message = {"rows": "row count mismatch", "spine": "duplicate keys", "key": "null keys", "text": "remain after fill"}[fault]
+    if fault == "rows":
+        values = values.unionAll(values.filter("lsoa_code = 'a'"))
+    if fault == "spine":
+        spine = spine.unionAll(spine.limit(1))
+        message = "row count mismatch|duplicate keys"
+    if fault == "key":
+        spine = spine.unionAll(spark.createDataFrame([(None, "d")], spine.schema))
+    if fault == "text":
+        values = values.withColumn("note", F.lit("x"))
+    made = combine.CheckedCombination(spine, values, keys=("lsoa_code", "district"))
+    with pytest.raises(ValueError, match=message):
+        writers.write_verified(made.rows, path, ["district"], made.verify)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+    assert [n for n in os.listdir(path) if n.startswith("_draft")] == []
