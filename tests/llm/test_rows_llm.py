@@ -73,13 +73,13 @@ def test_trees_learn_and_compile(spark):
     trees = pii.Trees(rounds=20)
     trees.fit(x, right * 3.0, ~right * 3.0)
     trees.calibrate(x, right * 3.0, ~right * 3.0, 0.95)
-    assert ((trees.score(x) >= trees.threshold) == right).mean() > 0.95
+    assert ((trees.score(x) >= np.array(trees.thresholds)[x[:, 0]]) == right).mean() > 0.95
     frame = spark.createDataFrame(x.tolist(), ", ".join(f"{n} int" for n in pii.FEATURES)).selectExpr("struct(*) AS c")
     got = [r[0] for r in frame.select(trees.column(pii.F.col("c"))).collect()]
     assert np.allclose(got, trees.score(x))
     empty = pii.Trees()
     empty.fit(x[:0], np.zeros(0), np.zeros(0))
-    assert empty.threshold == float("inf")
+    assert empty.thresholds == [float("inf")] * 4
 
 
 def test_numbers_inside_a_run_are_proposed(spark):
@@ -97,7 +97,7 @@ def test_numbers_inside_a_run_are_proposed(spark):
 
 def test_of_nested_candidates_the_best_stays(spark):
     trees = pii.Trees()
-    trees.trees, trees.threshold = [(list(pii.FEATURES).index("shape"), 1, 1.0, 2.0)], 0.5
+    trees.trees, trees.thresholds = [(list(pii.FEATURES).index("shape"), 1, 1.0, 2.0)], [0.5] * 4
     docs = spark.createDataFrame([("call 555-123-4567 2024-05-01",)], "text string")
     text = pii.F.col("text")
     row = docs.select(pii.all_spans(pii.base_spans(text), pii.candidates(text), trees).alias("s")).first()
@@ -105,6 +105,43 @@ def test_of_nested_candidates_the_best_stays(spark):
     assert pii.KINDS.index("card") not in [x.kind for x in row.s]
 
 
+def test_other_spellings_keep_their_places(spark):
+    texts = [t for t in pii_texts() if len(t) < 2000] + ["write a.b@c-d.org, 10.0.0.1; +1 (974) 555-3436 or 4111 1111 1111 1111!"]
+    text = pii.F.col("text")
+    rows = spark.createDataFrame([(t, k) for t in texts for k in range(4)], "text string, pick long")
+    for r in rows.select("text", pii.base_spans(text).alias("b"), pii.respelt(text, pii.base_spans(text), pii.F.col("pick")).alias("r")).collect():
+        kept = []
+        for s in r.b:
+            if not kept or s.start >= kept[-1].end:
+                kept.append(s)
+        assert [s.kind for s in r.r.spans] == [s.kind for s in kept]
+        gaps = lambda t, spans: [t[a:b] for a, b in zip([0, *(s.end for s in spans)], [*(s.start for s in spans), len(t)])]
+        assert gaps(r.text, kept) == gaps(r.r.text, r.r.spans)
+
+
+def test_other_spellings_are_selected_and_look_alikes_are_not(spark):
+    rng = random.Random(21)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    name = lambda: "".join(rng.choices("abcdefgh", k=6))
+
+    def card(right):
+        while True:
+            d = "4" + digits(15)
+            if luhn(d) == right:
+                return d
+
+    rows = []
+    for i in range(600):
+        phone = f"+1 ({rng.randint(2, 9)}{digits(2)}) {rng.randint(2, 9)}{digits(2)}-{digits(4)}"
+        said = [f"mail {name()}@{name()}.org now", f"call {phone} today", f"card {card(True)} paid", f"on 2024-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", f"id {card(False)} end", f"order {digits(9)} end"]
+        rows.append((i, " and ".join(rng.sample(said, 4))))
+    bad = card(False)
+    asked = [(9001, "mail bob at site dot org now"), (9002, "call 415.555.2671 today"), (9003, f"id {bad} end"), (9004, "on 2024-03-12 we met"), (9005, "mail bob [at] site [dot] org now")]
+    found = {r.doc_id: [(pii.KINDS[s.kind], s.start, s.end) for s in r.spans] for r in pii.personal_data(spark.createDataFrame([*rows, *asked], "doc_id long, text string")).where("doc_id > 9000").collect()}
+    assert found[9001] == [("email", 5, 24)] and found[9002] == [("phone", 5, 17)] and found[9005] == [("email", 5, 28)]
+    assert found[9003] == [] and found[9004] == []
+
+
 def test_redaction_keeps_the_rest(spark):
     rows = [(1, "mail a@b.cc or 1.2.3.4, é +1 (974) 555-3436.", None, None), *ODD]
     docs = documents(spark, rows).withColumn("n_chars", pii.F.lit(7).cast("long"))
