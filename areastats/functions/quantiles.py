@@ -61,7 +61,7 @@ def radix_ranks(
     keys = list(keys)
     double = F.col(value).cast("double")
     base = rows.filter(double.isNotNull() & ~F.isnan(double)).select(*keys, F.col(value).alias("_v"), ordered_bits(double).alias("_bits"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("_size")).alias("rank")) for name, rank in ranks.items()]))
+    wanted = _wanted(ranks)
     group = Window.partitionBy(*keys)
     prefix = lambda used: F.shiftright("_bits", 64 - used)
     first = base.groupBy(*keys, prefix(bits).alias("_prefix")).agg(F.count("*").alias("_n"), F.min("_v").alias("_v"))
@@ -93,22 +93,11 @@ def select_ranks(
     names a column for each function from the group's size to a 0-based rank.
     """
     keys = list(keys)
-    ranked = F.col(value).isNotNull() & (F.col(weight) > 0) & ~F.isnan(F.col(value).cast("double"))
-    bucketed = (
-        cells.filter(ranked)
-        .select(*keys, F.col(value), F.col(weight).alias("_w"))
-        .withColumn("_bucket", value_bucket(F.col(value)))
-    )
-    wanted = F.explode(
-        F.array(*[
-            F.struct(F.lit(name).alias("name"), rank(F.col("_size")).alias("rank"))
-            for name, rank in ranks.items()
-        ])
-    )
+    bucketed = _bucketed(cells, keys, value, weight)
     group = Window.partitionBy(*keys)
     located = _located(
         bucketed.groupBy(*keys, "_bucket").agg(F.sum("_w").alias("_n")).withColumn("_size", F.sum("_n").over(group)),
-        group.orderBy("_bucket"), wanted, F.col("_want.rank"),
+        group.orderBy("_bucket"), _wanted(ranks), F.col("_want.rank"),
     ).select(*keys, "_bucket", F.col("_want.name").alias("_name"), "_offset")
     inside = bucketed.join(located, [*keys, "_bucket"])
     place = [*keys, "_bucket", "_name"]
@@ -119,7 +108,52 @@ def select_ranks(
             Window.partitionBy(*place).orderBy("_part"), F.lit(0), F.col("_before"),
         ).select(*place, "_part", F.col("_offset").alias("_rest"))
         inside = parted.join(narrowed, [*place, "_part"]).drop("_offset").withColumnRenamed("_rest", "_offset")
-    in_bucket = Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return _hits(inside, keys, value, ranks)
+
+
+def select_pane_ranks(
+    cells: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: str,
+    ranks: dict[str, Callable[[Column], Column]],
+    pane: str,
+    to_windows: Callable[[DataFrame], DataFrame],
+    months: int,
+) -> DataFrame:
+    """`select_ranks` for every (snapshot_date, keys) from cells with a pane of time.
+
+    `to_windows` copies rows with a pane to the snapshots whose window holds it. Only bucket counts are copied;
+    cells meet the snapshots that look for a rank in their bucket.
+    """
+    keys = list(keys)
+    bucketed = _bucketed(cells, [*keys, pane], value, weight)
+    windowed = ["snapshot_date", *keys]
+    counts = to_windows(bucketed.groupBy(*keys, pane, "_bucket").agg(F.sum("_w").alias("_n")))
+    group = Window.partitionBy(*windowed)
+    located = _located(
+        counts.groupBy(*windowed, "_bucket").agg(F.sum("_n").alias("_n")).withColumn("_size", F.sum("_n").over(group)),
+        group.orderBy("_bucket"), _wanted(ranks), F.col("_want.rank"),
+    ).select(*windowed, "_bucket", F.col("_want.name").alias("_name"), "_offset")
+    held = F.col(pane).between(F.add_months("snapshot_date", -months), F.col("snapshot_date"))
+    return _hits(bucketed.join(located, [*keys, "_bucket"]).filter(held), windowed, value, ranks)
+
+
+def _bucketed(cells: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+    ranked = F.col(value).isNotNull() & (F.col(weight) > 0) & ~F.isnan(F.col(value).cast("double"))
+    rows = cells.filter(ranked).select(*keys, F.col(value), F.col(weight).alias("_w"))
+    return rows.withColumn("_bucket", value_bucket(F.col(value)))
+
+
+def _wanted(ranks: dict[str, Callable[[Column], Column]]) -> Column:
+    return F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), rank(F.col("_size")).alias("rank")) for name, rank in ranks.items()
+    ]))
+
+
+def _hits(inside: DataFrame, keys: Sequence[str], value: str, ranks: dict) -> DataFrame:
+    """The value at each wanted rank among the rows of its bucket."""
+    in_bucket = Window.partitionBy(*keys, "_bucket", "_name").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     hits = inside.withColumn("_seen", F.sum("_w").over(in_bucket)).filter(
         (F.col("_offset") < F.col("_seen")) & (F.col("_offset") >= F.col("_seen") - F.col("_w"))
     )

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from areastats.constants import CLAIM_GROUPS
 from areastats.functions.numbers import share
+from areastats.operators.runs import attach_month_snapshots
 
 KEYS = ("lsoa_code",)
 
 
-def _monthly(claims: DataFrame, keys: Sequence[str], groups: dict[str, str]) -> DataFrame:
+def claim_months(claims: DataFrame, keys: Sequence[str] = KEYS, groups: dict[str, str] = CLAIM_GROUPS) -> DataFrame:
+    """One row per (keys, month): rows, their sum, and the sum of each group."""
     group_sums = [
         F.coalesce(F.sum(F.when(F.col("condition_group") == g, F.col("value"))), F.lit(0)).alias(f"_{short}")
         for short, g in groups.items()
@@ -40,13 +42,13 @@ def _means(groups: dict[str, str]) -> list:
 
 
 def claim_totals(claims: DataFrame, keys: Sequence[str] = KEYS, groups: dict[str, str] = CLAIM_GROUPS) -> DataFrame:
-    return _monthly(claims, keys, groups).groupBy(*keys).agg(*_totals(groups))
+    return claim_months(claims, keys, groups).groupBy(*keys).agg(*_totals(groups))
 
 
 def claim_monthly_means(
     claims: DataFrame, keys: Sequence[str] = KEYS, groups: dict[str, str] = CLAIM_GROUPS
 ) -> DataFrame:
-    return _monthly(claims, keys, groups).groupBy(*keys).agg(*_means(groups))
+    return claim_months(claims, keys, groups).groupBy(*keys).agg(*_means(groups))
 
 
 def claim_shares(totals: DataFrame, groups: dict[str, str] = CLAIM_GROUPS) -> DataFrame:
@@ -59,5 +61,15 @@ def claim_shares(totals: DataFrame, groups: dict[str, str] = CLAIM_GROUPS) -> Da
 
 
 def claim_features(claims: DataFrame, keys: Sequence[str] = KEYS, groups: dict[str, str] = CLAIM_GROUPS) -> DataFrame:
-    stats = _monthly(claims, keys, groups).groupBy(*keys).agg(*_totals(groups), *_means(groups))
+    stats = claim_months(claims, keys, groups).groupBy(*keys).agg(*_totals(groups), *_means(groups))
     return claim_shares(stats, groups)
+
+
+def claim_features_by_month(
+    monthly: DataFrame, snapshots: Sequence[str], months: int, keys: Sequence[str] = KEYS, groups: dict[str, str] = CLAIM_GROUPS
+) -> DataFrame:
+    """`claim_features` of every snapshot's window from `claim_months`; late rows of a month may be rows of their own."""
+    sums = ["_rows", "_all", *[f"_{short}" for short in groups]]
+    whole = monthly.groupBy(*keys, "month").agg(*[F.sum(c).alias(c) for c in sums])
+    windows = attach_month_snapshots(whole, F.col("month"), snapshots, months)
+    return claim_shares(windows.groupBy("snapshot_date", *keys).agg(*_totals(groups), *_means(groups)), groups)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from areastats.constants import CRIME_CATEGORIES, CRIME_OUTCOMES
 from areastats.functions.numbers import row_sum, share
+from areastats.operators.runs import attach_month_snapshots
 
 KEYS = ("lsoa_code",)
 
@@ -53,6 +54,20 @@ def derive_crime_stats(
     )
 
 
+def crime_features_by_month(
+    monthly: DataFrame,
+    snapshots: Sequence[str],
+    months: int,
+    keys: Sequence[str] = KEYS,
+    categories: Sequence[str] = CRIME_CATEGORIES,
+    outcomes: Sequence[str] = CRIME_OUTCOMES,
+) -> DataFrame:
+    """`crime_features` of every snapshot's window from `crime_counts` keyed by (keys, month); a month may have several rows."""
+    windows = attach_month_snapshots(monthly, F.col("month"), snapshots, months)
+    sums = [F.sum(f"`{label}`").alias(label) for label in (*categories, *outcomes)]
+    return derive_crime_stats(windows.groupBy("snapshot_date", *keys).agg(*sums), categories, outcomes)
+
+
 def crime_features(
     crimes: DataFrame,
     keys: Sequence[str] = KEYS,

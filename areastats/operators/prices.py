@@ -5,16 +5,21 @@ of sale. A single statistic uses one cell per sale (a projection, no extra shuff
 the full feature set first merges cells by (keys, price), which is map-side combined,
 spreads a hot area over all its prices, and feeds both the plain aggregates and the
 exact order statistics from one scan.
+
+For several snapshots the cells also carry a pane of time (`operators/panes.py`), and the statistics of
+every window come from the moments and price counts of its panes.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.constants import PROPERTY_TYPES
 from areastats.functions.numbers import share
 from areastats.functions.parallel import shared
-from areastats.functions.quantiles import nearest_rank, select_ranks
+from areastats.functions.quantiles import nearest_rank, select_pane_ranks, select_ranks
+from areastats.operators.panes import PANE, to_windows
 
 KEYS = ("lsoa_code",)
 
@@ -41,44 +46,78 @@ def merge_cells(cells: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return shared(cells.groupBy(*keys, "price").agg(*[F.sum(c).alias(c) for c in counters]))
 
 
-def _priced(counter: str) -> Column:
-    return F.sum(F.when(F.col("price").isNotNull(), F.col(counter)))
+@dataclass(frozen=True)
+class _Moments:
+    """How count, sum of prices and count of priced sales of a counter, and the moments of all prices, are read from rows."""
+
+    count: Callable[[str], Column]
+    amount: Callable[[str], Column]
+    priced: Callable[[str], Column]
+    squares: Callable[[], Column]
+    highest: Callable[[], Column]
+    lowest: Callable[[], Column]
+
+
+_BIG = "decimal(19,0)"
+_OF_CELLS = _Moments(
+    count=lambda c: F.sum(c),
+    amount=lambda c: F.sum(F.col("price") * F.col(c)),
+    priced=lambda c: F.sum(F.when(F.col("price").isNotNull(), F.col(c))),
+    squares=lambda: F.sum((F.col("price") * F.col("n")).cast(_BIG) * F.col("price").cast(_BIG)).cast("decimal(38,0)"),
+    highest=lambda: F.max("price"),
+    lowest=lambda: F.min("price"),
+)
+_OF_PANES = _Moments(
+    count=lambda c: F.sum(c),
+    amount=lambda c: F.sum(f"{c}_amount"),
+    priced=lambda c: F.sum(f"{c}_priced"),
+    squares=lambda: F.sum("squares"),
+    highest=lambda: F.max("highest"),
+    lowest=lambda: F.min("lowest"),
+)
+
+
+def pane_moments(cells: DataFrame, keys: Sequence[str], types: dict[str, str] = PROPERTY_TYPES) -> DataFrame:
+    """One row per (keys, pane) from which every statistic but the order statistics follows, for any run of panes."""
+    m = _OF_CELLS
+    sums = [f(c).alias(c + end) for c in _counters(types) for f, end in ((m.count, ""), (m.amount, "_amount"), (m.priced, "_priced"))]
+    return cells.groupBy(*keys, PANE).agg(
+        *sums, m.squares().alias("squares"), m.highest().alias("highest"), m.lowest().alias("lowest")
+    )
 
 
-def _mean(counter: str) -> Column:
-    return share(F.sum(F.col("price") * F.col(counter)), _priced(counter))
+def _mean(counter: str, m: _Moments) -> Column:
+    return share(m.amount(counter), m.priced(counter))
 
 
-def _sample_stdev() -> Column:
+def _sample_stdev(m: _Moments) -> Column:
     """Exact integer moments in decimal arithmetic, so equal prices give exactly 0."""
-    big = "decimal(19,0)"
-    total = F.sum(F.col("price") * F.col("n")).cast(big)
-    squares = F.sum((F.col("price") * F.col("n")).cast(big) * F.col("price").cast(big))
-    n = _priced("n")
-    spread = squares.cast("decimal(38,0)") - total * total / n.cast(big)
+    total = m.amount("n").cast(_BIG)
+    n = m.priced("n")
+    spread = m.squares().cast("decimal(38,0)") - total * total / n.cast(_BIG)
     return F.when(n > 1, F.sqrt(spread.cast("double") / (n - 1)))
 
 
-def _aggregates(types: dict[str, str]) -> dict[str, Column]:
-    n = F.sum("n")
+def _aggregates(types: dict[str, str], m: _Moments = _OF_CELLS) -> dict[str, Column]:
+    n = m.count("n")
     out = {
-        "lsoa_mean_price": _mean("n"),
-        "lsoa_stdev_price": _sample_stdev(),
-        "lsoa_max_price": F.max("price"),
-        "lsoa_min_price": F.min("price"),
-        "lsoa_range_price": F.max("price") - F.min("price"),
+        "lsoa_mean_price": _mean("n", m),
+        "lsoa_stdev_price": _sample_stdev(m),
+        "lsoa_max_price": m.highest(),
+        "lsoa_min_price": m.lowest(),
+        "lsoa_range_price": m.highest() - m.lowest(),
     }
     for code in types:
-        out[f"{code}_mean_price"] = F.coalesce(_mean(f"n_{code}"), F.lit(0.0))
+        out[f"{code}_mean_price"] = F.coalesce(_mean(f"n_{code}", m), F.lit(0.0))
     out["total_transactions"] = n
     for code in types:
-        out[f"{code}_count_transactions"] = F.sum(f"n_{code}")
-    out["new_build_proportion"] = share(F.sum("n_new"), n)
-    out["freehold_proportion"] = share(F.sum("n_free"), n)
+        out[f"{code}_count_transactions"] = m.count(f"n_{code}")
+    out["new_build_proportion"] = share(m.count("n_new"), n)
+    out["freehold_proportion"] = share(m.count("n_free"), n)
     for code, name in types.items():
-        out[f"{name}_proportion"] = share(F.sum(f"n_{code}"), n)
-    premium = F.coalesce(F.try_divide(_mean("n_new"), _mean("n_old")), F.lit(0.0))
-    out["new_build_price_premium"] = F.when(F.sum("n_new") > 0, premium)
+        out[f"{name}_proportion"] = share(m.count(f"n_{code}"), n)
+    premium = F.coalesce(F.try_divide(_mean("n_new", m), _mean("n_old", m)), F.lit(0.0))
+    out["new_build_price_premium"] = F.when(m.count("n_new") > 0, premium)
     return out
 
 
@@ -87,13 +126,19 @@ def _plain(sales: DataFrame, keys: Sequence[str], names: Sequence[str], types: d
     return sale_cells(sales, keys, types).groupBy(*keys).agg(*[wanted[n].alias(n) for n in names])
 
 
+_RANKS = {
+    "_low": lambda n: F.floor((n - 1) / 2).cast("long"),
+    "_high": lambda n: F.ceil((n - 1) / 2).cast("long"),
+    "_p10": lambda n: nearest_rank(n, 0.1),
+    "_p90": lambda n: nearest_rank(n, 0.9),
+}
+
+
 def _order_statistics(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    ranked = select_ranks(cells, keys, "price", "n", {
-        "_low": lambda n: F.floor((n - 1) / 2).cast("long"),
-        "_high": lambda n: F.ceil((n - 1) / 2).cast("long"),
-        "_p10": lambda n: nearest_rank(n, 0.1),
-        "_p90": lambda n: nearest_rank(n, 0.9),
-    })
+    return _from_ranks(select_ranks(cells, keys, "price", "n", _RANKS), keys)
+
+
+def _from_ranks(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
     inequality = F.when(F.col("_p10") > 0, share(F.col("_p90"), F.col("_p10")))
     return ranked.select(
         *keys,
@@ -172,7 +217,25 @@ def price_features(
     """All price statistics: one scan, one data-sized shuffle, one row per key."""
     cells = merge_cells(sale_cells(sales, keys, types), keys)
     plain = cells.groupBy(*keys).agg(*[c.alias(n) for n, c in _aggregates(types).items()])
-    ranked = _order_statistics(cells, keys)
+    return _joined(plain, _order_statistics(cells, keys), keys, types)
+
+
+def price_features_by_pane(
+    cells: DataFrame, snapshots: Sequence[str], months: int, keys: Sequence[str] = KEYS, types: dict[str, str] = PROPERTY_TYPES
+) -> DataFrame:
+    """`price_features` of every snapshot's window, keyed by snapshot_date and `keys`, from cells with a pane.
+
+    Several cells of one (keys, pane, price) are fine. Moments and bucket counts are made once per pane; windows
+    add them up. Single prices are read only in the buckets that hold a wanted rank.
+    """
+    windowed = ["snapshot_date", *keys]
+    moments = to_windows(pane_moments(cells, keys, types), snapshots, months)
+    plain = moments.groupBy(*windowed).agg(*[c.alias(n) for n, c in _aggregates(types, _OF_PANES).items()])
+    ranked = select_pane_ranks(cells, keys, "price", "n", _RANKS, PANE, lambda df: to_windows(df, snapshots, months), months)
+    return _joined(plain, _from_ranks(ranked, windowed), windowed, types)
+
+
+def _joined(plain: DataFrame, ranked: DataFrame, keys: Sequence[str], types: dict[str, str]) -> DataFrame:
     names = list(_aggregates(types))
     order = [*names[:1], "lsoa_median_price", *names[1:5], "lsoa_price_inequality", *names[5:]]
     return plain.join(ranked, list(keys), "left").select(*keys, *order)

@@ -6,7 +6,7 @@ from areastats.constants import CLAIM_GROUPS, POPULATION_KEY, PRICE_COLUMNS, PRO
 from areastats.functions import timewin
 from areastats.functions.text import district_slug
 from areastats.operators import claims, combine as comb, crime, geography as geo, population, prices, runs
-from areastats.plans import features
+from areastats.plans import features, states
 from areastats.registry import spatial as maps
 from areastats.registry.base import query, rounded
 from areastats.sources import crime_feed, cube, inventory, month_table, readers, scratch, writers
@@ -663,16 +663,89 @@ SELECT strftime(p.snap, '%Y-%m-%d') AS snapshot_date, p.district, s.lsoa_code, C
 FROM pending p JOIN sales s ON s.district = p.district AND s.date_of_transfer BETWEEN p.snap - INTERVAL {MONTHS} MONTH AND p.snap
 GROUP BY 1, 2, 3""")
 def _(t):
-    planned = runs.plan_runs(BACKFILL, geo.districts_areas(t.v_geo))
-    stored = planned.filter((F.col("snapshot_date") == BACKFILL[0]) & (F.col("district") == DISTRICT))
-    sales = features.sales_with_area(t.v_price, t.v_postcode, t.v_geo)
-    due = runs.attach_snapshots(sales, F.col("date_of_transfer"), BACKFILL, MONTHS).join(
-        runs.pending_runs(planned, stored), ["snapshot_date", "district"], "left_semi"
-    )
+    """The first snapshot of one district is stored; what is pending follows from that table."""
+    plan = lambda snapshots, districts=None: features.price_plan(t.v_price, t.v_postcode, t.v_geo, snapshots, MONTHS, districts)
     wanted = ["total_transactions", "lsoa_mean_price", "lsoa_median_price", "lsoa_price_inequality"]
-    return rounded(prices.price_features(due, features.RUN_KEYS).select(
-        F.col("snapshot_date").cast("string"), "district", "lsoa_code", *wanted
-    ))
+    return _pending(t, plan).select(F.col("snapshot_date").cast("string"), "district", "lsoa_code", *wanted)
+
+
+def _pending(t, plan):
+    """Features of all snapshots and districts that a table, which holds one of each, does not."""
+    folder = scratch.shared_folder(t.spark)
+    writers.write_features(plan([BACKFILL[0]], [DISTRICT]), folder, "features")
+    due = runs.pending_runs(
+        runs.plan_runs(BACKFILL, geo.districts_areas(t.v_geo)), readers.read_features(t.spark, folder, "features")
+    )
+    return rounded(plan(BACKFILL).join(due, ["snapshot_date", "district"], "left_semi"))
+
+
+_PENDING_SQL = f"""pending AS (SELECT s.snap, d.district FROM {_BACKFILL_SQL} s, (SELECT DISTINCT district FROM {_AREA}) d
+  WHERE NOT (s.snap = DATE '{BACKFILL[0]}' AND d.district = '{DISTRICT}'))"""
+_PENDING_MONTHS = f"month BETWEEN strftime(snap - INTERVAL {MONTHS - 1} MONTH, '%Y-%m') AND strftime(snap, '%Y-%m')"
+
+
+@query("backfill_crimes", f"""
+WITH {_PENDING_SQL}
+SELECT strftime(snap, '%Y-%m-%d') AS snapshot_date, district, lsoa_code, {_CRIME_STATS_SQL}
+FROM v_crime JOIN {_AREA} USING (lsoa_code) JOIN pending USING (district) WHERE {_PENDING_MONTHS} GROUP BY 1, 2, 3""")
+def _(t):
+    due = _pending(t, lambda snapshots, districts=None: features.crime_plan(t.v_crime, t.v_geo, snapshots, MONTHS, districts, **LISTS))
+    return due.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
+_PENDING_CLAIMS = f"(SELECT strftime(snap, '%Y-%m-%d') AS snapshot_date, claims.* FROM claims JOIN pending USING (district) WHERE {_PENDING_MONTHS})"
+_PENDING_MONTHLY = _monthly_sql(_PENDING_CLAIMS).replace("PARTITION BY", "PARTITION BY snapshot_date, district,")
+
+
+@query("backfill_claims", f"""
+WITH {_CLAIMS_SQL}, {_PENDING_SQL}, {_PENDING_MONTHLY}
+SELECT snapshot_date, district, lsoa_code, {_TOTALS_SQL}, {_MEANS_SQL}, {_SHARES_SQL} FROM monthly GROUP BY 1, 2, 3""")
+def _(t):
+    due = _pending(t, lambda snapshots, districts=None: features.claim_plan(t.v_uc, t.v_geo, snapshots, MONTHS, districts))
+    return due.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
+def _refreshed(t, source, rows, late):
+    """Features of all snapshots, first without the late rows, then with them by way of the stored aggregates."""
+    folder = scratch.shared_folder(t.spark)
+    table, stored = f"{folder}/aggregates", f"{folder}/features"
+    source.check(BACKFILL)
+    states.refresh(source, rows.filter(~late), table, stored, BACKFILL, MONTHS)
+    states.refresh(source, rows.filter(late), table, stored, BACKFILL, MONTHS)
+    out = readers.read_features(t.spark, stored, source.name)
+    return rounded(out.withColumn("snapshot_date", F.col("snapshot_date").cast("string")))
+
+
+def _late(row: str, month):
+    """Rows of 1998 on, every other one."""
+    return (month >= "1998") & (F.pmod(F.xxhash64(row), F.lit(2)) == 1)
+
+
+_WINDOWS_SQL = f"(SELECT strftime(snap, '%Y-%m-%d') AS snapshot_date, sales.* FROM sales JOIN {_BACKFILL_SQL} s ON date_of_transfer BETWEEN snap - INTERVAL {MONTHS} MONTH AND snap)"
+
+
+@query("late_sales", _price_sql(PRICE_SQL, "snapshot_date, district, lsoa_code", _WINDOWS_SQL))
+def _(t):
+    late = _late("transaction_id", F.date_format("date_of_transfer", "yyyy-MM"))
+    return _refreshed(t, states.sales_source(t.v_postcode, t.v_geo), t.v_price, late)
+
+
+@query("late_crimes", f"""
+SELECT strftime(snap, '%Y-%m-%d') AS snapshot_date, district, lsoa_code, {_CRIME_STATS_SQL}
+FROM v_crime JOIN {_AREA} USING (lsoa_code) JOIN {_BACKFILL_SQL} s ON {_PENDING_MONTHS} GROUP BY 1, 2, 3""")
+def _(t):
+    return _refreshed(t, states.crime_source(t.v_geo, **LISTS), t.v_crime, _late("category", F.col("month")))
+
+
+_ALL_CLAIMS = f"(SELECT strftime(snap, '%Y-%m-%d') AS snapshot_date, claims.* FROM claims JOIN {_BACKFILL_SQL} s ON {_PENDING_MONTHS})"
+_ALL_MONTHLY = _monthly_sql(_ALL_CLAIMS).replace("PARTITION BY", "PARTITION BY snapshot_date, district,")
+
+
+@query("late_claims", f"""
+WITH {_CLAIMS_SQL}, {_ALL_MONTHLY}
+SELECT snapshot_date, district, lsoa_code, {_TOTALS_SQL}, {_MEANS_SQL}, {_SHARES_SQL} FROM monthly GROUP BY 1, 2, 3""")
+def _(t):
+    return _refreshed(t, states.claim_source(t.v_geo), t.v_uc, _late("condition_group", F.col("month")))
 
 
 @query("empty_months", """
