@@ -8,6 +8,7 @@ from areastats.functions.tags import nearest_pois
 from areastats.operators import areas as area_ops, spatial
 from areastats.registry.base import query, rounded
 from areastats.sources import map_elements
+from areastats.sources.scratch import shared_folder
 
 KEY = ["lsoa_code"]
 POLYGON_GROUPS = {"economy": ["ECONOMY"], "retail": ["LARGE", "PROMO"], "mixed": ["PROMO", "SMALL"]}
@@ -70,10 +71,7 @@ def _count_columns(groups, column, source_within=_within):
 # ---------------------------------------------------------------- sources
 
 
-@query("map_elements", """
-SELECT 'node' AS type, id, x / 1000 AS lon, y / 1000 AS lat, amenity AS tag, CAST(NULL AS BIGINT) AS nodes FROM v_points
-UNION ALL SELECT 'way', id, x1 + dx, y1 + dy, 'path', CAST(2 AS BIGINT) FROM v_lines""")
-def _(t):
+def _element_texts(t):
     node = F.struct(
         F.lit("node").alias("type"), "id", (F.col("x") / 1000).alias("lon"), (F.col("y") / 1000).alias("lat"),
         F.create_map(F.lit("tag"), F.col("amenity")).alias("tags"),
@@ -85,13 +83,38 @@ def _(t):
     way = F.struct(
         F.lit("way").alias("type"), "id", F.create_map(F.lit("tag"), F.lit("path")).alias("tags"), lonlat.alias("geometry")
     )
-    texts = t.v_points.select(F.to_json(node).alias("e")).unionByName(t.v_lines.select(F.to_json(way).alias("e")))
-    docs = texts.select(F.concat(F.lit('{"elements":['), "e", F.lit("]}")).alias("payload"))
-    parsed = map_elements.parse_elements(docs, F.col("payload"))
+    return t.v_points.select("id", F.to_json(node).alias("e")).unionByName(t.v_lines.select("id", F.to_json(way).alias("e")))
+
+
+def _shown(parsed):
     last = F.element_at("geometry", -1)  # ways show their last node
     return parsed.select("type", "id", F.coalesce("lon", last["lon"]).alias("lon"), F.coalesce("lat", last["lat"]).alias("lat"), F.col("tags")["tag"].alias("tag"), F.size("geometry").cast("long").alias("nodes"))
 
 
+@query("map_elements", """
+SELECT 'node' AS type, id, x / 1000 AS lon, y / 1000 AS lat, amenity AS tag, CAST(NULL AS BIGINT) AS nodes FROM v_points
+UNION ALL SELECT 'way', id, x1 + dx, y1 + dy, 'path', CAST(2 AS BIGINT) FROM v_lines""")
+def _(t):
+    docs = _element_texts(t).select(F.concat(F.lit('{"elements":['), "e", F.lit("]}")).alias("payload"))
+    return _shown(map_elements.parse_elements(docs, F.col("payload")))
+
+
+@query("map_documents", """
+SELECT 'node' AS type, id, x / 1000 AS lon, y / 1000 AS lat, amenity AS tag, CAST(NULL AS BIGINT) AS nodes FROM v_points
+UNION ALL SELECT 'way', id, x1 + dx, y1 + dy, 'path', CAST(2 AS BIGINT) FROM v_lines""")
+def _(t):
+    """One document per hundred thousand ids, read at byte ranges."""
+    folder = shared_folder(t.spark)
+    rows = _element_texts(t).select(F.expr("id div 100000").alias("doc"), F.col("id").alias("at"), F.concat("e", F.lit(",")).alias("value"))
+    docs = rows.select("doc").distinct()
+    head = F.lit('{"version":0.6,"remark":"braces { in \\"text\\"","source":{"a":{"b":"}"}},"elements":[')
+    ends = docs.select("doc", F.lit(None).cast("long").alias("at"), head.alias("value")).unionByName(
+        docs.select("doc", F.lit(2**62).alias("at"), F.lit('{"type":"way","id":-1}]}').alias("value"))
+    )
+    rows.unionByName(ends).repartition("doc").sortWithinPartitions("doc", F.asc_nulls_first("at")).drop("at").write.partitionBy("doc").text(folder)
+    return _shown(map_elements.read_large_map_responses(t.spark, folder)).filter("id >= 0")
+
+
 @query("map_split", """
 SELECT 'point' AS kind, id FROM v_points UNION ALL SELECT 'polygon', id FROM v_landuse WHERE id % 4 >= 2 UNION ALL SELECT 'line', id FROM v_lines""")
 def _(t):
