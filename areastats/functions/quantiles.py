@@ -55,8 +55,10 @@ def radix_ranks(
 
     Each pass counts the rows that share the prefix located before, by the next `bits` bits of
     the value. Counts combine map-side, so a task hands on at most 2^bits rows a group and rank,
-    whatever the number of rows or of distinct values; nothing is sorted or joined but counts.
-    NaN and null have no rank, a group without other values has no row.
+    whatever the number of rows or of distinct values; nothing is sorted but counts. The prefixes, a
+    row per group and rank, are what is broadcast: planned by size estimates, exploded raw rows would be.
+    Groups are therefore few, as the columns of a table are. NaN and null have no rank, a group without
+    other values has no row.
     """
     keys = list(keys)
     double = F.col(value).cast("double")
@@ -69,7 +71,7 @@ def radix_ranks(
     found = found.select(*keys, F.col("_want.name").alias("_name"), "_prefix", "_offset", "_v")
     for used in range(2 * bits, 64 + bits, bits):
         place = [*keys, "_name"]
-        inside = base.withColumn("_prefix", prefix(used - bits)).join(found.drop("_v"), [*keys, "_prefix"])
+        inside = base.withColumn("_prefix", prefix(used - bits)).join(F.broadcast(found.drop("_v")), [*keys, "_prefix"])
         counted = inside.groupBy(*place, prefix(min(used, 64)).alias("_next")).agg(
             F.count("*").alias("_n"), F.min("_v").alias("_v"), F.first("_offset").alias("_before")
         )

@@ -275,3 +275,10 @@ def test_a_failed_check_keeps_the_old_partitions(spark, tmp_path, fault):
         writers.write_verified(made.rows, path, ["district"], made.verify)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
     assert [n for n in os.listdir(path) if n.startswith("_draft")] == []
+
+
+def test_describe_never_broadcasts_raw_rows(spark):
+    df = spark.range(2000).select((F.col("id") / 7).alias("a"), F.col("id").alias("b"))  # estimated far below the broadcast threshold
+    plan = combine.describe(df, keys=[])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "_prefix" in line and "Join " in line]
+    assert joins and all("BroadcastHashJoin" in line and "BuildRight" in line for line in joins)
