@@ -11,6 +11,7 @@ window fit those outside, nothing outside can change.
 import base64
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,9 @@ from areastats.llm.common import slices
 
 #: Bytes encoded directly; longer pieces are halved.
 LEAF = 24
-#: Pieces and pairs remembered by a task, and the longest piece that is.
+#: Above every rank.
+FAR = 1 << 62
+#: Pieces and pairs remembered by a task before older ones go, and the longest piece that is.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 #: Tokens concatenated at once at the bottom of a decoding tree.
 DECODE_LEAF = 4096
@@ -41,16 +44,23 @@ BEYOND = re.compile("[\u0558-\U0010ffff]")
 
 
 class Pieces(dict):
-    """Packed ids of pieces of text, encoded when first asked for."""
+    """Packed ids of pieces of text, encoded when first asked for.
+
+    When REMEMBERED are held they become the older ones, which last as long again; those asked for come back.
+    """
 
     def __init__(self, encoder: "Encoder"):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.encoder.piece(piece.encode()), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.encoder.piece(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -70,9 +80,25 @@ class Encoder:
         self.fitting: dict[tuple[int, int], bool] = {}
         self.packed = Pieces(self)
 
+    def scanned(self, data: bytes) -> list[int]:
+        """`merged` of a few bytes: scans for the lowest rank cost less than a heap there."""
+        ranks, get = self.ranks, self.ranks.get
+        cuts = list(range(len(data) + 1))
+        best = [get(data[i : i + 2], FAR) for i in range(len(data) - 1)]  # of each part with the next
+        while best and (low := min(best)) < FAR:
+            i = best.index(low)
+            del cuts[i + 1], best[i]
+            if i:
+                best[i - 1] = get(data[cuts[i - 1] : cuts[i + 1]], FAR)
+            if i < len(best):
+                best[i] = get(data[cuts[i] : cuts[i + 2]], FAR)
+        return [ranks[data[a:b]] for a, b in zip(cuts, cuts[1:])]
+
     def merged(self, data: bytes) -> list[int]:
         """Merge neighbours by rank, then from the left, until none is in the vocabulary."""
         ranks, n = self.ranks, len(data)
+        if n <= LEAF:
+            return self.scanned(data)
         end = list(range(1, n + 1))  # of the part that starts here
         before = list(range(-1, n))
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]

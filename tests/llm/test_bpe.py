@@ -96,3 +96,21 @@ def test_odd_rows(spark):
 def test_incomplete_vocabulary():
     with pytest.raises(ValueError, match="single bytes"):
         bpe.Encoder(b"YQ== 0\n", PATTERN)
+
+
+def test_pieces_that_come_back_are_not_encoded_again(encoder, public, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    made = []
+    monkeypatch.setattr(encoder, "piece", lambda data, piece=encoder.piece: made.append(data) or piece(data))
+    encoder.packed = bpe.Pieces(encoder)
+    text = " ".join(f"again w{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(600))
+    assert ids_of(encoder, text) == public.encode_ordinary(text)
+    assert made.count(b" again") == 1 and len(encoder.packed) <= 50 and len(encoder.packed.older) <= 50
+
+
+def test_scans_equal_the_heap(encoder, monkeypatch):
+    rng = random.Random(8)
+    datas = [bytes(rng.choice(b"ab cdeint\xc3\xa9") for _ in range(rng.randint(0, 24))) for _ in range(3000)]
+    scanned = [encoder.merged(d) for d in datas]
+    monkeypatch.setattr(bpe, "LEAF", -1)
+    assert scanned == [encoder.merged(d) for d in datas]
