@@ -1,8 +1,9 @@
 """Personal data: base patterns, and candidates that boosted trees select. DataFrame functions only.
 
 Everything per document is an expression over its text. The trees are fitted on the counts of
-distinct feature vectors, whose number is bounded by the product of the features' values
-(FEATURES), whatever the size of the corpus; they are compiled into column expressions.
+distinct feature vectors over all documents, whose number is bounded by the product of the features'
+values (FEATURES), whatever the size of the corpus; they are compiled into column expressions. The
+patterns run over each text once: what they find is stored for the counts and for the selection.
 
 The patterns are written so that each scan is linear in the text: repeats are possessive where
 nothing after them could match less, and a run of characters is only entered at its start.
@@ -13,7 +14,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import bounded_sample, fold, fresh, stored
+from areastats.llm.common import fold, fresh, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL, LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
@@ -50,8 +51,6 @@ CUES = (
 )
 #: Number of values of each feature; their product bounds what the driver gets.
 FEATURES = {"kind": 4, "digits": 8, "letters": 2, "separators": 6, "groups": 5, "left": 4, "right": 4, "cue": 3, "shape": 7, "luhn": 2, "area": 3}
-#: Documents that fit the trees, about so many (in expectation) with and without base spans together.
-SAMPLE = 40_000
 
 
 # ---- spans ------------------------------------------------------------------------------
@@ -240,12 +239,12 @@ class Trees:
         return (best[1], best[2], left, right), a + b
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        def value(tree, row):
-            while isinstance(tree, tuple):
-                tree = tree[2] if row[tree[0]] < tree[1] else tree[3]
-            return tree
+        def values(tree):
+            if not isinstance(tree, tuple):
+                return np.full(len(x), tree)
+            return np.where(x[:, tree[0]] < tree[1], values(tree[2]), values(tree[3]))
 
-        return np.array([self.start + sum(value(t, row) for t in self.trees) for row in x])
+        return sum((values(t) for t in self.trees), np.full(len(x), self.start))
 
     def calibrate(self, x: np.ndarray, positive: np.ndarray, negative: np.ndarray, precision: float) -> None:
         """For each kind the lowest score at and above which held-out candidates are right often enough.
@@ -309,18 +308,17 @@ def respelt(text: Column, spans: Column, pick: Column) -> Column:
     return F.aggregate(spans, first, step, lambda done: F.struct(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))).alias("text"), done["spans"].alias("spans")))
 
 
-def fitted(texts: DataFrame, precision: float = 0.9, sample: int = SAMPLE) -> Trees:
-    """Trees from about `sample` documents (doc_id, text), chosen by hash of the id.
+def fitted(found: DataFrame, precision: float = 0.9) -> Trees:
+    """Trees from every row of `found`: (doc_id, text, base, proposed), stored; the text may be null where there is no base span.
 
     The base patterns know one spelling of each kind. Right examples are base spans that `respelt`
     writes another way in their own texts: a candidate counts as right if it has the kind and, within
     a character, the ends of such a span. Wrong ones are the other candidates there, and all candidates
     of the texts as they are that meet no base span: dates, ids, numbers that fail the
-    check digit. A fifth of the documents calibrates a threshold for each kind.
+    check digit. A fifth of the documents, by hash of the id, calibrates a threshold for each kind.
     """
-    rows = bounded_sample(texts, "doc_id", sample).select((fold(F.col("doc_id"), 5) == 0).alias("held"), "text", base_spans(F.col("text")).alias("base"), F.xxhash64("doc_id").alias("pick"))
-    rows = stored(rows, "sample")
-    plain = rows.select("held", "base", F.explode(candidates(F.col("text"))).alias("c"))
+    rows = found.select((fold(F.col("doc_id"), 5) == 0).alias("held"), "text", "base", "proposed", F.xxhash64("doc_id").alias("pick"))
+    plain = rows.select("held", "base", F.explode("proposed").alias("c"))
     wrong = plain.where(~F.exists("base", lambda b: _overlap(b, F.col("c")))).select("held", "c", F.lit(False).alias("agrees"))
     again = rows.where(F.size("base") > 0).select("held", respelt(F.col("text"), F.col("base"), F.col("pick")).alias("r"))
     again = stored(again.select("held", F.col("r.text").alias("text"), F.col("r.spans").alias("spans")), "respelt")
@@ -379,12 +377,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     `kind` indexes KINDS; places are code points, ends exclusive. Null texts count as empty and
     have no spans. Repeated rows give repeated results; ids may be null; an empty table gives no rows and
-    other columns are ignored. Trees come from a bounded sample; then one scan of the texts.
+    other columns are ignored. One scan of the texts; what it finds is stored, fits the trees and is selected from.
     """
-    texts = _texts(docs, id_col, text_col)
-    trees = fitted(texts, precision)
     text = F.col("text")
-    found = texts.select("doc_id", base_spans(text).alias("base"), candidates(text).alias("proposed"))
+    texts = _texts(docs, id_col, text_col).select("doc_id", "text", base_spans(text).alias("base"), candidates(text).alias("proposed"))
+    found = stored(texts.withColumn("text", F.when(F.size("base") > 0, text)), "proposed")
+    trees = fitted(found, precision)
     return found.select("doc_id", "base", all_spans(F.col("base"), F.col("proposed"), trees).alias("spans"))
 
 
@@ -419,9 +417,9 @@ def redacted(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     """
     text = F.col("text")
     plain = F.coalesce(text, F.lit(""))
-    trees = fitted(_texts(docs, "doc_id", "text"), precision)
     base, proposed, found = (fresh(docs, n) for n in ("base_spans", "proposed_spans", "all_spans"))
-    held = docs.select("*", base_spans(plain).alias(base), candidates(plain).alias(proposed))
+    held = stored(docs.select("*", base_spans(plain).alias(base), candidates(plain).alias(proposed)), "proposed")
+    trees = fitted(held.select(F.col("doc_id").cast("long").alias("doc_id"), plain.alias("text"), F.col(base).alias("base"), F.col(proposed).alias("proposed")), precision)
     spans = held.withColumn(found, all_spans(F.col(base), F.col(proposed), trees))
     out = spans.withColumn("text", F.when(text.isNotNull(), redact(text, F.col(found))))
     if "n_chars" in docs.columns:

@@ -7,6 +7,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from areastats.llm.common import settled_labels
 from areastats.llm import decontamination, embeddings, language, mixing, pii, quality, toxicity, urls, warc
 
@@ -525,3 +527,18 @@ def test_index_look_up_across_blocks(tmp_path):
     for line in spark_free:
         assert list(index.find(line[:2])) == [line]
     assert list(index.find(("k000", 9))) == list(index.find(("zzz", 0))) == list(index.find(("", 0))) == []
+
+
+def test_trees_count_the_candidates_of_all_documents(spark, monkeypatch):
+    digits = F.lpad((F.col("id") % 10_000).cast("string"), 4, "0")
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("at 555 123 "), digits, F.lit(" o'clock")).alias("text"))
+    counted = []
+    for name in ("fit", "calibrate"):
+        own = getattr(pii.Trees, name)
+        monkeypatch.setattr(pii.Trees, name, lambda self, x, yes, no, *more, own=own: counted.append(yes.sum() + no.sum()) or own(self, x, yes, no, *more))
+    each = docs.select(F.sum(F.size(pii.candidates(F.col("text"))))).first()[0]
+    pii.personal_data(docs)
+    assert each >= 60_000 and sum(counted) == each
+    counted.clear()
+    pii.redacted(docs)
+    assert sum(counted) == each
