@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from areastats.llm.common import bounded_sample, fold, schema_of, settled_labels, slices, stored
@@ -23,6 +24,8 @@ SAMPLE, VOCABULARY, BUCKETS = 6000, 20_000, 1 << 14
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 #: Training steps between looks at the calibration part, each so many documents' windows.
 TURNS, BATCH = (10, 20, 40, 80, 150), 256
+#: Words whose inputs are made at a time.
+PART = 16_384
 #: Distinct words whose inputs a task keeps.
 LEXICON = 100_000
 PAD = 0
@@ -115,8 +118,8 @@ class Network:
     def inputs(self, words: list[str]) -> np.ndarray:
         """The input table of these words, made some thousand words at a time."""
         parts = [np.zeros((1, 2 * DIM), np.float32)]
-        for at in range(0, len(words), 16_384):
-            some = words[at : at + 16_384]
+        for at in range(0, len(words), PART):
+            some = words[at : at + PART]
             buckets, firsts = ngram_buckets(some)
             ids = np.array([self.vocabulary.get(w, 1) for w in some], np.int64)
             parts.append(self.vectors(ids, buckets, firsts, np.diff(np.append(firsts, len(buckets))))[1:])
@@ -220,10 +223,10 @@ class Network:
 class Grams:
     """The n-gram buckets of numbered words."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: pa.Array):
         parts, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(words), 16_384):
-            buckets, firsts = ngram_buckets(words[at : at + 16_384])
+        for at in range(0, len(words), PART):
+            buckets, firsts = ngram_buckets(words[at : at + PART].to_pylist())
             parts.append(buckets.astype(np.int32))
             lengths.append(np.diff(np.append(firsts, len(buckets))))
         self.buckets, self.lengths = np.concatenate(parts), np.concatenate(lengths)
@@ -236,8 +239,14 @@ class Grams:
         return self.buckets[np.repeat(self.firsts[words] - firsts, lengths) + np.arange(lengths.sum())], firsts, lengths
 
     def among(self, *counts: np.ndarray) -> list[np.ndarray]:
-        """Sums of the words' counts by bucket."""
-        return [np.bincount(self.buckets, np.repeat(c, self.lengths), BUCKETS) for c in counts]
+        """Sums of the words' counts by bucket, some thousand words at a time."""
+        sums = [np.zeros(BUCKETS) for _ in counts]
+        for at in range(0, len(self.lengths), PART):
+            lengths = self.lengths[at : at + PART]
+            own = self.buckets[self.firsts[at] : self.firsts[at] + lengths.sum()]
+            for total, c in zip(sums, counts, strict=True):
+                total += np.bincount(own, np.repeat(c[at : at + PART], lengths), BUCKETS)
+        return sums
 
 
 def _prior(counts: np.ndarray, positive: np.ndarray, share: float, weight: float = 4.0) -> np.ndarray:
@@ -253,15 +262,18 @@ def encode(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
     return encoded, list(lexicon)
 
 
-def train(encoded: list[np.ndarray], names: list[str], labels: list[int], seed: int = 5) -> Network:
+def train(encoded: list[np.ndarray], names: list[str] | pa.Array, labels: list[int], seed: int = 5) -> Network:
     """Fit the network on documents (numbered words) of one label each; four fifths train it, the rest calibrate it.
 
+    The words stay an Arrow array, and what has a row for each of them is made part by part: the driver holds little more
+    than the windows and the inputs of the words to the two directions.
+
     Only whole documents are labelled. A positive document teaches the window that scores highest at
     the time (first by the words' log odds); negative ones teach their worst and some other windows.
     Training ends where the loss on the calibration part stops falling; the best parameters stay.
     """
     rng = np.random.default_rng(seed)
-    batch = BATCH
+    batch, names = BATCH, pa.array(names, pa.string()) if isinstance(names, list) else names
     y = np.array(labels, np.float32)
     share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
     fit = np.ones(len(y), bool)
@@ -273,29 +285,34 @@ def train(encoded: list[np.ndarray], names: list[str], labels: list[int], seed:
         own = np.unique(encoded[i])
         counts[own] += 1
         positive[own] += int(y[i])
-    common = sorted(np.flatnonzero(counts >= 3).tolist(), key=lambda k: (-counts[k], names[k - 1]))[: VOCABULARY - 2]
-    vocabulary = {names[k - 1]: v + 2 for v, k in enumerate(common)}
+    often = np.flatnonzero(counts >= 3)
+    often = sorted(zip((-counts[often]).tolist(), names.take(pa.array(often - 1)).to_pylist(), often.tolist(), strict=True))[: VOCABULARY - 2]
+    vocabulary = {name: v + 2 for v, (_, name, _) in enumerate(often)}
+    common = [k for _, _, k in often]
     word_ids = np.ones(len(names) + 1, np.int64)
     word_ids[common] = np.arange(len(common)) + 2
     word_prior = np.concatenate([np.zeros(2), _prior(counts[common], positive[common], share)]).astype(np.float32)
     grams = Grams(names)
     net = Network(vocabulary, word_prior, _prior(*grams.among(counts[1:], positive[1:]), share).astype(np.float32), seed)
-    if not names or y.min() == y.max():
+    if not len(names) or y.min() == y.max():
         net.scale = np.array([0.0, float(np.log(share / (1 - share)))])
         return net
 
-    def all_inputs() -> np.ndarray:
-        parts = [net.vectors(word_ids[at + 1 : at + 16_385], *grams.of(np.arange(at, min(at + 16_384, len(names)))))[1:] for at in range(0, len(names), 16_384)]
-        return np.concatenate([np.zeros((1, 2 * DIM), np.float32), *parts])
-
-    table = all_inputs()
-    prior = table[:, 0] + table[:, DIM]
-    rows, owner = [], []
-    for i, own in enumerate(encoded):
-        for s in windows(len(own)):
-            rows.append(np.pad(own[s : s + WINDOW], (0, max(0, WINDOW - len(own)))))
-            owner.append(i)
-    rows, owner = np.stack(rows), np.array(owner)
+    def input_parts() -> Iterator[tuple[slice, np.ndarray]]:
+        """Places and inputs of the words; row 0, padding, is left to the caller."""
+        for at in range(0, len(names), PART):
+            ids = word_ids[at + 1 : at + PART + 1]
+            yield slice(at + 1, at + 1 + len(ids)), net.vectors(ids, *grams.of(np.arange(at, at + len(ids))))[1:]
+
+    prior = np.zeros(len(names) + 1, np.float32)
+    for place, table in input_parts():
+        prior[place] = table[:, 0] + table[:, DIM]
+    starts = [windows(len(own)) for own in encoded]
+    owner = np.repeat(np.arange(len(encoded)), [len(s) for s in starts])
+    rows = np.zeros((len(owner), WINDOW), np.int32)
+    for row, (i, s) in zip(rows, ((i, s) for i, own in enumerate(starts) for s in own), strict=True):
+        part = encoded[i][s : s + WINDOW]
+        row[: len(part)] = part
     in_parts = lambda f: np.concatenate([f(rows[at : at + 1024]) for at in range(0, len(rows), 1024)])
     strength = in_parts(lambda part: np.sort(prior[part], axis=1)[:, -3:].sum(axis=1))
     squares = {k: np.full_like(v, 1e-3) for k, v in net.p.items()}
@@ -325,8 +342,11 @@ def train(encoded: list[np.ndarray], names: list[str], labels: list[int], seed:
             _sparse_step(net.p["words"], squares["words"], own, dtable[1:, :DIM])
             spread = np.repeat(dtable[1:, DIM:] / lengths[:, None], lengths, axis=0)
             _sparse_step(net.p["grams"], squares["grams"], buckets, spread)
-        projected = net.project(all_inputs())
+        projected = np.repeat(net.project(np.zeros((1, 2 * DIM), np.float32)), len(names) + 1, axis=1)
+        for place, table in input_parts():
+            projected[:, place] = net.project(table)
         strength = in_parts(lambda part, projected=projected: net.forward(projected, part))
+        del projected
         loss = _calibrate(net, strength, owner, y, judged)
         if loss < best[0]:
             best, worse = (loss, {k: v.copy() for k, v in net.p.items()}, net.scale), 0
@@ -381,11 +401,12 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 words = {w for t in texts for w in WORD.findall(t.lower())}
                 yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
 
-    names = sorted(r[0] for r in chosen.select("text").mapInArrow(distinct, "word string").distinct().collect())
-    numbers = docs.sparkSession.sparkContext.broadcast({w: k + 1 for k, w in enumerate(names)})  # words of the sample
+    names = chosen.select("text").mapInArrow(distinct, "word string").distinct().toArrow().column("word").combine_chunks()
+    names = names.take(pc.sort_indices(names))  # words of the sample, by code points
+    shared = docs.sparkSession.sparkContext.broadcast(names)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = numbers.value.__getitem__
+        of = {w: k + 1 for k, w in enumerate(shared.value.to_pylist())}.__getitem__
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 coded = [np.fromiter(map(of, WORD.findall(t.lower())), np.int32).tobytes() for t in texts]

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -542,3 +544,23 @@ def test_trees_count_the_candidates_of_all_documents(spark, monkeypatch):
     counted.clear()
     pii.redacted(docs)
     assert sum(counted) == each
+
+
+def test_training_makes_what_grows_with_the_words_part_by_part(spark, monkeypatch):
+    rng = random.Random(3)
+    words = pa.array(["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(100_000)])
+    grams, counts = toxicity.Grams(words), np.arange(100_000)
+    whole = np.bincount(grams.buckets, np.repeat(counts, grams.lengths), toxicity.BUCKETS)
+    tracemalloc.start()
+    got = grams.among(counts)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == whole).all() and peak < 200 * len(words)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda encoded, names, labels: seen.append((encoded, names, labels)))
+    docs = spark.createDataFrame([(i, f"zeta \U0001f600x \uffeey alpha{i}") for i in range(40)], "doc_id long, text string")
+    toxicity.fitted(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    (encoded, names, labels), = seen
+    assert isinstance(names, pa.Array) and names.to_pylist() == sorted(names.to_pylist())
+    assert len(encoded) == len(labels) == len(names) - 3
+    assert {" ".join(names[int(k) - 1].as_py() for k in own) for own in encoded} == {f"zeta x \uffeey alpha{i}".replace("\uffee", "") for i in range(40) if f"alpha{i}" in names.to_pylist()}
