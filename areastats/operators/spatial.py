@@ -493,15 +493,17 @@ def map_features(
 ) -> DataFrame:
     """Every map feature side by side on the areas; geometry is dropped.
 
-    Counts, ratios and nearest distances come from one scan of the points, one table of tiles and
-    one stored table of (area, tile) pairs; counts and ratios share one pass over its bands.
+    Counts, ratios and nearest distances come from one scan of the points, whose distinct places are
+    stored, one table of tiles and one stored table of (area, tile) pairs; counts and ratios share one pass over its bands.
     """
     used = {g: groups.get(g, []) for pair in pairs for g in pair}
     tags = F.col("tags")
     families = {"count:": count_groups(tags, groups), "ratio:": ratio_groups(tags, used), "nearest:": nearest_pois(tags, pois)}
     named = [_prefixed(f, names) for f, names in families.items()]
     distances = sorted({*BUFFER_DISTANCES, *RATIO_DISTANCES})
-    met = meet(areas, locations(points.select("x", "y", F.concat(*named).alias("measures"))), distances, keys, keep=True)
+    # explode(array(..)): the names of a point are made once, not again for the filter of `locations`
+    places = stored(locations(points.select("x", "y", F.explode(F.array(F.concat(*named))).alias("measures"))))
+    met = meet(areas, places, distances, keys, keep=True)
     shapes = polygons.select("ring", _prefixed("count:", count_groups(tags, groups)).alias("measures"))
     counted = bands(met, "", keys).filter(~_of(F.col("measure"), "nearest:")).unionByName(polygon_bands(areas, shapes, distances, keys))
     counts = stored(_within(counted, distances, keys))

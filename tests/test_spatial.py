@@ -243,3 +243,16 @@ def test_farthest_point_between_bounds():
     far = K._farthest_along(as_rows(shapes), as_rows([area] * len(shapes)), bounds).to_numpy()
     band = lambda v: np.searchsorted(np.sort(bounds), v)
     assert (band(far) == band(np.array(truth))).all()
+
+
+def test_map_features_name_the_points_once(spark, monkeypatch):
+    from areastats import registry
+    from areastats.operators import spatial as operators
+
+    kept = []
+    monkeypatch.setattr(operators, "stored", lambda df, own=operators.stored: kept.append(df) or own(df))
+    registry.QUERIES["map_features"](spark, "/root/testdata/sf0.001")
+    places = [df for df in kept if df.columns == ["x", "y", "measures", "n", "tx", "ty"]]
+    assert len(places) == 1
+    scans = [df._jdf.queryExecution().executedPlan().toString().count("events.parquet") for df in kept]
+    assert sum(scans) == 1
